@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from .common import texts
 from .tokens import default_tokenizer, segment_tree_bpe
@@ -22,7 +23,7 @@ def encode(docs: DataFrame, path: str | None = None, *, text: str = "text", ids:
     """Adds (or replaces) the column ``ids``: array of ids of the whole text."""
     path = path or default_tokenizer()
     keep = docs.drop(ids)
-    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in keep.schema)}, `{ids}` array<int>"
+    schema = StructType([*keep.schema.fields, StructField(ids, ArrayType(IntegerType()))])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = segment_tree_bpe(path)
@@ -39,7 +40,7 @@ def decode(rows: DataFrame, path: str | None = None, *, ids: str = "ids", text:
     """Adds (or replaces) the column ``text``: the tokens of the ids joined as the vocabulary's decoder does; null stays null."""
     path = path or default_tokenizer()
     keep = rows.drop(text)
-    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in keep.schema)}, `{text}` string"
+    schema = StructType([*keep.schema.fields, StructField(text, StringType())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = segment_tree_bpe(path)

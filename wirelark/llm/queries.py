@@ -5,15 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from . import bpe, capfilters, packing, simhash, tokenfiles
+from . import bpe, capfilters, language, licenses, packing, quality, secrets, simhash, tokenfiles, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(_table(spark, sf_dir, "documents"))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_table(spark, sf_dir, "documents"))
 
@@ -22,10 +25,18 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predictions(_table(spark, sf_dir, "documents"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(_table(spark, sf_dir, "documents"), secrets.train(secrets.labelled_samples(spark)))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.written(_table(spark, sf_dir, "documents"))
 
@@ -34,7 +45,19 @@ def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return capfilters.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.predictions(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licensed(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_bpe, op3_simhash, op5_packing, op7_token_files, op8_embeddings)
-}
-ORACLES: dict[str, str] = {}
+    f.__name__: f
+    for f in (
+        op1_quality_rules, op2_bpe, op3_simhash, op4_language, op5_packing, op6_secrets, op7_token_files, op8_embeddings,
+        op9_toxicity, op10_licenses,
+    )
+}
+ORACLES: dict[str, str] = {"op1_quality_rules": quality.ORACLE}
