@@ -1,0 +1,360 @@
+"""Each operator against brute force on small fixtures: nulls, empty and long texts, ties, repeated rows, clashing names."""
+
+import hashlib
+import re
+import struct
+import zlib
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from wirelark.llm import bpe, capfilters, common, language, licenses, packing, quality, queries, secrets, simhash, tokenfiles, toxicity
+from wirelark.llm.tokens import LibraryBpe, SegmentTree, SegmentTreeBpe, default_tokenizer
+
+SF = "/root/testdata/sf0.001"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, label int, component_id string, _pred string"
+WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
+
+
+def prose(seed: int, n: int) -> str:
+    r = np.random.default_rng(seed)
+    return "\n".join(" ".join(r.choice(WORDS, 8)) + f" {seed} {i}" for i in range(n))
+
+
+TEXTS = [
+    None, "", " \n\t ", "one two", "é ÉTÉ naïve — 中文 🤖🤖", prose(1, 6), prose(1, 6), prose(1, 6).replace("alpha", "alphb", 1), prose(2, 12), prose(3, 400),
+    "password = 'abcdefghijklm' and token=short", "deadbeefdeadbeef01" * 40 + " AKIA" + "Q" * 16, "x 9fK3mZq8Lw2Vb7Xt1Rc5Yp0D y getUserAccountBalance_2024_list", "a" * 3000, "<|endoftext|> it's <|x",
+    "the cat sat on the mat and " * 30,
+]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, t, "en" if i % 2 else None, "s1" if i % 3 else None, len(t or ""), 1, "x", "y") for i, t in enumerate(TEXTS)]
+    return spark.createDataFrame([*rows, rows[5], (None, "no id", None, None, None, None, None, None)], SCHEMA).cache()
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def library():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(default_tokenizer())
+
+
+def collected(frame):
+    return [tuple(r) for r in frame.collect()]
+
+
+# ---------------------------------------------------------------- 2, 5, 7: tokens
+
+
+@pytest.mark.parametrize("kind", [SegmentTreeBpe, LibraryBpe])
+def test_ids_as_the_library(library, kind):
+    own = kind(default_tokenizer(), most=50)
+    odd = ["ΑΣ ΣΑΣ", "İstanbul ﬁ", "a\x1cb\x1dc", "''s x''t WE'LL", "*" * 500 + "ab", "\x00\x7f", "ſ ẞ", "a　c\u0085d​z", "<|startoftext|><|endoftext|>"]
+    for text in [*filter(None, TEXTS), *odd]:
+        want = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(own.encode(text), "<u4").tolist() == want
+        assert own.decode(want) == library.decode(want, skip_special_tokens=False)
+
+
+def test_segment_tree_root_is_the_leftmost_least():
+    r = np.random.default_rng(0)
+    keys = [int(k) << 8 | i for i, k in enumerate(r.integers(0, 9, 37))]
+    tree = SegmentTree(list(keys))
+    for _ in range(200):
+        i = int(r.integers(37))
+        keys[i] = int(r.integers(0, 9)) << 8 | i
+        tree.set(i, keys[i])
+        assert tree.root() == min(keys)
+
+
+def test_bpe_digests_and_round_trip(docs, empty, library):
+    for doc_id, n, ids, text in collected(bpe.digests(docs)):
+        raw = "no id" if doc_id is None else TEXTS[doc_id] or ""
+        want = library.encode(raw, add_special_tokens=False).ids
+        assert (n, ids) == (len(want), hashlib.sha256(" ".join(map(str, want)).encode()).hexdigest())
+        assert text == hashlib.sha256(library.decode(want, skip_special_tokens=False).encode()).hexdigest()
+    both = bpe.decode(bpe.encode(docs))
+    assert both.columns == [*docs.columns, "ids", "decoded"] and both.count() == docs.count()
+    assert bpe.digests(empty).count() == 0
+
+
+def test_packing_places_every_id_once(docs, empty, library):
+    rows = packing.pack_documents(docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).repartition(3), tokens=64, segments=8).collect()
+    sequences, documents = {}, {}
+    for r in rows:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+        documents.setdefault(r.doc_id, []).append(r)
+    for pieces in sequences.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at and length > 0
+            at += length
+        assert at <= 64 and len(pieces) <= 64
+    for doc_id, pieces in documents.items():
+        ids = [*library.encode(TEXTS[doc_id] or "", add_special_tokens=False).ids, 2]
+        at = 0
+        for r in sorted(pieces, key=lambda r: r.start):
+            assert (r.start, r.doc_tokens) == (at, len(ids))
+            assert r.ids_crc32 == zlib.crc32(np.array(ids[at : at + r.length], "<u4").tobytes())
+            at += r.length
+        assert at == len(ids)
+    assert set(documents) == set(range(len(TEXTS))) and packing.pack_documents(empty).count() == 0
+
+
+def test_vectors_stay_in_all_limits(spark):
+    r = np.random.default_rng(3)
+    rows = [(i, int(t), int(r.integers(0, min(t, 50) + 1))) for i, t in enumerate(r.integers(1, 60, 500))]
+    frame = spark.createDataFrame([*rows, (500, None, None)], "id long, t int, m int").repartition(2)
+    got = packing.pack_examples(frame, key="id", tokens="t", loss="m", max_tokens=100, max_segments=6, max_loss=50).collect()
+    sizes = {i: (t, m) for i, t, m in rows} | {500: (0, 0)}
+    assert sorted(g.id for g in got) == sorted(sizes)
+    bins = {}
+    for g in got:
+        bins.setdefault(g.sequence_id, []).append(sizes[g.id])
+    assert all(sum(t for t, _ in b) <= 100 and len(b) <= 6 and sum(m for _, m in b) <= 50 for b in bins.values())
+    assert len(bins) <= 1.1 * max(sum(t for t, _ in sizes.values()) / 100, sum(m for _, m in sizes.values()) / 50, 501 / 6) + 4
+    with pytest.raises(ValueError):
+        packing.VectorPacker(10, 2, 10, cut=False).add("k", 11, 0)
+
+
+def test_token_files(spark, docs, empty, library):
+    rows = tokenfiles.written(docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]), docs_per_file=5).orderBy("doc_id").collect()
+    at = 0
+    for r in rows:
+        ids = [*library.encode(TEXTS[r.doc_id] or "", add_special_tokens=False).ids, 1]
+        assert (r.start, r.n_tokens, r.ids_crc32) == (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        at += len(ids)
+    assert len(rows) == len(TEXTS) and tokenfiles.written(empty).count() == 0
+    assert tokenfiles.written(docs).count() == docs.count()  # a null id and a repeated row
+
+
+def test_token_file_reads_single_frames_and_sees_damage(tmp_path):
+    import zstandard
+
+    uri = str(tmp_path / "f.zst")
+    rows = [np.arange(n, dtype="<u2") for n in (1, 5000, 3)]
+    w = tokenfiles.TokenWriter(uri, 2)
+    for i, ids in enumerate(rows):
+        w.add(10 + i, tokenfiles.frame_of(ids), len(ids), xxhash.xxh64_intdigest(ids.tobytes()) & 0xFFFFFFFF)
+    w.close()
+    reader = tokenfiles.TokenReader(uri)
+    assert reader.doc_ids.tolist() == [10, 11, 12] and (reader.read(1) == rows[1]).all()
+    whole = b"".join(x.tobytes() for x in rows)
+    with open(uri, "rb") as f:  # any zstandard reader takes the file
+        assert zstandard.ZstdDecompressor().stream_reader(f, read_across_frames=True).read() == whole
+    data = bytearray((tmp_path / "f.zst").read_bytes())
+    data[reader.places[1] + 12] ^= 0xFF
+    (tmp_path / "f.zst").write_bytes(data)
+    broken = tokenfiles.TokenReader(uri)
+    assert (broken.read(0) == rows[0]).all() and (broken.read(2) == rows[2]).all()
+    with pytest.raises((ValueError, zstandard.ZstdError)):
+        broken.read(1)
+    assert struct.unpack("<I", bytes(data[-4:]))[0] == tokenfiles.FOOTER_MAGIC
+
+
+# ---------------------------------------------------------------- 3, 8: near-duplicates
+
+
+def brute_print(text):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", low)
+    shingles = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] if len(words) >= 3 else [" ".join(words)] * bool(words)
+    h = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def brute_components(ids, near):
+    label = {i: i for i in ids}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in near:
+            low = min(label[a], label[b])
+            if (label[a], label[b]) != (low, low):
+                label[a] = label[b] = low
+                changed = True
+    return label
+
+
+def test_simhash(docs, empty):
+    prints = {i: brute_print(t) for i, t in enumerate(TEXTS)}
+    near = [(a, b) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= 3]
+    label = brute_components(prints, near)
+    got = [r for r in collected(simhash.near_duplicates(docs)) if r[0] is not None]
+    assert sorted(set(got)) == [(i, f"{prints[i]:016x}", label[i]) for i in prints] and len(got) == len(TEXTS) + 1
+    kept = simhash.deduplicated(docs)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted(set(label.values()))
+    assert simhash.near_duplicates(empty).count() == 0 and simhash.deduplicated(empty).count() == 0
+
+
+@pytest.mark.parametrize("blocks, hot", [(4, 2048), (4, 20), (6, 50)])
+def test_simhash_links_lose_nothing(spark, blocks, hot):
+    r = np.random.default_rng(blocks)
+    codes = set()
+    for base in r.integers(0, 1 << 63, 8, dtype=np.uint64).tolist():
+        for _ in range(120):
+            x = base
+            for bit in r.integers(0, 64, int(r.integers(0, 5))).tolist():
+                x ^= 1 << bit
+            codes.add(x)
+    codes = np.array(sorted(codes), np.uint64)
+    d = np.bitwise_count(codes[:, None] ^ codes) <= 3
+    label = brute_components(range(len(codes)), [(a, b) for a, b in zip(*(x.tolist() for x in np.nonzero(d))) if a < b])
+    signed = codes.view(np.int64)
+    frame = spark.createDataFrame([(int(x),) for x in signed], "fp long")
+    edges = simhash.links(frame, 3, blocks, hot)
+    place = {int(x): i for i, x in enumerate(signed)}
+    pairs = [(place[a], place[b]) for a, b in collected(edges)]
+    assert all(d[a, b] for a, b in pairs) or brute_components(range(len(codes)), pairs) == label
+    assert brute_components(range(len(codes)), pairs) == label
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(1, 40)] + [(100, 1000 + i) for i in range(50)] + [(7, 7), (3, 2)]
+    got = dict(collected(common.components(spark.createDataFrame(edges, "a long, b long"), "test")))
+    assert got == {i: 1 for i in range(1, 41)} | {100: 100} | {1000 + i: 100 for i in range(50)}
+    assert common.components(spark.createDataFrame([], "a long, b long"), "test").count() == 0
+
+
+def test_embeddings(spark):
+    r = np.random.default_rng(5)
+    rows, n = [], 0
+    for label in (1, 2):
+        for size in (1, 2, 60):
+            base = r.standard_normal(32)
+            for _ in range(size):
+                rows.append((n, (base + r.standard_normal(32) * 0.12).tolist(), label))
+                n += 1
+        rows += [(n + i, r.standard_normal(32).tolist(), label) for i in range(200)]
+        n += 200
+    rows += [(n, rows[0][1], 1), (n + 1, rows[0][1], 2), (n + 2, rows[0][1], None), (n + 3, None, 1), (n + 4, [0.0] * 32, 1), (n + 5, [float("nan")] * 32, 1), (n + 6, [1.0, None], 1), (n + 7, [float("inf")] * 32, 1), (n + 8, [1.0, 2.0], 1), (n + 9, [0.5, 1.0], 1)]
+    frame = spark.createDataFrame([(*x, "clash", 0) for x in rows], "vec_id long, embedding array<double>, label int, node string, copies int")
+    got = {r.vec_id: r for r in capfilters.near_duplicates(frame).collect()}
+    good = [(i, np.array(v), k) for i, v, k in rows if k is not None and v is not None and None not in v and np.isfinite(v).all() and np.any(v)]
+    near = [(a[0], b[0]) for a in good for b in good if a[0] < b[0] and a[2] == b[2] and len(a[1]) == len(b[1]) and a[1] @ b[1] / np.linalg.norm(a[1]) / np.linalg.norm(b[1]) >= 0.98]
+    label = brute_components([x[0] for x in rows], near)
+    links = {i: 0 for i, _, _ in rows}
+    for a, b in near:
+        links[a] += 1
+        links[b] += 1
+    assert len(near) > 500 and set(got) == set(links)
+    assert sum(g.n_links for g in got.values()) >= 0.99 * sum(links.values())
+    assert {i: (g.n_links, g.component_id, g.kept) for i, g in got.items()} == {i: (links[i], label[i], label[i] == i) for i in links}
+    assert capfilters.near_duplicates(frame.limit(0)).count() == 0
+
+
+# ---------------------------------------------------------------- 1, 4, 6, 9, 10
+
+
+def test_quality_removes_lines_of_many_documents(spark, docs, empty):
+    shared = "This very line stands in every document of the host"
+    rows = [(i, f"{prose(100 + i, 3)}\n{shared}", None, "h", 0, 1, "", "") for i in range(30)] + [(50, f"{shared}\n{shared}\nbut little else is in here", None, "h", 0, 1, "", "")]
+    rows += [(60 + i, prose(7, 3), None, "h", 0, 1, "", "") for i in range(40)] + [(200, shared + " of another host than that one", None, "g", 0, 1, "", "")]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    got = {r.doc_id: r for r in quality.judge(frame, max_share=0.5).collect()}
+    assert got[0].kept and got[0].n_removed_words == 10 and not got[50].kept and got[50].n_removed_words == 20
+    assert all(got[60 + i].kept and not got[60 + i].n_removed_words for i in range(40)) and got[200].kept  # copies are one document
+    clean = {r.doc_id: r for r in quality.cleaned(frame, max_share=0.5).collect()}
+    assert clean[0].text == prose(100, 3) and clean[0].n_chars == len(clean[0].text) and clean[60].text == prose(7, 3) and 50 not in clean
+    odd = {r.doc_id: r for r in quality.judge(docs).collect()}
+    assert len(odd) == len(TEXTS) + 1 and odd[0].n_words == 0 and odd[0].base_failed and not odd[0].kept and odd[15].base_failed
+    assert quality.judge(empty).count() == 0 and quality.cleaned(empty).count() == 0 and quality.cleaned(docs).columns == docs.columns
+
+
+def test_language(spark, docs, empty):
+    r = np.random.default_rng(1)
+    tongues = {"aa": "ka ko ki ku ke".split(), "bb": "shro throng spelk wharn glimp".split(), "cc": "ouille eaux ette oire ien".split()}
+    speak = lambda t, n: " ".join("".join(r.choice(tongues[t], 2)) for _ in range(n))
+    rows = [(i, speak(t, 60), t) for i, t in enumerate(r.choice(list(tongues), 300))]
+    mixed = [(1000, speak("aa", 60) + " " + speak("bb", 30), None), (1001, "12 34 !", None), (1002, None, "aa"), (1003, "", None)]
+    frame = spark.createDataFrame([*rows, *mixed], "doc_id long, text string, lang string")
+    got = {g.doc_id: g for g in language.predictions(frame).collect()}
+    assert np.mean([got[i].lang_pred == t for i, _, t in rows if got[i].held_out]) > 0.97
+    assert got[1000].lang_pred == "aa" and got[1000].lang_set == "aa+bb" and abs(got[1000].score - 2 / 3) < 0.1
+    assert [(got[i].lang_pred, got[i].score) for i in (1001, 1002, 1003)] == [("und", 0.0)] * 3
+    assert all(got[i].held_out == (zlib.crc32(str(i).encode()) % 4 == 2) for i, _, _ in rows)
+    assert language.predictions(empty).count() == 0 and {g.lang_pred for g in language.predictions(frame.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
+    assert language.identified(docs).columns == docs.columns
+
+
+def test_secrets(spark, docs, empty):
+    samples = secrets.labelled_samples(spark, 1500)
+    ratios = secrets.train(samples)
+    scored = samples.where("length(text) >= 20").select("label", (secrets.score(F.col("text"), ratios) > 0.5).cast("int").alias("said"))
+    assert scored.where("label <> said").count() <= 0.005 * scored.count()
+    patterns = [("assign", re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), 2, 12), ("access", re.compile("AKIA[A-Z0-9]+"), 0, 18), ("hex", re.compile("[0-9a-f]+"), 0, 16)]
+    for r in secrets.digests(docs, ratios).collect():
+        text = "no id" if r.doc_id is None else TEXTS[r.doc_id] or ""
+        base = [(m.start(), k, f"{name}:{m.start()}:{m.end()}") for k, (name, p, g, least) in enumerate(patterns) for m in p.finditer(text) if len(m[g]) >= least]
+        assert r.base_sha256 == hashlib.sha256(",".join(x for _, _, x in sorted(base)).encode()).hexdigest()
+        assert set(x for _, _, x in base) <= set(r.spans.split(",")) | {""} and (r.n_markov == 1) == (r.doc_id == 12)
+    clean = {r.doc_id: r for r in secrets.redacted(docs, ratios).collect()}
+    assert clean[10].text == "[secret]' and token=short" and clean[11].text == "[secret] [secret]" and clean[0].text is None and clean[8].text == TEXTS[8]
+    assert "9fK3" not in clean[12].text and "getUserAccountBalance_2024_list" in clean[12].text
+    assert secrets.digests(empty, ratios).count() == 0 and secrets.redacted(docs, ratios).columns == docs.columns
+    assert set(secrets.train(samples.limit(0))) == {0.0}
+
+
+def test_secret_places_of_many_matches(spark):
+    text = "".join(f"{i:x} {'0123456789abcdef' * (1 + i % 2)} " for i in range(700))
+    frame = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    spans = secrets.find(frame, secrets.train(secrets.labelled_samples(spark, 10))).first().spans
+    assert [(x.s, x.e) for x in spans if x.k == 2] == [m.span() for m in re.finditer("[0-9a-f]{16,}", text)]
+
+
+def test_toxicity(spark, docs, empty):
+    r = np.random.default_rng(2)
+    rows, labels = [], []
+    for i in range(900):
+        words, toxic = list(r.choice(WORDS, 30)), i % 5 == 0
+        if toxic:  # an insult is toxic only in company of a group
+            words += ["blockhead", "plumbers"]
+        elif i % 5 in (1, 2):
+            words += [["blockhead", "plumbers"][i % 5 - 1]]
+        rows.append((i, " ".join(r.permutation(words))))
+        labels.append((i, int(toxic)))
+    frame, marks = spark.createDataFrame([*rows, (5000, None), (5001, "")], "doc_id long, text string"), spark.createDataFrame([*labels, (0, 1), (None, 1), (1, None)], "doc_id long, toxic int")
+    got = {g.doc_id: g for g in toxicity.predictions(frame, marks).collect()}
+    held = [i for i, _ in rows if got[i].held_out]
+    assert np.mean([got[i].predicted == (i % 5 == 0) for i in held]) > 0.97 and all(0 <= g.score <= 1 for g in got.values())
+    assert got[5000].predicted == 0 and got[5000].score == got[5001].score
+    assert toxicity.predictions(docs, marks.limit(0)).count() == docs.count() and toxicity.predictions(empty, marks).count() == 0
+
+
+def test_licenses(spark, docs, empty):
+    mit = licenses.TEMPLATES["mit"].split()
+    texts = ["all RIGHTS reserved!", "x " * 333 + " ".join(mit) + " y" * 200, " ".join([*mit[:40], "zzz", *mit[41:]]), " ".join(mit[:30]), "intro\n".join(licenses.TEMPLATES.values()), "the software notice license", None, ""]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses.licensed(frame).collect()}
+    assert [got[i].licenses for i in (0, 1, 2, 3, 5, 6, 7)] == ["all-rights-reserved", "mit", "mit", "", "", "", ""]
+    assert got[4].n_licenses == len(licenses.TEMPLATES) and 0.9 < got[2].best_share < 1
+    assert licenses.licensed(docs).count() == docs.count() and licenses.licensed(empty).count() == 0
+    jaccard = (0.8 - 0.0625) / (2 - 0.8 + 0.0625)
+    assert 1 - (1 - jaccard**2) ** licenses.bands_needed() >= 0.99
+
+
+# ---------------------------------------------------------------- all together
+
+
+def test_pipeline_keeps_columns_and_clean_documents(spark, docs, empty):
+    import corpus_pipeline as p
+
+    assert [name for name, _ in p.STAGES] == ["language", "quality", "near_duplicates", "secrets", "packing"]
+    now, none = spark.read.parquet(f"{SF}/documents.parquet"), empty
+    for name, stage in p.STAGES[:-1]:
+        before, now, none = now, common.stored(stage(spark, now, SF), f"test-{name}"), stage(spark, none, SF)
+        assert now.columns == before.columns and none.columns == empty.columns and now.count() >= 0.8 * before.count()
+    assert p.STAGES[-1][1](spark, now, SF).select("doc_id").distinct().count() == now.count()
+
+
+def test_queries_are_registered():
+    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 11)]

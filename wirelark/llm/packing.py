@@ -90,7 +90,9 @@ class VectorPacker:
             ends = list(np.cumsum([1 << b for b in range(total.bit_length() - 1, -1, -1) if total >> b & 1]))
         begin, offset = 0, 0
         for key, start, length in taken:
-            while length:
+            placed = False
+            while length or not placed:  # an example without tokens has a place too
+                placed = True
                 part = min(length, int(ends[0]) - begin)
                 yield key, start, part, self.sequence, offset
                 begin, offset, start, length = begin + part, offset + part, start + part, length - part
