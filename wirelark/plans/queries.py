@@ -276,9 +276,9 @@ def a6_top_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- joins and sets
 
 
-@query("""SELECT o_orderkey, (SELECT max_by(l_returnflag, l_linenumber * 1000000 + l_partkey) FROM lineitem WHERE l_orderkey = o_orderkey) AS l_returnflag FROM orders""")
+@query("""SELECT o_orderkey, (SELECT max_by(l_returnflag, lpad(CAST(l_linenumber AS VARCHAR), 3, '0') || lpad(CAST(l_partkey AS VARCHAR), 9, '0') || l_returnflag) FROM lineitem WHERE l_orderkey = o_orderkey) AS l_returnflag FROM orders""")
 def j2_left_join_last(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_returnflag", (F.col("l_linenumber") * 1000000 + F.col("l_partkey")).alias("ord"))
+    lines = _table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_returnflag", F.concat(F.lpad(F.col("l_linenumber").cast("string"), 3, "0"), F.lpad(F.col("l_partkey").cast("string"), 9, "0"), "l_returnflag").alias("ord"))
     return joins.left_join_last(_table(spark, sf_dir, "orders").select("o_orderkey"), lines, "o_orderkey", "l_returnflag", ["ord"])
 
 
@@ -410,7 +410,9 @@ def rendered(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("2. MORE TEXT.\n"), F.lit("CONFIDENTIAL\nNNN\n"), F.lit("Message Attributes\n"), F.concat(F.lit("Document Number: 19"), "yy", "station", n),
         F.concat_ws(" ", F.lit("Draft Date:"), F.col("dd"), F.col("mon"), F.concat(F.lit("19"), "yy")), F.lit("TAGS: PFOR, FR"), F.concat(F.lit("Subject: VISIT "), n, F.lit("\n  OF DELEGATION")), F.lit("Locator: TEXT ON-LINE"), F.lit("Enclosure: n/a"), F.lit("Type: TE\n"),
     ]
-    return base(spark, sf_dir).select("k", F.array_join(F.array(*lines), "\n").alias("text"))
+    # reading costs far more than the texts' size tells, so the few MB that render them are dealt to all cores
+    rows = base(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism, "k")
+    return rows.select("k", F.array_join(F.array(*lines), "\n").alias("text"))
 
 
 _READ = """SELECT k, 'R ' || dd || hh || mm || 'Z ' || mon || ' ' || yy AS dtg, 'AMEMBASSY ' || station AS sender, 'SECSTATE WASHDC ' || k AS to_, 'AMEMBASSY MOSCOW AMEMBASSY BONN' AS info,
