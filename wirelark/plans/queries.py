@@ -56,6 +56,11 @@ def base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("mon", F.get(F.lit(MONTHS), F.col("m") - 1)).withColumn("iso", F.concat(F.lit("19"), "yy", F.lit("-"), two(F.col("m")), F.lit("-"), "dd"))
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """To all cores: reading texts costs far more than the few MB that render them tell, and a table here is one split."""
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, "k")
+
+
 _CITY_LIST = "[" + ", ".join(f"'{c}'" for c in CITIES) + "]"
 BASE = f"""WITH base AS (SELECT o_orderkey AS k, {_CITY_LIST}[c_nationkey + 1] AS station, CAST(73 + o_orderkey % 7 AS VARCHAR) AS yy,
   month(o_orderdate) AS m, lpad(CAST(least(day(o_orderdate), 28) AS VARCHAR), 2, '0') AS dd, lpad(CAST(o_orderkey % 24 AS VARCHAR), 2, '0') AS hh,
@@ -173,7 +178,7 @@ def f11_split_citations(spark: SparkSession, sf_dir: str) -> DataFrame:
     num = lambda n: (k + n).cast("string")
     raw = F.concat(F.lit("REF: A. STATE "), num(0), F.lit(" (NOTAL), B. "), "station", F.lit(" "), num(1), F.lit(" DATED 3 MAY 1974"), F.lit("; 1974 LIMA A-"), num(2), F.lit("\n     AND UNCLAS BONN "), num(3), F.lit("."))
     raw = F.regexp_replace(F.regexp_replace(raw, " DATED 3 MAY 1974", ", MAY 3, 1974"), "1974 LIMA", "74 LIMA")
-    return base(spark, sf_dir).select("k", F.posexplode(citations.split_citations(raw)).alias("p", "token"))
+    return dealt(base(spark, sf_dir)).select("k", F.posexplode(citations.split_citations(raw)).alias("p", "token"))
 
 
 @query(BASE + """SELECT k, CASE k % 5 WHEN 0 THEN yy || station || k WHEN 1 THEN '74' || station || k WHEN 2 THEN yy || station || '-A' || k WHEN 3 THEN '74JAKART-A' || k END AS mrn,
@@ -203,7 +208,7 @@ def f16_parse_mrn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _citation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, n = F.col("k"), lambda i: (F.col("k") + i).cast("string")
-    b = base(spark, sf_dir)
+    b = dealt(base(spark, sf_dir))
     refs = F.when(k % 5 == 0, F.lit(None)).otherwise(F.concat(F.lit("REF: A. "), "station", F.lit(" "), n(1), F.lit("; B. BONN "), n(2), F.lit("; UNKNOWN TALK")))
     attr = F.when(k % 3 == 0, F.concat(F.lit("LIMA A-"), n(3))).otherwise(F.concat("station", F.lit(" "), n(1)))
     rows = b.select(
@@ -253,7 +258,7 @@ def _tag_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     even = F.col("k") % 2 == 0
     attr = F.concat(F.lit("pfor, FR., (SMITH, JOHN "), F.when(even, "A").otherwise("B"), F.lit("), N/A, FR"))
     body = F.when(even, F.lit("PFOR EZZZ QQ")).otherwise(F.lit("2M, OAS"))
-    return base(spark, sf_dir).select("k", tags.merge_sources(TAGS.entries(attr), TAGS.entries(body)).alias("tags"))
+    return dealt(base(spark, sf_dir)).select("k", tags.merge_sources(TAGS.entries(attr), TAGS.entries(body)).alias("tags"))
 
 
 @query(BASE + f", {_TAG_ROWS} SELECT * FROM x")
@@ -410,8 +415,7 @@ def rendered(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("2. MORE TEXT.\n"), F.lit("CONFIDENTIAL\nNNN\n"), F.lit("Message Attributes\n"), F.concat(F.lit("Document Number: 19"), "yy", "station", n),
         F.concat_ws(" ", F.lit("Draft Date:"), F.col("dd"), F.col("mon"), F.concat(F.lit("19"), "yy")), F.lit("TAGS: PFOR, FR"), F.concat(F.lit("Subject: VISIT "), n, F.lit("\n  OF DELEGATION")), F.lit("Locator: TEXT ON-LINE"), F.lit("Enclosure: n/a"), F.lit("Type: TE\n"),
     ]
-    # reading costs far more than the texts' size tells, so the few MB that render them are dealt to all cores
-    rows = base(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism, "k")
+    rows = dealt(base(spark, sf_dir))
     return rows.select("k", F.array_join(F.array(*lines), "\n").alias("text"))
 
 
