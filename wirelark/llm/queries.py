@@ -60,4 +60,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_toxicity, op10_licenses,
     )
 }
-ORACLES: dict[str, str] = {"op1_quality_rules": quality.ORACLE}
+ORACLES: dict[str, str] = {"op1_quality_rules": quality.ORACLE, "op8_embeddings": capfilters.ORACLE}
