@@ -128,7 +128,8 @@ def _found(column: str, window: int, group: list[dict], least: float) -> Column:
         keys = bands(F.slice(s, start + 1, window), count)
         return F.get(F.transform(F.array(keys), lambda k: hits(start, k)), 0)
 
-    return F.when(F.size(s) > 0, F.flatten(F.transform(F.sequence(F.lit(0), last, F.lit(step)), at))).otherwise(F.array().cast(shape))
+    starts = F.array_distinct(F.concat(F.sequence(F.lit(0), last, F.lit(step)), F.array(last)))
+    return F.when(F.size(s) > 0, F.flatten(F.transform(starts, at))).otherwise(F.array().cast(shape))
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, *, least: float = LEAST, found: str = "licenses") -> DataFrame:
