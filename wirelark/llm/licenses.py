@@ -6,8 +6,8 @@ MinHash bands retrieve templates, and those with at least ``least`` of their dis
 eighth of it on either side are found. ``bands`` is the smallest number of bands of two rows that retrieves a template
 at that containment with probability ``sure`` or more.
 
-Only texts with an anchor are cut: anchors are words such that more than ``1 - least`` of each template's shingles hold
-one, so a text without any cannot contain enough of a template. A narrow map; templates are a bounded parameter and
+Only windows near an anchor are made: anchors are words such that more than ``1 - least`` of each template's shingles
+hold one, so a window without any cannot contain enough of a template. A narrow map; templates are a bounded parameter and
 travel as literals. Null, empty and short texts hold no template; repeated rows repeat.
 """
 
@@ -128,7 +128,16 @@ def _found(column: str, window: int, group: list[dict], least: float) -> Column:
         keys = bands(F.slice(s, start + 1, window), count)
         return F.get(F.transform(F.array(keys), lambda k: hits(start, k)), 0)
 
-    starts = F.array_distinct(F.concat(F.sequence(F.lit(0), last, F.lit(step)), F.array(last)))
+    reach, none = window + step + group[0]["size"] - 2, F.array().cast("array<int>")
+
+    def near(p: Column) -> Column:
+        """Starts whose window, with an eighth on either side, holds the word at ``p``; the last start too."""
+        low, high = F.greatest(p - reach, F.lit(0)), F.least(p + step, last)
+        first = low + (step - 1) - F.pmod(low + (step - 1), F.lit(step))
+        end = F.when((low <= last) & (last <= high), F.array(last)).otherwise(none)
+        return F.concat(F.when(first <= high, F.sequence(first, high, F.lit(step))).otherwise(none), end)
+
+    starts = F.array_distinct(F.flatten(F.transform("_la", near)))
     return F.when(F.size(s) > 0, F.flatten(F.transform(starts, at))).otherwise(F.array().cast(shape))
 
 
@@ -141,14 +150,15 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, *, least: flo
         return docs.withColumn(found, F.array().cast(shape))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     held = F.lower(text).rlike("|".join(anchors(templates, least)))
-    rows = docs.withColumn("_lw", F.when(held, F.transform(words_of(text), lambda w: F.xxhash64(w))))
+    anchored = F.filter(F.transform(words_of(text), lambda w, i: F.when(w.isin(*anchors(templates, least)), i)), lambda i: i.isNotNull())
+    rows = docs.withColumns({"_lw": F.when(held, F.transform(words_of(text), lambda w: F.xxhash64(w))), "_la": F.when(held, anchored)})
     sizes = sorted({t["size"] for t in known})
     rows = rows.withColumns({f"_l{k}": F.when(F.col("_lw").isNotNull(), shingle_hashes(F.col("_lw"), k)) for k in sizes})
     classes: dict[tuple[int, int], list[dict]] = {}
     for t in known:
         classes.setdefault((t["size"], t["window"]), []).append(t)
     hits = F.concat(*[_found(f"_l{k}", window, group, least) for (k, window), group in sorted(classes.items())])
-    rows = rows.withColumn("_hits", F.when(F.col("_lw").isNotNull(), F.sort_array(hits, asc=False))).drop("_lw", *[f"_l{k}" for k in sizes])
+    rows = rows.withColumn("_hits", F.when(F.col("_lw").isNotNull(), F.sort_array(hits, asc=False))).drop("_lw", "_la", *[f"_l{k}" for k in sizes])
     first = F.filter("_hits", lambda x, i: (i == 0) | (F.get("_hits", i - 1)["name"] != x["name"]))
     return rows.withColumn(found, F.coalesce(F.sort_array(first), F.array().cast(shape))).drop("_hits")
 
