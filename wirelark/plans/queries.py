@@ -392,7 +392,7 @@ def a7_estimate_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(BASE + _ESTIMATED + """, r AS (SELECT accuracy_days AS v, row_number() OVER (ORDER BY accuracy_days) - 1 AS i, count(*) OVER () AS n FROM est WHERE accuracy_days IS NOT NULL)
-SELECT share, v AS percentile FROM r JOIN (SELECT unnest([0.5, 0.9, 0.99, 1.0]) AS share) ON i = least(n - 1, CAST(floor(n * share) AS BIGINT))""")
+SELECT share, v AS percentile FROM r JOIN (SELECT CAST(unnest([0.5, 0.9, 0.99, 1.0]) AS DOUBLE) AS share) ON i = least(n - 1, CAST(floor(n * share) AS BIGINT))""")
 def a7_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.nearest_ranks(_estimates(spark, sf_dir), "accuracy_days", [0.5, 0.9, 0.99, 1.0])
 
@@ -452,7 +452,7 @@ def r23_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("k", F.array_join(lines, "\n").alias("content"))
 
 
-@query(BASE + "SELECT count(*) AS documents, count(*) AS fully_covered, CAST(0 AS BIGINT) AS unmatched, 100.0 AS full_rate FROM base")
+@query(BASE + "SELECT count(*) AS documents, count(*) AS fully_covered, CAST(0 AS BIGINT) AS unmatched, CAST(100.0 AS DOUBLE) AS full_rate FROM base")
 def a1_character_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1, A2."""
     t = metrics.character_totals(extracted(rendered(spark, sf_dir), "k").select("coverage"))
