@@ -252,6 +252,20 @@ def test_embeddings(spark):
     assert capfilters.near_duplicates(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("share", [0.5, 0.81, 0.94])
+def test_caps_find_pairs_of_uneven_vectors(share):
+    r = np.random.default_rng(9)
+    x = r.standard_normal((400, 64)) * np.repeat([share**0.5, (1 - share) ** 0.5], 32)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    y = r.standard_normal((400, 64)) * np.repeat([share**0.5, (1 - share) ** 0.5], 32)
+    y -= (x * y).sum(1)[:, None] * x
+    y = 0.98 * x + (1 - 0.98**2) ** 0.5 * y / np.linalg.norm(y, axis=1)[:, None]
+    code = capfilters.ProductCode(64, 300_000)
+    own = [set(zip(*(z.tolist() for z in code.decode(v)))) for v in (x, y)]
+    found = {i for i, _ in own[0] & own[1]}
+    assert len(found) >= 0.9 * 400
+
+
 # ---------------------------------------------------------------- 1, 4, 6, 9, 10
 
 

@@ -1,7 +1,7 @@
 """Operator 8: near-duplicate embeddings with spherical-cap filters.
 
-Filter directions are words of a random product code: the dimensions are cut in two halves, each half has ``code``
-random Gaussian vectors, and a direction is one of each. Because a direction's product with a vector is the sum of its
+Filter directions are words of a random product code: a vector is turned by one random rotation, so that its norm is even over the dimensions however
+uneven it came, then the dimensions are cut in two halves, each half has ``code`` random Gaussian vectors, and a direction is one of each. Because a direction's product with a vector is the sum of its
 halves' products, all directions that exceed the threshold are listed by decoding the sorted halves, without looking at
 the others. Several independent codes even out the luck of one. Vectors that share a filter are first compared on
 128 sign bits of random projections, at five standard deviations over the expected difference (a near pair is missed
@@ -42,6 +42,7 @@ class ProductCode:
         self.threshold = NormalDist().inv_cdf(1 - filters / tables / self.code**2) if d > 1 else 0.0
         rng = np.random.default_rng([seed, d])
         self.half = (d + 1) // 2
+        self.rotation = np.linalg.qr(np.random.default_rng([seed, d, 1]).standard_normal((d, d)))[0]
         self.planes = rng.standard_normal((d, SIGNS))
         self.tables = [(rng.standard_normal((self.half, self.code)), rng.standard_normal((d - self.half, self.code)) if d > 1 else np.zeros((0, 1))) for _ in range(tables)]
 
@@ -51,7 +52,7 @@ class ProductCode:
 
     def decode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, filter) of all directions that exceed the threshold, for unit rows ``x``."""
-        rows, found = [], []
+        x, rows, found = x @ self.rotation, [], []
         for t, (left, right) in enumerate(self.tables):
             a, b = x[:, : self.half] @ left, x[:, self.half :] @ right
             oa, ob = np.argsort(-a, axis=1), np.argsort(-b, axis=1)
