@@ -4,7 +4,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from wirelark.plans.telegram import label_tier, merged, parse, without
+from wirelark.plans.telegram import MARKINGS, label_tier, merged, parse, without
 
 BODY = """PAGE 01        PARIS 00123  201212Z
 
@@ -84,6 +84,18 @@ def test_markings_are_cut_with_their_line():
     assert "Declassified" not in r["message_content"] and "REST" in r["message_content"]
 
 
+@pytest.mark.parametrize("mark", MARKINGS)
+def test_declassification_lines_are_known(mark):
+    assert len(MARKINGS) == 6
+    inside = BODY.replace("1. BODY TEXT.", f"1. BODY TEXT.\n\n{mark}\n\nREST")
+    plain, r = parse(telegram()), parse(f"{mark}\n{telegram(inside)}\n{mark}\n")
+    assert mark not in r["message_content"] and "REST" in r["message_content"] and r["attrs"] == plain["attrs"]
+    assert r["coverage"]["unmatched"] == plain["coverage"]["unmatched"]
+    # between attributes, and in a text without a body
+    assert parse(telegram(attrs=ATTRS.replace("declassified", f"{mark}\ndeclassified")))["attrs"] == plain["attrs"]
+    assert parse(f"{mark}\nno marks")["coverage"]["matched"] == len(mark)
+
+
 def test_label_tiers():
     assert [label_tier(x) for x in ("SUBJECT", "S U B J", "SUBEJCT", "SUBJEC", "STATE")] == [0, 0, 1, 1, 4]
 

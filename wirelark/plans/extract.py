@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from .telegram import parse
+from .telegram import MARKINGS, parse
 
 RECORD = """attrs map<string,string>, dtg struct<raw:string,precedence_raw:string,dd:string,hh:string,mm:string,mon:string,yy:string>,
 dash_counters struct<raw:string,counter:int,filing_time:string,copies:int>,
@@ -25,7 +25,7 @@ page_break array<struct<line:string,page:int>>, section_marker array<struct<raw:
 coverage struct<total:int,matched:int,blank:int,unmatched:int>, error string"""
 
 
-def extracted(texts: DataFrame, key: str = "file", text: str = "text", markings: tuple[str, ...] = ()) -> DataFrame:
+def extracted(texts: DataFrame, key: str = "file", text: str = "text", markings: tuple[str, ...] = MARKINGS) -> DataFrame:
     """(key, record columns, error) of each text; a null text is an empty one."""
     schema = StructType([texts.schema[key], *StructType.fromDDL(RECORD).fields])
     arrow = to_arrow_schema(schema)

@@ -15,6 +15,7 @@ from ..functions import citations, dates, tags, text
 from ..operators import estimate, joins, metrics
 from ..sources import files
 from .extract import extracted
+from .telegram import MARKINGS
 
 CITIES = """PARIS MOSCOW BONN CAIRO TOKYO LIMA OTTAWA ROME ATHENS VIENNA LAGOS SEOUL MANILA DAKAR KABUL TUNIS RABAT BERN OSLO
 MADRID LISBON WARSAW PRAGUE SOFIA QUITO""".split()
@@ -401,19 +402,23 @@ def a7_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rendered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """k and a telegram's text, for reading back. Every third has two sections' worth of page breaks, every fourth no tags."""
+    """k and a telegram's text, for reading back. Every third has two sections' worth of page breaks, every fourth no tags.
+
+    Every fifth has a declassification line before, in and after its body.
+    """
     k, n = F.col("k"), F.col("k").cast("string")
     head = F.concat_ws(" ", "station", F.lpad(n, 5, "0"))
     group = F.concat(F.lit("R "), "dd", "hh", "mm", F.lit("Z "), "mon", F.lit(" "), "yy")
+    mark = F.when(k % 5 == 0, F.get(F.lit(list(MARKINGS)), (k % 6).cast("int")))
     lines = [
-        F.lit("Message Text\n"), F.concat(F.lit("PAGE 01        "), head, F.lit("  201212Z\n")), (k % 90 + 1).cast("string"), F.lit("ACTION EUR-12\n"),
+        mark, F.lit("Message Text\n"), F.concat(F.lit("PAGE 01        "), head, F.lit("  201212Z\n")), (k % 90 + 1).cast("string"), F.lit("ACTION EUR-12\n"),
         F.concat(F.lit("INFO  OCT-01  ISO-"), (k % 30).cast("string"), F.lit("  /"), (k % 30 + 13).cast("string"), F.lit(" W")),
         F.concat(F.lit("                     --------------------- "), F.lpad((k % 1000000).cast("string"), 6, "0")), group, F.concat(F.lit("FM AMEMBASSY "), "station"),
         F.concat(F.lit("TO SECSTATE WASHDC "), n), F.lit("INFO AMEMBASSY MOSCOW\n     AMEMBASSY BONN\n"), F.lit("LIMDIS\n"), F.lit("E.O. 11652: GDS"),
         F.when(k % 4 > 0, F.lit("TAGS: PFOR, FR")).otherwise(F.lit("")), F.concat(F.lit("SUBJECT: VISIT "), n, F.lit(" OF DELEGATION\n")),
-        F.concat(F.lit("REF: A. STATE "), n, F.lit("\n")), F.concat(F.lit("1. TEXT OF ORDER "), n, F.lit(".\n")), F.lit("CONFIDENTIAL"), F.when(k % 3 == 0, F.concat(F.lit("PAGE 02        "), head, F.lit("\n"))).otherwise(F.lit("")),
+        F.concat(F.lit("REF: A. STATE "), n, F.lit("\n")), F.concat(F.lit("1. TEXT OF ORDER "), n, F.lit(".\n")), mark, F.lit("CONFIDENTIAL"), F.when(k % 3 == 0, F.concat(F.lit("PAGE 02        "), head, F.lit("\n"))).otherwise(F.lit("")),
         F.lit("2. MORE TEXT.\n"), F.lit("CONFIDENTIAL\nNNN\n"), F.lit("Message Attributes\n"), F.concat(F.lit("Document Number: 19"), "yy", "station", n),
-        F.concat_ws(" ", F.lit("Draft Date:"), F.col("dd"), F.col("mon"), F.concat(F.lit("19"), "yy")), F.lit("TAGS: PFOR, FR"), F.concat(F.lit("Subject: VISIT "), n, F.lit("\n  OF DELEGATION")), F.lit("Locator: TEXT ON-LINE"), F.lit("Enclosure: n/a"), F.lit("Type: TE\n"),
+        F.concat_ws(" ", F.lit("Draft Date:"), F.col("dd"), F.col("mon"), F.concat(F.lit("19"), "yy")), F.lit("TAGS: PFOR, FR"), F.concat(F.lit("Subject: VISIT "), n, F.lit("\n  OF DELEGATION")), F.lit("Locator: TEXT ON-LINE"), F.lit("Enclosure: n/a"), F.lit("Type: TE\n"), mark,
     ]
     rows = dealt(base(spark, sf_dir))
     return rows.select("k", F.array_join(F.array(*lines), "\n").alias("text"))
