@@ -284,6 +284,15 @@ def test_quality_removes_lines_of_many_documents(spark, docs, empty):
     assert quality.judge(empty).count() == 0 and quality.cleaned(empty).count() == 0 and quality.cleaned(docs).columns == docs.columns
 
 
+def test_pipeline_quality_limit_of_long_lines_does_not_grow_with_the_host(spark):
+    line, short = "this page was made by the same machine as all the others", "read more"
+    rows = [(i, "s", f"{prose(5000 + i, 3)}" + (f"\n{line}\n{short}" if i < 30 else "")) for i in range(1000)]
+    rows.append((1000, "s", f"{line}\n{line}\nand some"))
+    clean = {r.doc_id: r.text for r in quality.cleaned(spark.createDataFrame(rows, "doc_id long, source string, text string")).collect()}
+    assert sorted(clean) == list(range(1000))
+    assert all(clean[i] == prose(5000 + i, 3) + (f"\n{short}" if i < 30 else "") for i in range(1000))
+
+
 def test_language(spark, docs, empty):
     r = np.random.default_rng(1)
     tongues = {"aa": "ka ko ki ku ke".split(), "bb": "shro throng spelk wharn glimp".split(), "cc": "ouille eaux ette oire ien".split()}

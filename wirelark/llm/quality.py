@@ -81,12 +81,18 @@ def occurrences(rows: DataFrame) -> DataFrame:
     )
 
 
-def removals(rows: DataFrame, min_docs: int, max_share: float) -> DataFrame:
-    """(doc, n_removed, lines) of documents that hold lines over the limit: their words, and the lines' hashes."""
+def removals(rows: DataFrame, min_docs: int, max_share: float, long_words: int | None = None) -> DataFrame:
+    """(doc, n_removed, lines) of documents that hold lines over the limit: their words, and the lines' hashes.
+
+    For lines of ``long_words`` words or more (None: for none) the limit is ``min_docs``, however large the host.
+    """
     found = occurrences(rows)
     hosts = rows.select("_host", "_doc").distinct().groupBy("_host").agg(F.greatest(F.lit(min_docs).cast("double"), F.count(F.lit(1)) * max_share).alias("most"))
-    often = found.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.any_value("host").alias("_host")).where(F.col("n") > min_docs)
-    suspects = stored(often.join(hosts, "_host").where("n > most").select("h", "most"), "frequent-lines")
+    often = found.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.any_value("host").alias("_host"), F.any_value("n").alias("words")).where(F.col("n") > min_docs)
+    limited = often.join(hosts, "_host")
+    if long_words is not None:
+        limited = limited.withColumn("most", F.when(F.col("words") >= long_words, F.lit(min_docs).cast("double")).otherwise(F.col("most")))
+    suspects = stored(limited.where("n > most").select("h", "most"), "frequent-lines")
     at = found.join(suspects, "h").groupBy("h", "doc", "at").agg(F.any_value("n").alias("n"), F.any_value("most").alias("most"))
     by_doc = stored(at.groupBy("h", "doc").agg(F.sum("n").alias("n"), F.any_value("most").alias("most")), "suspect-lines")
     over = stored(by_doc.groupBy("h").agg(F.count(F.lit(1)).alias("docs"), F.any_value("most").alias("most")).where("docs > most").select("h"), "removed-lines")
@@ -119,11 +125,14 @@ def judge(docs: DataFrame, *, min_docs: int = 20, max_share: float = 0.1, min_wo
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_removed_words")
 
 
-def cleaned(docs: DataFrame, *, min_docs: int = 20, max_share: float = 0.1, min_words: int = 10, min_left: float = 0.2) -> DataFrame:
-    """The rows of ``docs`` that are kept, without the lines over the limit; n_chars, if there, is counted anew."""
+def cleaned(docs: DataFrame, *, min_docs: int = 20, max_share: float = 0.1, long_words: int | None = 8, min_words: int = 10, min_left: float = 0.2) -> DataFrame:
+    """The rows of ``docs`` that are kept, without the lines over the limit; n_chars, if there, is counted anew.
+
+    A line of ``long_words`` words or more does not repeat by chance, so its limit does not grow with the host.
+    """
     names = docs.columns
     rows = _prepared(docs.withColumnsRenamed({c: f"_in_{c}" for c in names}), "_in_source", "_in_text")
-    removed = removals(rows.select("_doc", "_host", "_text"), min_docs, max_share)
+    removed = removals(rows.select("_doc", "_host", "_text"), min_docs, max_share, long_words)
     plain = rows.select(F.col("_in_doc_id").alias("doc_id"), "_doc", "_text")
     judged = _judged(_measured(plain), removed, min_words, min_left).where("kept")
     # copies share a verdict
