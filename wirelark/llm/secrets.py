@@ -1,8 +1,9 @@
 """Operator 6: secrets, by patterns and by character Markov models. DataFrame functions only.
 
-Three patterns give the base spans. The method adds runs of key-like characters whose string is likelier under a first
-order Markov model of random strings than under one of ordinary identifiers: the mean log-likelihood ratio a character
-is over a threshold. Both models are trained from labelled samples (``text``, ``label`` 1 for random), by counting
+Three patterns give the base spans. The method adds runs of key-like characters, or what base matches leave of them,
+whose string is likelier under a first order Markov model of random strings than under one of ordinary identifiers: the
+mean log-likelihood ratio a character is over a threshold, and in short runs the whole ratio over a fixed evidence, so
+that the shorter a run the higher its mean must be. Both models are trained from labelled samples (``text``, ``label`` 1 for random), by counting
 character pairs; they are as large as the alphabet allows, whatever the samples' size.
 
 Places are code points, from 0, ends exclusive. A narrow map: no shuffle but the training counts. A null text is empty;
@@ -24,7 +25,9 @@ KINDS = {
     "hex": (r"[0-9a-f]{16,}", 0, 16),
 }
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+_BASE = "|".join(pattern.replace("((?i:", "(?:(?i:").replace("([A", "(?:[A") for pattern, _, _ in KINDS.values())
+SHORTEST, SHORT, EVIDENCE = 12, 20, 12.0
+CANDIDATE = rf"[A-Za-z0-9+/_=-]{{{SHORTEST},}}"
 START = len(ALPHABET)
 #: Words of ordinary identifiers, for the labelled samples.
 IDENTIFIER_WORDS = """account action active address admin alert amount answer api array async audio author balance batch
@@ -119,6 +122,13 @@ def _long_enough(least: int):
     return lambda x: F.length(x["g"]) >= least
 
 
+def _outside_base(run: Column) -> Column:
+    """(s, e, t) of what base matches leave of a run."""
+    gaps, cuts = F.split(run["t"], _BASE, -1), F.regexp_extract_all(run["t"], F.lit(_BASE), 0)
+    before = lambda i: F.length(F.array_join(F.slice(gaps, 1, i), "")) + F.length(F.array_join(F.slice(cuts, 1, i), ""))
+    return F.transform(gaps, lambda t, i: F.struct((run["s"] + before(i)).alias("s"), (run["s"] + before(i) + F.length(t)).alias("e"), t.alias("t")))
+
+
 def _of_kind(k: int):
     return lambda x: F.struct(x["s"].alias("s"), F.lit(k).alias("k"), x["e"].alias("e"), x["t"].alias("t"))
 
@@ -131,9 +141,10 @@ def find(docs: DataFrame, ratios: list[float], *, text: str = "text", threshold:
     rows = docs
     for k, (kind, (pattern, group, _)) in enumerate(KINDS.items()):
         rows = rows.withColumn(f"_{kind}", matches(whole, pattern, group))
-    run = matches(whole, CANDIDATE)
-    rows = rows.withColumn("_runs", F.filter(run, lambda x: x["t"].rlike("[0-9]") & x["t"].rlike("[A-Za-z]") & ~x["t"].rlike(f"{KINDS['access'][0]}|{KINDS['hex'][0]}")))
-    own = lambda x: ~F.exists(F.coalesce("_assign", F.array().cast("array<struct<s:int,e:int,t:string,g:string>>")), lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])) & (score(x["t"], ratios) > threshold)
+    rows = rows.withColumn("_runs", F.flatten(F.transform(F.filter(matches(whole, CANDIDATE), lambda x: x["t"].rlike("[A-Za-z]")), _outside_base)))
+    rows = rows.withColumn("_runs", F.filter("_runs", lambda x: (F.length(x["t"]) >= SHORTEST) & x["t"].rlike("[A-Za-z]")))
+    least = lambda x: F.when(F.length(x["t"]) < SHORT, EVIDENCE / F.length(x["t"])).otherwise(F.lit(threshold))
+    own = lambda x: ~F.exists(F.coalesce("_assign", F.array().cast("array<struct<s:int,e:int,t:string,g:string>>")), lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])) & (score(x["t"], ratios) > least(x))
     parts = []
     for k, kind in enumerate([*KINDS, "markov"]):
         source = F.filter("_runs", own) if kind == "markov" else F.filter(f"_{kind}", _long_enough(KINDS[kind][2]))
