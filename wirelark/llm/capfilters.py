@@ -12,7 +12,8 @@ classes into candidate groups; every pair of classes inside a group is verified,
 large. Only a pair of which no chain of filters finds the ends can be lost (``recall`` in tests: over 0.99).
 
 A vector that is null, zero, or holds null or non-finite components, or has a null label, links with nothing: n_links
-0, its own component. Vectors of different lengths never link. Rows that repeat a vec_id count as vectors of their own.
+0, its own component. Vectors of different lengths never link. Rows that repeat a vec_id count as vectors of their own. An
+empty table gives no rows; columns of other names are not read.
 """
 
 from __future__ import annotations
@@ -28,7 +29,6 @@ from pyspark.sql import functions as F
 
 from .common import Forest, cells, components, grid, starts_of, stored
 
-
 #: Sign bits for the first comparison.
 SIGNS = 128
 
@@ -87,15 +87,20 @@ def _unit(column: pa.Array) -> list[np.ndarray]:
 
 
 def classes_of(vectors: DataFrame) -> DataFrame:
-    """(node, label, vec, copies, first) of each distinct vector that can link; node is a hash of label and vector."""
+    """(vec_id, label, vec, node) of the vectors that can link; node is a hash of label and vector.
+
+    Vectors are divided by their largest component, so that no square overflows or vanishes, whatever their scale;
+    those that then are equal point the same way and are one class.
+    """
     finite = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").alias("label"), F.col("embedding").cast("array<double>").alias("vec"))
     good = v.where(F.col("label").isNotNull() & F.col("vec").isNotNull()).where(finite).where(F.exists("vec", lambda x: x != 0))
-    named = good.select("vec_id", "label", F.transform("vec", lambda x: x + F.lit(0.0)).alias("vec"))  # -0.0 as 0.0
+    largest = F.array_max(F.transform("vec", lambda x: F.abs(x)))
+    named = good.withColumn("_most", largest).select("vec_id", "label", F.transform("vec", lambda x: x / F.col("_most") + F.lit(0.0)).alias("vec"))  # -0.0 as 0.0
     return named.withColumn("node", F.xxhash64("label", "vec"))
 
 
-def cap_links(classes: DataFrame, expected: int, cosine: float, hot: int = 1024, **code) -> DataFrame:
+def cap_links(classes: DataFrame, expected: int, cosine: float, hot: int = 192, **code) -> DataFrame:
     """Links (a, b) of classes that share a filter and may be ``cosine`` near: a spanning forest of each bucket."""
     codes: dict[int, ProductCode] = {}
     share = math.acos(min(1.0, max(-1.0, cosine))) / math.pi  # of sign bits that differ at this cosine
@@ -151,7 +156,7 @@ def sides(chunk: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     return [(np.flatnonzero(chunk == chunk.min()), np.flatnonzero(chunk != chunk.min()))]
 
 
-def verified(members: DataFrame, cosine: float, hot: int = 1024) -> DataFrame:
+def verified(members: DataFrame, cosine: float, hot: int = 192) -> DataFrame:
     """Rows (node, other, links) of members (label, node, vec, copies) of candidate groups, compared exactly.
 
     ``links``: vectors of other classes that a class links within one cell; ``other`` (null: none) spans its links.

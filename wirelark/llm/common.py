@@ -1,16 +1,16 @@
-"""Shared pieces: the shared work folder, text batches, hot-key grids and connected components."""
+"""Shared pieces: text batches, hot-key grids and connected components."""
 
 from __future__ import annotations
 
-import os
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..shared import removed, stored, stored_at, work_dir  # noqa: F401 - the operators take them from here
+
 #: ASCII blanks that separate words: space and U+0009 to U+000D.
 BLANKS = " \t\n\x0b\f\r"
 #: The same set for a regular expression.
@@ -19,27 +19,16 @@ BLANK_RE = r"[\x20\x09-\x0D]"
 SLICE_ROWS = 256
 
 
-def work_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or one of our own where that is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = f"file:///tmp/checkpoints/{os.getpid()}"
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as Parquet in the shared folder and read back, which cuts its lineage."""
-    path = f"{work_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def crc_mod(doc_id: Column, n: int) -> Column:
     """crc32 of the decimal text of an id, modulo ``n``; null ids count as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n
 
 
+def pinned(value: Column) -> Column:
+    """``value``, computed once for each row: filters on it are not pushed below it, where it would be computed anew."""
+    return F.when(F.spark_partition_id() >= 0, value)
+
+
 def texts(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, list]]:
     """Slices of Arrow batches with one column as Python strings."""
     for batch in batches:
@@ -152,10 +141,12 @@ class Forest:
 def components(edges: DataFrame, name: str, rounds: int = 40) -> DataFrame:
     """Connected components of links (a, b) of longs, as (node, label): label is the smallest node reachable.
 
-    Alternates large-star and small-star steps; every round is written to the shared folder. Degrees are never
-    gathered in one row: a round takes a combinable minimum per node and one join. An empty input gives no rows.
+    Alternates large-star and small-star steps; every round is written to the shared folder, the round before goes.
+    Degrees are never gathered in one row: a round takes a combinable minimum per node and one join, whose hot nodes
+    Spark's adaptive skew handling splits (all rows of a node need one minimum alone). An empty input gives no rows.
     """
-    now = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{name}-links")
+    spark = edges.sparkSession
+    now, path = stored_at(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{name}-links")
     seen = _digest(now)
     for k in range(rounds):
         if not seen[0]:
@@ -165,7 +156,9 @@ def components(edges: DataFrame, name: str, rounds: int = 40) -> DataFrame:
         large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        now = stored(small.union(low.select("a", F.col("m").alias("b"))).distinct(), f"{name}-round{k}")
+        before = path
+        now, path = stored_at(small.union(low.select("a", F.col("m").alias("b"))).distinct(), f"{name}-round{k}")
+        removed(spark, before)
         was, seen = seen, _digest(now)
         if was == seen:
             break

@@ -1,9 +1,10 @@
 """Operator 4: language identification as inference of a mixture.
 
 Each language has a character model (trigrams, interpolated with shorter ones) learned from a bounded sample of
-labelled documents: about ``per_language`` documents a language, chosen by a hash of doc_id. A document's words are
-drawn from a mixture of languages; expectation-maximisation estimates its proportions from the words' likelihoods, and
-languages are dropped from its set, the smallest share first, as long as the penalised likelihood gets better.
+labelled documents: about ``per_language`` documents a language, chosen by a hash of doc_id, of the ``most`` languages
+with the most documents. A document's words are drawn from a mixture of languages; expectation-maximisation estimates its
+proportions from the words' likelihoods until no share moves by more than ``settled``, and languages are dropped from its
+set, the smallest share first; the set with the best penalised likelihood stays.
 
 A narrow map over all documents and whole texts. Null texts and texts without a letter are ``und`` with score 0, as is
 everything if no document can be learned from. Repeated rows repeat; ties go to the first language by name.
@@ -80,11 +81,34 @@ class CharacterModels:
         return total.astype("<f4").tobytes()
 
 
-def mixtures(logs: np.ndarray, sizes: np.ndarray, rounds: int = 6, penalty: float = 4.0) -> np.ndarray:
+def _expect_maximise(p: np.ndarray, share: np.ndarray, sizes: np.ndarray, settled: float, rounds: int) -> np.ndarray:
+    """Shares at which expectation-maximisation comes to rest, of each document on its own.
+
+    ``p``: likelihoods of the words (rows) of all documents. Documents at rest are set aside, so the others alone go on.
+    """
+    share, open_ = share.copy(), np.arange(len(sizes))
+    for _ in range(rounds):
+        of = np.repeat(np.arange(len(open_)), sizes[open_])
+        starts = np.concatenate([[0], np.cumsum(sizes[open_])[:-1]])
+        now = share[open_]
+        r = p * now[of]
+        r /= np.maximum(r.sum(axis=1), 1e-300)[:, None]
+        new = np.add.reduceat(r, starts, axis=0) / sizes[open_][:, None]
+        share[open_] = new
+        moving = np.abs(new - now).max(axis=1) > settled
+        if not moving.any():
+            break
+        if not moving.all():
+            p, open_ = p[moving[of]], open_[moving]
+    return share
+
+
+def mixtures(logs: np.ndarray, sizes: np.ndarray, penalty: float = 4.0, settled: float = 1e-3, rounds: int = 1000) -> np.ndarray:
     """Proportions of languages (rows: documents) for word log-likelihoods; ``sizes``: words of each document, over 0.
 
     Starts from all languages; then, one by one, the smallest goes and the rest is fitted again. Of all sets the one
     with the best penalised likelihood stays: ``penalty`` times the logarithm of the number of words a language.
+    ``rounds`` is a guard against a likelihood so flat that shares creep for ever.
     """
     docs, langs = len(sizes), logs.shape[1]
     starts, of = np.concatenate([[0], np.cumsum(sizes)[:-1]]), np.repeat(np.arange(docs), sizes)
@@ -93,10 +117,8 @@ def mixtures(logs: np.ndarray, sizes: np.ndarray, rounds: int = 6, penalty: floa
     share = np.full((docs, langs), 1.0 / langs)
     best, value = share.copy(), np.full(docs, -np.inf)
     for left in range(langs, 0, -1):
-        for _ in range(rounds if left > 1 else 1):
-            r = p * share[of]
-            s = np.maximum(r.sum(axis=1), 1e-300)
-            share = np.add.reduceat(r / s[:, None], starts, axis=0) / sizes[:, None]
+        if left > 1:
+            share = _expect_maximise(p, share, sizes, settled, rounds)
         s = np.maximum((p * share[of]).sum(axis=1), 1e-300)
         now = np.add.reduceat(np.log(s) + top, starts) - penalty * left * np.log(sizes + 1.0)
         better = now >= value
@@ -109,13 +131,14 @@ def mixtures(logs: np.ndarray, sizes: np.ndarray, rounds: int = 6, penalty: floa
     return best
 
 
-def learn(docs: DataFrame, per_language: int = 300, held_out: int = 2) -> CharacterModels:
-    """Models of the languages of documents whose crc32(doc_id) mod 4 is not ``held_out``.
+def learn(docs: DataFrame, per_language: int = 300, held_out: int = 2, most: int = 200) -> CharacterModels:
+    """Models of the ``most`` commonest languages of documents whose crc32(doc_id) mod 4 is not ``held_out``.
 
-    At most ``2 * per_language`` documents a language come to the driver, whatever the number of documents.
+    At most ``2 * per_language`` documents a language come to the driver, whatever the number of documents or labels.
     """
     known = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & (crc_mod(F.col("doc_id"), 4) != held_out))
-    sizes = {r.lang: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row a language
+    by_size = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(most)
+    sizes = {r.lang: r["n"] for r in by_size.collect()}  # at most ``most`` rows
     if not sizes:
         return CharacterModels([])
     share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, per_language / n))])
@@ -148,7 +171,7 @@ def _scored(models: CharacterModels, rows: list[str | None], cache: RecentCache)
 
 
 def identify(docs: DataFrame, models: CharacterModels, *, pred: str = "lang_pred", score: str = "score", sets: str = "lang_set") -> DataFrame:
-    """Adds the predicted language, its share of the words and the whole set, joined by ``+``, to each row."""
+    """Adds (or replaces) the predicted language, its share of the words and the whole set, joined by ``+``."""
     keep = docs.drop(pred, score, sets)
     schema = StructType([*keep.schema.fields, StructField(pred, StringType()), StructField(score, DoubleType()), StructField(sets, StringType())])
     sent = docs.sparkSession.sparkContext.broadcast(models)  # a few MB: n-grams of a bounded sample
@@ -173,6 +196,9 @@ def predictions(docs: DataFrame, per_language: int = 300) -> DataFrame:
 
 
 def identified(docs: DataFrame, per_language: int = 300, least: float = 0.3) -> DataFrame:
-    """The rows of ``docs`` whose language is determined with at least ``least`` of the words."""
-    found = identify(docs, learn(docs, per_language), pred="_pred", score="_score", sets="_set")
-    return found.where((F.col("_pred") != UNDETERMINED) & (F.col("_score") >= least)).select(*docs.columns)
+    """The rows of ``docs`` whose language is determined with at least ``least`` of the words; columns of any names."""
+    own = [f"_{k}_" for k in ("pred", "score", "set")]
+    while set(own) & set(docs.columns):  # a name that no column has
+        own = [f"_{c}" for c in own]
+    found = identify(docs, learn(docs.select("doc_id", "text", "lang"), per_language), pred=own[0], score=own[1], sets=own[2])
+    return found.where((F.col(own[0]) != UNDETERMINED) & (F.col(own[1]) >= least)).select(*[F.col(f"`{c}`") for c in docs.columns])

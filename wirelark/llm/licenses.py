@@ -1,14 +1,20 @@
 """Operator 10: license templates by MinHash bands over overlapping windows, then exact containment. DataFrame functions only.
 
-Templates and texts are cut in lower-case words and shingles of five words (a shorter template is one shingle of all its
-words). For each size of template, a text is cut in windows of that many shingles, every eighth of a window; a window's
-MinHash bands retrieve templates, and those with at least ``least`` of their distinct shingles in the window and an
-eighth of it on either side are found. ``bands`` is the smallest number of bands of two rows that retrieves a template
-at that containment with probability ``sure`` or more.
-
-Only windows near an anchor are made: anchors are words such that more than ``1 - least`` of each template's shingles
-hold one, so a window without any cannot contain enough of a template. A narrow map; templates are a bounded parameter and
-travel as literals. Null, empty and short texts hold no template; repeated rows repeat.
+Templates and texts are cut in lower-case words and shingles of five words. Every text is cut in overlapping windows of a
+few sizes, powers of two, one step being an eighth of the size, so that whatever stretch of text holds a template lies
+whole in a window of the template's size. A window's MinHash values are its bands; they are looked up in a table of the
+templates' bands, and a window that shares a band with a template is verified exactly: the share of the template's
+distinct shingles that the window holds must be ``least`` or more. ``bands`` is set so that a window which holds that
+share retrieves the template with probability ``sure`` or more. Templates of up to ``SMALL`` shingles have each shingle
+for a band, and windows of one shingle: these are found for certain, and must stand there whole, since a single word tells
+one license's notice from another's.
+
+A band can only collide if the window holds the template's shingle whose value it is; so the values are computed for all
+windows of the texts that hold a shingle of any template, and the others are passed over without loss. Values are minima
+of minima of blocks, so a shingle is hashed once for each band. Windows with a band that some template has are joined to
+the table of bands. The templates are a bounded parameter.
+Null, empty and short texts hold no template; very long ones take work in proportion; repeated rows repeat; an empty table
+gives no rows; columns of any name are left alone.
 """
 
 from __future__ import annotations
@@ -16,156 +22,161 @@ from __future__ import annotations
 import math
 import re
 
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SHINGLE, ROWS, LEAST, SURE, STEPS = 5, 2, 0.8, 0.99, 8
-#: name -> text. The notices that the licenses ask for.
-TEMPLATES = {
-    "mit-short": "Released under the MIT License.",
-    "cc-by-nc-4.0-short": "Licensed under CC BY-NC 4.0.",
-    "cc-by-4.0-short": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    "apache-2.0-short": "Licensed under the Apache License, Version 2.0.",
-    "gpl-3.0-short": "This work is licensed under the GNU General Public License, version 3.",
-    "all-rights-reserved": "All rights reserved.",
-    "mit": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
-documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
-rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit
-persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and
-this permission notice shall be included in all copies or substantial portions of the Software.""",
-    "apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in
-compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless
-required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS"
-BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific
-language governing permissions and limitations under the License.""",
-    "gpl-3.0": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU
-General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your
-option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;
-without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public
-License for more details.""",
-    "bsd-2-clause": """Redistribution and use in source and binary forms, with or without modification, are permitted
-provided that the following conditions are met: Redistributions of source code must retain the above copyright notice,
-this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright
-notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with
-the distribution.""",
-    "isc": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is
-hereby granted, provided that the above copyright notice and this permission notice appear in all copies.""",
-    "mpl-2.0": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the
-MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.""",
-}
+from .common import pinned, stored
+from .license_texts import templates as common_templates
+
+SHINGLE, LEAST, SURE, STEPS, SMALL = 5, 0.8, 0.99, 8, 16
+#: Windows of the smallest size above one shingle, and the block whose minima they are made of.
+SMALLEST, BLOCK = 32, 4
 
 
 def template_words(text: str) -> list[str]:
     return [w for w in re.split(r"[\W_]+", text.lower()) if w]
 
 
-def anchors(templates: dict[str, str], least: float = LEAST) -> list[str]:
-    """Words, long ones first choice, such that more than ``1 - least`` of every template's shingles hold one."""
-    chosen: set[str] = set()
-    for text in templates.values():
-        words = template_words(text)
-        size = min(SHINGLE, len(words))
-        shingles = {tuple(words[i : i + size]) for i in range(len(words) - size + 1)}
-        holding = lambda s, more=frozenset(): sum(bool((chosen | more) & set(x)) for x in s)  # noqa: E731, B023
-        while holding(shingles) <= (1 - least) * len(shingles):
-            free = sorted(set(words) - chosen, key=lambda w: (len(w) >= 6, holding(shingles, {w}), len(w), w))
-            chosen.add(free[-1])
-    return sorted(chosen)
+def bands_needed(least: float = LEAST, sure: float = SURE) -> int:
+    """Bands of one value each, so that a window with ``least`` of a template collides with probability ``sure``.
 
+    At worst the window is as large as it can be for the template, two steps of the sizes, and holds nothing else of it.
+    """
+    largest = 2 * STEPS / (STEPS - 1)
+    jaccard = least / (1 + largest - least)
+    return math.ceil(math.log(1 - sure) / math.log(1 - jaccard))
 
-def bands_needed(least: float = LEAST, sure: float = SURE) -> int:
-    """At containment ``least`` and the worst offset, half a step: bands of ROWS rows for a collision with probability ``sure``."""
-    shared = least - 0.5 / STEPS
-    jaccard = shared / (2 - shared)
-    return math.ceil(math.log(1 - sure) / math.log(1 - jaccard**ROWS))
+
+def window_of(shingles: int) -> int:
+    """The size of window for a template: 1, or the least power of two that holds it whole wherever it starts."""
+    if shingles <= SMALL:
+        return 1
+    return max(SMALLEST, 1 << math.ceil(math.log2(shingles * STEPS / (STEPS - 1))))
+
+
+def seeds(count: int) -> list[int]:
+    """One number for each band: a hash is permuted by exclusive or with it."""
+    return [int.from_bytes(xxhash.xxh64_digest(f"band {j}"), "big", signed=True) for j in range(count)]
 
 
 def words_of(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
-def shingle_hashes(words: Column, size: int) -> Column:
-    """Of a column of hashed words: a hash of each ``size`` neighbours."""
-    at = lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(size)])
-    return F.when(F.size(words) >= size, F.transform(F.sequence(F.lit(0), F.size(words) - size), at)).otherwise(F.array().cast("array<long>"))
-
-
-def bands(shingles: Column, count: int) -> Column:
-    """A window's band keys, from its shingle hashes."""
-    least = F.transform(F.sequence(F.lit(0), F.lit(count * ROWS - 1)), lambda j: F.array_min(F.transform(shingles, lambda x: F.xxhash64(x, j))))
-    keyed = lambda m: F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda b: F.xxhash64(b, *[F.get(m, b * ROWS + r) for r in range(ROWS)]))
-    return F.get(F.transform(F.array(least), keyed), 0)
-
-
-def prepared(spark: SparkSession, templates: dict[str, str]) -> list[dict]:
-    """Each template's shingle size, distinct shingles and band keys: one row a template, computed by Spark."""
-    count, out = bands_needed(), []
-    sized = {name: min(SHINGLE, len(template_words(text))) for name, text in templates.items()}
-    for size in sorted(set(sized.values()) - {0}):
-        rows = spark.createDataFrame([(n, templates[n]) for n, k in sized.items() if k == size], "name string, text string")
-        rows = rows.select("name", F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w)).alias("w"))
-        rows = rows.select("name", shingle_hashes(F.col("w"), size).alias("s"))
-        for row in rows.select("name", F.array_distinct("s").alias("s"), F.size("s").alias("n"), bands(F.col("s"), count).alias("b")).collect():
-            out.append({"name": row.name, "size": size, "window": row.n, "shingles": row.s, "bands": row.b})
-    return sorted(out, key=lambda t: t["name"])
-
-
-def _found(column: str, window: int, group: list[dict], least: float) -> Column:
-    """(name, share) of the templates of one size and window in one text's shingles."""
-    step, count, s = max(1, window // STEPS), bands_needed(), F.col(column)
-    last = F.greatest(F.size(s) - window, F.lit(0))
-    shape = "array<struct<name:string,share:double>>"
-
-    def hits(start: Column, keys: Column) -> Column:
-        near = F.slice(s, F.greatest(start - step, F.lit(0)) + 1, F.lit(window) + F.least(start, F.lit(step)) + step)
-        tests = []
-        for t in group:
-            share = F.size(F.array_intersect(near, F.lit(t["shingles"]))) / F.lit(float(len(t["shingles"])))
-            tests.append(F.struct(F.lit(t["name"]).alias("name"), F.when(F.arrays_overlap(F.lit(t["bands"]), keys), share).otherwise(0.0).alias("share")))
-        return F.filter(F.array(*tests), lambda x: x["share"] >= least)
-
-    def at(start: Column) -> Column:
-        keys = bands(F.slice(s, start + 1, window), count)
-        return F.get(F.transform(F.array(keys), lambda k: hits(start, k)), 0)
-
-    reach, none = window + step + group[0]["size"] - 2, F.array().cast("array<int>")
-
-    def near(p: Column) -> Column:
-        """Starts whose window, with an eighth on either side, holds the word at ``p``; the last start too."""
-        low, high = F.greatest(p - reach, F.lit(0)), F.least(p + step, last)
-        first = low + (step - 1) - F.pmod(low + (step - 1), F.lit(step))
-        end = F.when((low <= last) & (last <= high), F.array(last)).otherwise(none)
-        return F.concat(F.when(first <= high, F.sequence(first, high, F.lit(step))).otherwise(none), end)
-
-    starts = F.array_distinct(F.flatten(F.transform("_la", near)))
-    return F.when(F.size(s) > 0, F.flatten(F.transform(starts, at))).otherwise(F.array().cast(shape))
-
-
-def scan(docs: DataFrame, templates: dict[str, str] | None = None, *, least: float = LEAST, found: str = "licenses") -> DataFrame:
-    """Adds the column ``found``: array of (name, share) of the templates a text holds, by name, with the best share."""
-    templates = templates or TEMPLATES
-    known = prepared(docs.sparkSession, templates)
-    shape = "array<struct<name:string,share:double>>"
-    if not known:
-        return docs.withColumn(found, F.array().cast(shape))
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    held = F.lower(text).rlike("|".join(anchors(templates, least)))
-    anchored = F.filter(F.transform(words_of(text), lambda w, i: F.when(w.isin(*anchors(templates, least)), i)), lambda i: i.isNotNull())
-    rows = docs.withColumns({"_lw": F.when(held, F.transform(words_of(text), lambda w: F.xxhash64(w))), "_la": F.when(held, anchored)})
-    sizes = sorted({t["size"] for t in known})
-    rows = rows.withColumns({f"_l{k}": F.when(F.col("_lw").isNotNull(), shingle_hashes(F.col("_lw"), k)) for k in sizes})
-    classes: dict[tuple[int, int], list[dict]] = {}
-    for t in known:
-        classes.setdefault((t["size"], t["window"]), []).append(t)
-    hits = F.concat(*[_found(f"_l{k}", window, group, least) for (k, window), group in sorted(classes.items())])
-    rows = rows.withColumn("_hits", F.when(F.col("_lw").isNotNull(), F.sort_array(hits, asc=False))).drop("_lw", "_la", *[f"_l{k}" for k in sizes])
-    first = F.filter("_hits", lambda x, i: (i == 0) | (F.get("_hits", i - 1)["name"] != x["name"]))
-    return rows.withColumn(found, F.coalesce(F.sort_array(first), F.array().cast(shape))).drop("_hits")
-
-
-def licensed(docs: DataFrame) -> DataFrame:
+def shingles_of(words: Column) -> Column:
+    """Of a column of hashed words: a hash of each five neighbours; none of fewer words."""
+    at = lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(SHINGLE)])
+    return F.when(F.size(words) >= SHINGLE, F.transform(F.sequence(F.lit(0), F.size(words) - SHINGLE), at)).otherwise(F.array().cast("array<long>"))
+
+
+def _least(values: Column, seed: Column) -> Column:
+    return F.array_min(F.transform(values, lambda x: x.bitwiseXOR(seed)))
+
+
+def with_shingles(rows: DataFrame, text: Column) -> DataFrame:
+    """Adds ``_s``, the hashes of a text's shingles."""
+    rows = rows.withColumn("_w", F.transform(words_of(F.coalesce(text.cast("string"), F.lit(""))), lambda w: F.xxhash64(w)))
+    return rows.withColumn("_s", pinned(shingles_of(F.col("_w")))).drop("_w")
+
+
+def prepared(spark: SparkSession, templates: dict[str, list[str]], least: float = LEAST) -> tuple[DataFrame, DataFrame, dict[int, list[int]], list[int]]:
+    """Two tables, (template, license, n, shingles, needed) and (window, band, template), all bands by window and all shingles: computed by Spark."""
+    flat = [(i, name, text) for i, (name, text) in enumerate((n, t) for n, ts in sorted(templates.items()) for t in ts)]
+    short = [t for _, _, t in flat if len(template_words(t)) < SHINGLE]
+    if short:
+        raise ValueError(f"a template of fewer than {SHINGLE} words: {short[0]!r}")
+    rows = with_shingles(spark.createDataFrame(flat, "template int, license string, text string"), F.col("text"))
+    each = F.transform(F.lit(seeds(bands_needed(least))), lambda seed: _least(F.col("_s"), seed))
+    table, bands, known = [], [], {}
+    for r in rows.select("template", "license", F.array_distinct("_s").alias("s"), F.size("_s").alias("n"), each.alias("m")).collect():  # one row a template
+        window = window_of(r.n)
+        own = r.s if window == 1 else [_key(window, j, m) for j, m in enumerate(r.m)]
+        table.append((r.template, r.license, len(r.s), r.s, 1.0 if window == 1 else least))
+        bands += [(window, b, r.template) for b in own]
+        known.setdefault(window, []).extend(own)
+    shapes = "template int, license string, n int, shingles array<long>, needed double", "window int, band long, template int"
+    return spark.createDataFrame(table, shapes[0]), spark.createDataFrame(bands, shapes[1]), {w: sorted(set(b)) for w, b in known.items()}, sorted({x for t in table for x in t[3]})
+
+
+def _key(window: int, j: int, value: int) -> int:
+    """A band's key: its value, turned by window and number, so that keys of different bands do not meet."""
+    return value ^ int.from_bytes(xxhash.xxh64_digest(f"key {window} {j}"), "big", signed=True)
+
+
+def _small(known: list[int]) -> Column:
+    """Windows of one shingle whose shingle is a band; ``near`` is as far around as a small template can reach."""
+    hits = F.filter(F.transform("_s", lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda z: z["x"].isin(known))
+    low = lambda i: F.greatest(i - SMALL, F.lit(0))
+    return F.transform(hits, lambda z: F.struct(F.lit(1).alias("window"), low(z["i"]).alias("start"), F.lit(2 * SMALL + 1).alias("size"), F.array(z["x"]).alias("bands")))
+
+
+def _windows(minima: str, window: int, known: list[int], turns: list[int]) -> Column:
+    """Windows of eight blocks with a band that a template has; ``minima``: of each band, the blocks' minima."""
+    step = window // STEPS
+    blocks = F.size(F.get(minima, 0))
+    last = F.greatest(blocks - STEPS, F.lit(0))
+
+    def at(b: Column) -> Column:
+        keys = F.transform(minima, lambda m, j: F.array_min(F.slice(m, b + 1, STEPS)).bitwiseXOR(F.get(F.lit(turns), j)))
+        return F.struct(F.lit(window).alias("window"), (b * step).alias("start"), F.lit(window).alias("size"), F.filter(keys, lambda k: k.isin(known)).alias("bands"))
+
+    return F.filter(F.transform(F.sequence(F.lit(0), last), at), lambda w: F.size(w["bands"]) > 0)
+
+
+def candidates(rows: DataFrame, known: dict[int, list[int]], shingles: list[int], least: float = LEAST) -> DataFrame:
+    """Adds ``_windows``, the windows with a band of some template, to rows with ``_s``; rows without any go."""
+    count, sizes = bands_needed(least), sorted(w for w in known if w > 1)
+    rows = rows.where(F.exists("_s", lambda x: x.isin(shingles)))
+    parts = [_small(known[1])] if 1 in known else []
+    if sizes:
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size("_s") - 1) / BLOCK).cast("int")), lambda b: F.slice("_s", b * BLOCK + 1, BLOCK))
+        rows = rows.withColumn("_blocks", blocks)
+        rows = rows.withColumn("_m0", F.transform(F.lit(seeds(count)), lambda seed: F.transform("_blocks", lambda x: _least(x, seed))))
+    width, level = BLOCK, 0
+    for window in sizes:
+        while width < window // STEPS:  # blocks of twice the size, from two neighbours each
+            pair = lambda m: F.transform(F.sequence(F.lit(0), F.floor((F.size(m) - 1) / 2).cast("int")), lambda i: F.least(F.get(m, 2 * i), F.get(m, 2 * i + 1)))
+            rows = rows.withColumn(f"_m{level + 1}", F.transform(f"_m{level}", pair))
+            width, level = 2 * width, level + 1
+        turns = [_key(window, j, 0) for j in range(count)]
+        parts.append(_windows(f"_m{level}", window, known[window], turns))
+    return rows.withColumn("_windows", pinned(F.concat(*parts)))
+
+
+def hits(texts: DataFrame, templates: dict[str, list[str]], least: float = LEAST) -> DataFrame:
+    """(key, license, share) of the licenses that the texts of (key, text) hold: the best share of their templates."""
+    table, bands, known, shingles = prepared(texts.sparkSession, templates, least)
+    rows = candidates(with_shingles(texts.select("key", "text"), F.col("text")).drop("text"), known, shingles, least)
+    rows = rows.select("key", "_s", F.explode("_windows").alias("w"))
+    rows = rows.select("key", F.col("w")["window"].alias("window"), F.slice("_s", F.col("w")["start"] + 1, F.col("w")["size"]).alias("near"), F.explode(F.col("w")["bands"]).alias("band"))
+    found = rows.join(bands, ["window", "band"]).join(table, "template")
+    share = F.size(F.array_intersect("near", "shingles")) / F.col("n")
+    return found.select("key", "license", share.alias("share"), "needed").where("share >= needed").groupBy("key", "license").agg(F.max("share").alias("share"))
+
+
+def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None, *, least: float = LEAST, found: str = "licenses") -> DataFrame:
+    """Adds (or replaces) the column ``found``: array of (name, share) of the licenses a text holds, by name.
+
+    A text's licenses depend on the text alone, so they are found by the texts' MD5, which copies share, and joined to
+    the rows. They are written first, so that Spark broadcasts them only if their size on disk is under its threshold.
+    """
+    templates = common_templates() if templates is None else templates
+    names = [c for c in docs.columns if c != found]
+    rows = docs.select(*[F.col(c).alias(f"_in_{c}") for c in names])
+    none = F.array().cast("array<struct<name:string,share:double>>")
+    if not any(templates.values()):
+        return docs.select(*names, none.alias(found))
+    text = F.coalesce(F.col("_in_text").cast("string"), F.lit(""))
+    held = stored(hits(rows.select(F.md5(text.cast("binary")).alias("key"), text.alias("text")), templates, least), "licenses")
+    by_text = held.groupBy("key").agg(F.sort_array(F.collect_list(F.struct(F.col("license").alias("name"), "share"))).alias("_found"))  # at most all licenses
+    joined = rows.withColumn("key", F.md5(text.cast("binary"))).join(by_text, "key", "left")
+    return joined.select(*[F.col(f"_in_{c}").alias(c) for c in names], F.coalesce("_found", none).alias(found))
+
+
+def licensed(docs: DataFrame, templates: dict[str, list[str]] | None = None) -> DataFrame:
     """Per row: doc_id, n_licenses, licenses (names, comma-joined), best_share."""
-    rows = scan(docs.select("doc_id", "text"), found="_found")
+    rows = scan(docs.select("doc_id", "text"), templates, found="_found")
     return rows.select(
         "doc_id", F.size("_found").cast("long").alias("n_licenses"), F.array_join(F.transform("_found", lambda x: x["name"]), ",").alias("licenses"),
         F.coalesce(F.array_max(F.transform("_found", lambda x: x["share"])), F.lit(0.0)).alias("best_share"),

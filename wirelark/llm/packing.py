@@ -133,15 +133,10 @@ def pack_documents(docs: DataFrame, path: str | None = None, *, tokens: int = 40
                 raw = bpe.encode(text) + end
                 size = len(raw) // 4
                 pool[n] = (doc_id, raw)
-                full = size // tokens
-                if full:  # a sequence of its own for each full length
-                    yield from batch([(n, i * tokens, tokens, packer.sequence + i, 0) for i in range(full)])
-                    packer.sequence += full
-                if rest := size - full * tokens:
-                    packer.add(n, rest, rest, full * tokens)
-                    held += rest
-                else:
-                    del pool[n]
+                for start in range(0, size, tokens):  # each full length asks for a sequence of its own
+                    part_size = min(tokens, size - start)
+                    packer.add(n, part_size, part_size, start)
+                    held += part_size
                 n += 1
                 if len(packer.keys) >= POOL_EXAMPLES or held >= POOL_TOKENS:
                     yield from flush(False)

@@ -131,7 +131,7 @@ def cleaned(docs: DataFrame, *, min_docs: int = 20, max_share: float = 0.1, long
     A line of ``long_words`` words or more does not repeat by chance, so its limit does not grow with the host.
     """
     names = docs.columns
-    rows = _prepared(docs.withColumnsRenamed({c: f"_in_{c}" for c in names}), "_in_source", "_in_text")
+    rows = _prepared(docs.toDF(*[f"_in_{c}" for c in names]), "_in_source", "_in_text")
     removed = removals(rows.select("_doc", "_host", "_text"), min_docs, max_share, long_words)
     plain = rows.select(F.col("_in_doc_id").alias("doc_id"), "_doc", "_text")
     judged = _judged(_measured(plain), removed, min_words, min_left).where("kept")

@@ -1,13 +1,18 @@
 """Operator 6: secrets, by patterns and by character Markov models. DataFrame functions only.
 
-Three patterns give the base spans. The method adds runs of key-like characters, or what base matches leave of them,
-whose string is likelier under a first order Markov model of random strings than under one of ordinary identifiers: the
-mean log-likelihood ratio a character is over a threshold, and in short runs the whole ratio over a fixed evidence, so
-that the shorter a run the higher its mean must be. Both models are trained from labelled samples (``text``, ``label`` 1 for random), by counting
-character pairs; they are as large as the alphabet allows, whatever the samples' size.
-
-Places are code points, from 0, ends exclusive. A narrow map: no shuffle but the training counts. A null text is empty;
-repeated rows repeat; other columns are left alone.
+Three patterns give the base spans. The method looks at every run of key-like characters that base spans leave of a
+text, on either side of them too, and adds those likelier under a first order Markov model of random strings than under
+one of ordinary strings: the mean log-likelihood ratio a character is over a threshold, and the whole ratio over a fixed
+evidence, so that the shorter a run the higher its mean must be. There is no other rule: what a run is made of is left
+to the models. A run has ``SHORTEST`` characters at least, as many as a base value.
+
+Both models are trained from labelled samples (``text``, ``label`` 1 for random), by counting character pairs; they are
+as large as the alphabet allows, whatever the samples' size. Ordinary samples are identifiers, words, numbers, dates
+and rulers.
+
+Places are code points, from 0, ends exclusive. A narrow map: no shuffle but the training counts. Work and memory grow in
+proportion to a text: spans are cut by splitting it, never by searching it anew for each. A null text is empty; repeated
+rows repeat; an empty table gives no rows; other columns, whatever their names, are left alone.
 """
 
 from __future__ import annotations
@@ -17,6 +22,8 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import let
+
 #: kind -> (pattern, group whose length counts, least length). Of hex and access keys only long enough runs match: a
 #: shorter run holds no other match, so this finds what matching all runs and dropping short ones would.
 KINDS = {
@@ -25,8 +32,9 @@ KINDS = {
     "hex": (r"[0-9a-f]{16,}", 0, 16),
 }
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-_BASE = "|".join(pattern.replace("((?i:", "(?:(?i:").replace("([A", "(?:[A") for pattern, _, _ in KINDS.values())
-SHORTEST, SHORT, EVIDENCE = 12, 20, 12.0
+#: Noncharacters of Unicode, for internal use: the first and the other characters of a span in a masked text.
+FIRST, REST = "\ufdd0", "\ufdd1"
+SHORTEST, EVIDENCE = 12, 18.0
 CANDIDATE = rf"[A-Za-z0-9+/_=-]{{{SHORTEST},}}"
 START = len(ALPHABET)
 #: Words of ordinary identifiers, for the labelled samples.
@@ -53,7 +61,10 @@ vector version video view virtual visible warning widget width window worker wor
 
 
 def labelled_samples(spark: SparkSession, each: int = 4000) -> DataFrame:
-    """(text, label): ``each`` random strings of three alphabets, and as many identifiers of two to five words."""
+    """(text, label): ``each`` random strings of three alphabets, and as many ordinary ones.
+
+    Ordinary ones are two to five words joined in five styles, and for every fourth a number, a date or a ruler.
+    """
     words = F.lit(IDENTIFIER_WORDS)
     ids = spark.range(each, numPartitions=2)
     draw = lambda salt, n: F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(n)).cast("int")
@@ -70,7 +81,13 @@ def labelled_samples(spark: SparkSession, each: int = 4000) -> DataFrame:
         F.when(style == 0, F.array_join("picked", "_")).when(style == 1, F.array_join("picked", "-")).when(style == 2, camel)
         .when(style == 3, F.upper(F.array_join("picked", "_"))).otherwise(F.array_join("picked", "/"))
     )
-    plain = ids.withColumn("picked", picked).select(F.concat(joined, number).alias("text"), F.lit(0).alias("label"))
+    digits = lambda salt: F.translate(F.substring(F.sha2(F.concat(F.lit(salt), F.col("id").cast("string")), 256), 1, 14), "abcdef", "012345")
+    date = F.date_format(F.date_add(F.lit("1990-01-01").cast("date"), draw("date", 15000)), "yyyy-MM-dd")
+    figures = (
+        F.when(style == 0, digits("a")).when(style == 1, F.concat_ws("-", date, F.substring(digits("b"), 1, 4))).when(style == 2, F.translate(date, "-", "/"))
+        .when(style == 3, F.repeat(F.get(F.lit(["-", "=", "_", "/"]), draw("ruler", 4)), 12 + draw("long", 30))).otherwise(F.concat_ws("-", *[F.substring(digits(x), 1, 3) for x in "cdef"]))
+    )
+    plain = ids.withColumn("picked", picked).select(F.when(F.col("id") % 4 == 0, figures).otherwise(F.concat(joined, number)).alias("text"), F.lit(0).alias("label"))
     return random.unionByName(plain)
 
 
@@ -99,57 +116,100 @@ def score(text: Column, ratios: list[float]) -> Column:
     return F.aggregate(F.split(text, ""), F.struct(F.lit(START).alias("p"), F.lit(0.0).alias("s")), step, lambda a: a["s"]) / F.length(text)
 
 
-def _starts(sizes: Column) -> Column:
-    """Start of each match, from (gap before it, its length); sums by chunks, so that long arrays are not copied per match."""
+def _placed(pairs: Column) -> Column:
+    """(s, e, t, g) of each match, from the gaps before them (g, the gap's length; t, the match; w, its group).
+
+    Running sums by chunks, so that no long array is copied for each match.
+    """
     chunk = 256
     empty = F.array().cast("array<int>")
-    run = lambda xs, at: F.aggregate(xs, F.struct(at.cast("int").alias("p"), empty.alias("o")), lambda a, x: F.struct((a["p"] + x["g"] + x["m"]).alias("p"), F.concat(a["o"], F.array(a["p"] + x["g"])).alias("o")), lambda a: a["o"])
-    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(sizes) - 1) / chunk).cast("int")), lambda c: F.slice(sizes, c * chunk + 1, chunk))
-    totals = F.transform(chunks, lambda xs: F.struct(F.lit(0).alias("g"), F.aggregate(xs, F.lit(0), lambda a, x: a + x["g"] + x["m"]).alias("m")))
-    return F.flatten(F.transform(F.arrays_zip(chunks.alias("c"), run(totals, F.lit(0)).alias("s")), lambda z: run(z["c"], z["s"])))
+
+    def run(xs: Column, at: Column) -> Column:
+        step = lambda a, x: F.struct((a["p"] + x["g"] + x["m"]).alias("p"), F.concat(a["o"], F.array(a["p"] + x["g"])).alias("o"))
+        return F.aggregate(xs, F.struct(at.cast("int").alias("p"), empty.alias("o")), step, lambda a: a["o"])
+
+    def starts(p: Column) -> Column:
+        cut = F.transform(F.sequence(F.lit(0), F.floor((F.size(p) - 1) / chunk).cast("int")), lambda c: F.slice(p, c * chunk + 1, chunk))
+
+        def whole(chunks: Column) -> Column:
+            totals = F.transform(chunks, lambda xs: F.struct(F.lit(0).alias("g"), F.aggregate(xs, F.lit(0), lambda a, x: a + x["g"] + x["m"]).alias("m")))
+            return F.flatten(F.zip_with(chunks, run(totals, F.lit(0)), run))
+
+        return let(cut, whole)
+
+    span = lambda x, s: F.struct(s.alias("s"), (s + x["m"]).alias("e"), x["t"].alias("t"), x["w"].alias("g"))
+    return let(pairs, lambda p: F.zip_with(p, starts(p), span))
 
 
 def matches(text: Column, pattern: str, group: int = 0) -> Column:
     """(s, e, t, g) of all leftmost non-overlapping matches: places, the match and a group of it. Null if there is none."""
+    found = F.regexp_extract_all(text, F.lit(pattern), 0)
+    named = F.arrays_zip(found.alias("t"), (F.regexp_extract_all(text, F.lit(pattern), group) if group else found).alias("w"))
+    pair = lambda gap, x: F.struct(F.length(gap).alias("g"), F.length(x["t"]).alias("m"), x["t"].alias("t"), x["w"].alias("w"))
+    pairs = F.filter(F.zip_with(F.split(text, pattern, -1), named, pair), lambda x: x["t"].isNotNull())  # no match after the last gap
+    return F.when(text.rlike(pattern), _placed(pairs))
+
+
+def _masked(text: Column, pattern: str, keep=None, group: int = 0) -> Column:
+    """The text with each match replaced by marks, as many as it has characters; ``keep``: which matches (group -> bool) stay."""
     gaps, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), 0)
-    sizes = F.transform(found, lambda m, i: F.struct(F.length(F.get(gaps, i)).alias("g"), F.length(m).alias("m")))
-    named = F.arrays_zip(_starts(sizes).alias("s"), found.alias("t"), (F.regexp_extract_all(text, F.lit(pattern), group) if group else found).alias("g"))
-    spans = F.transform(named, lambda z: F.struct(z["s"].alias("s"), (z["s"] + F.length(z["t"])).alias("e"), z["t"].alias("t"), z["g"].alias("g")))
-    return F.when(text.rlike(pattern), spans)
+    mark = lambda t: F.concat(F.lit(FIRST), F.repeat(F.lit(REST), F.length(t) - 1))
+    if keep is None:
+        out = F.transform(found, mark)
+    else:
+        judged = found if not group else F.regexp_extract_all(text, F.lit(pattern), group)
+        out = F.transform(F.arrays_zip(found.alias("t"), judged.alias("g")), lambda z: F.when(keep(z["g"]), z["t"]).otherwise(mark(z["t"])))
+    whole = F.array_join(F.zip_with(gaps, out, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    return F.when(text.rlike(pattern), whole).otherwise(text)
 
 
 def _long_enough(least: int):
     return lambda x: F.length(x["g"]) >= least
 
 
-def _outside_base(run: Column) -> Column:
-    """(s, e, t) of what base matches leave of a run."""
-    gaps, cuts = F.split(run["t"], _BASE, -1), F.regexp_extract_all(run["t"], F.lit(_BASE), 0)
-    before = lambda i: F.length(F.array_join(F.slice(gaps, 1, i), "")) + F.length(F.array_join(F.slice(cuts, 1, i), ""))
-    return F.transform(gaps, lambda t, i: F.struct((run["s"] + before(i)).alias("s"), (run["s"] + before(i) + F.length(t)).alias("e"), t.alias("t")))
-
-
 def _of_kind(k: int):
     return lambda x: F.struct(x["s"].alias("s"), F.lit(k).alias("k"), x["e"].alias("e"), x["t"].alias("t"))
 
 
-def find(docs: DataFrame, ratios: list[float], *, text: str = "text", threshold: float = 0.5, spans: str = "spans") -> DataFrame:
-    """Adds the column ``spans``: array of (s, k, e, t) by start, then kind; k counts kinds, 3 is the method's own."""
-    shape = "array<struct<s:int,k:int,e:int,t:string>>"
-    none = F.array().cast(shape)
-    whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    rows = docs
-    for k, (kind, (pattern, group, _)) in enumerate(KINDS.items()):
+def _judge(ratios: list[float], threshold: float):
+    """Whether a run is random: its mean ratio over the threshold and its whole ratio over the evidence."""
+    return lambda t: score(t, ratios) > F.greatest(F.lit(threshold), F.lit(EVIDENCE) / F.length(t))
+
+
+def _with_masks(rows: DataFrame, whole: Column) -> DataFrame:
+    """Adds ``_masked``: the text with all base spans masked, each kind in what the kinds before it left."""
+    masked = whole
+    for pattern, group, least in KINDS.values():
+        masked = _masked(masked, pattern, (lambda g, n=least: F.length(g) < n) if group else None, group)
+        rows = rows.withColumn("_masked", masked)
+        masked = F.col("_masked")
+    return rows
+
+
+def _found(rows: DataFrame, whole: Column, ratios: list[float], threshold: float) -> DataFrame:
+    """Adds ``_spans``: array of (s, k, e, t) by start, then kind; k counts kinds, 3 is the method's own."""
+    none = F.array().cast("array<struct<s:int,k:int,e:int,t:string>>")
+    for kind, (pattern, group, _) in KINDS.items():
         rows = rows.withColumn(f"_{kind}", matches(whole, pattern, group))
-    rows = rows.withColumn("_runs", F.flatten(F.transform(F.filter(matches(whole, CANDIDATE), lambda x: x["t"].rlike("[A-Za-z]")), _outside_base)))
-    rows = rows.withColumn("_runs", F.filter("_runs", lambda x: (F.length(x["t"]) >= SHORTEST) & x["t"].rlike("[A-Za-z]")))
-    least = lambda x: F.when(F.length(x["t"]) < SHORT, EVIDENCE / F.length(x["t"])).otherwise(F.lit(threshold))
-    own = lambda x: ~F.exists(F.coalesce("_assign", F.array().cast("array<struct<s:int,e:int,t:string,g:string>>")), lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])) & (score(x["t"], ratios) > least(x))
+    rows = _with_masks(rows, whole)
+    judge = _judge(ratios, threshold)
+    rows = rows.withColumn("_markov", F.filter(matches(F.col("_masked"), CANDIDATE), lambda x: judge(x["t"])))
     parts = []
-    for k, kind in enumerate([*KINDS, "markov"]):
-        source = F.filter("_runs", own) if kind == "markov" else F.filter(f"_{kind}", _long_enough(KINDS[kind][2]))
-        parts.append(F.coalesce(F.transform(source, _of_kind(k)), none))
-    return rows.withColumn(spans, F.sort_array(F.concat(*parts))).drop("_runs", *[f"_{k}" for k in KINDS])
+    for k, kind in enumerate(KINDS):
+        parts.append(F.filter(f"_{kind}", _long_enough(KINDS[kind][2])))
+    # a span whose start another kind's mask took can leave a piece: what lies inside a base span is no finding
+    base = F.concat(*[F.coalesce(F.transform(p, _of_kind(k)), none) for k, p in enumerate(parts)])
+    rows = rows.withColumn("_base", base)
+    own = F.filter("_markov", lambda x: ~F.exists("_base", lambda b: (b["s"] <= x["s"]) & (x["e"] <= b["e"])))
+    return rows.withColumn("_spans", F.sort_array(F.concat("_base", F.coalesce(F.transform(own, _of_kind(len(KINDS))), none))))
+
+
+def find(docs: DataFrame, ratios: list[float], *, text: str = "text", threshold: float = 0.5, spans: str = "spans") -> DataFrame:
+    """Adds (or replaces) the column ``spans``: array of (s, k, e, t) by start, then kind; k counts kinds, 3 is the method's own."""
+    names = [c for c in docs.columns if c != spans]
+    rows = docs.select(*[F.col(c).alias(f"_in_{c}") for c in names])
+    rows = _found(rows, F.coalesce(F.col(f"_in_{text}").cast("string"), F.lit("")), ratios, threshold)
+    return rows.select(*[F.col(f"_in_{c}").alias(c) for c in names], F.col("_spans").alias(spans))
 
 
 def said(spans: Column) -> Column:
@@ -167,19 +227,21 @@ def digests(docs: DataFrame, ratios: list[float]) -> DataFrame:
     return rows.select("doc_id", *counts[:3], F.sha2(said(base), 256).alias("base_sha256"), said(F.col("_all")).alias("spans"), counts[3])
 
 
-def redacted(docs: DataFrame, ratios: list[float], mark: str = "[secret]") -> DataFrame:
-    """The rows of ``docs`` with each secret (overlapping spans as one) replaced by ``mark``; n_chars, if there, anew."""
+def redacted(docs: DataFrame, ratios: list[float], mark: str = "[secret]", threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` with each secret replaced by ``mark``; n_chars, if there, anew. Other rows as they came.
+
+    Spans are masked one kind after the other, so that overlapping ones become one mark or neighbouring ones. The two
+    noncharacters that mask become U+FFFD where a text with secrets holds them.
+    """
     names = docs.columns
-    rows = find(docs.withColumnsRenamed({c: f"_in_{c}" for c in names}), ratios, text="_in_text", spans="_all")
-    join = lambda a, x: F.when(
-        (F.size(a) > 0) & (x["s"] < F.get(a, F.size(a) - 1)["e"]),
-        F.concat(F.slice(a, 1, F.size(a) - 1), F.array(F.struct(F.get(a, F.size(a) - 1)["s"].alias("s"), F.greatest(F.get(a, F.size(a) - 1)["e"], x["e"]).alias("e")))),
-    ).otherwise(F.concat(a, F.array(F.struct(x["s"].alias("s"), x["e"].alias("e")))))
-    rows = rows.withColumn("_cut", F.when(F.size("_all") > 0, F.aggregate("_all", F.array().cast("array<struct<s:int,e:int>>"), join)))
+    rows = docs.toDF(*[f"_in_{c}" for c in names])
     text = F.col("_in_text")
-    kept = F.transform("_cut", lambda x, i: F.substring(text, F.coalesce(F.get("_cut", i - 1)["e"], F.lit(0)) + 1, x["s"] - F.coalesce(F.get("_cut", i - 1)["e"], F.lit(0))))
-    tail = F.substring(text, F.get("_cut", F.size("_cut") - 1)["e"] + 1, F.length(text))
-    out = rows.withColumn("_in_text", F.when(F.col("_cut").isNull(), text).otherwise(F.concat(F.array_join(F.transform(kept, lambda t: F.concat(t, F.lit(mark))), ""), tail)))
+    plain = F.translate(F.coalesce(text.cast("string"), F.lit("")), FIRST + REST, "\ufffd\ufffd")
+    rows = _with_masks(rows, plain)
+    judge = _judge(ratios, threshold)
+    rows = rows.withColumn("_masked", _masked(F.col("_masked"), CANDIDATE, lambda t: ~judge(t)))
+    held = F.col("_masked").contains(FIRST)
+    rows = rows.withColumn("_in_text", F.when(held, F.regexp_replace("_masked", f"{FIRST}{REST}*", mark)).otherwise(text))
     if "n_chars" in names:
-        out = out.withColumn("_in_n_chars", F.when(F.col("_cut").isNull(), F.col("_in_n_chars")).otherwise(F.length("_in_text").cast(docs.schema["n_chars"].dataType)))
-    return out.select(*[F.col(f"_in_{c}").alias(c) for c in names])
+        rows = rows.withColumn("_in_n_chars", F.when(held, F.length("_in_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("_in_n_chars")))
+    return rows.select(*[F.col(f"_in_{c}").alias(c) for c in names])

@@ -1,20 +1,25 @@
 """Operator 3: SimHash near-duplicates with a Gray-order hierarchical index.
 
 Fingerprints: each bit is set if it is set in over half of the XXH64 (seed 42) hashes of a text's word 3-grams, repeats
-included. Equal fingerprints become one class. Of two fingerprints that differ in at most ``distance`` bits, cut in
-``blocks`` blocks of bits, at least ``blocks - distance`` blocks agree; so each class goes to one bucket for each choice
-of agreeing blocks, and a bucket is searched with a hierarchical index: its fingerprints sorted by Gray rank, groups of
-neighbours sharing masked bit patterns in upper nodes, whole groups pruned by the differences accumulated on the way
-down. No link is lost. A bucket yields a spanning forest of its links, never all pairs; a bucket of a hot pattern is
-dealt to a grid of cells.
-
-Texts without words (null too) have fingerprint zero and link like any other. Rows that repeat a doc_id are rows of one
-document.
+included. Equal fingerprints become one class. The classes are sorted by Gray rank and cut in ranges; each range is
+searched with one hierarchical index: neighbours in Gray order are grouped, the masked bit patterns that a group shares
+are factored into its node, and whole groups are pruned by the differences accumulated on the way down. Nothing else
+finds or compares pairs, whatever the size of a range.
+
+So that a range needs no other range, the classes are sorted once for each rotation: of two fingerprints that differ in
+at most ``distance`` bits, cut in ``blocks`` blocks of bits, at least ``blocks - distance`` blocks agree; a rotation puts
+one choice of blocks on top, and fingerprints that agree on top have neighbouring Gray ranks and fall in one range. A
+range's width is set by the number of classes (about ``cell`` in each). A range yields a spanning forest of its links,
+never all pairs; one that holds far more classes than others is dealt to a grid of cells. No link is lost.
+
+Texts without words (null too) have fingerprint zero and link like any other; a text of any length takes memory for its
+own words alone. Rows that repeat a doc_id are rows of one document. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import itertools
+import math
 import re
 from collections.abc import Iterable, Iterator
 
@@ -80,7 +85,7 @@ def gray_rank(codes: np.ndarray) -> np.ndarray:
 class GrayIndex:
     """Codes in Gray order under nodes of ``fanout``; a node holds the bits its codes share and its parent's do not."""
 
-    def __init__(self, codes: np.ndarray, fanout: int = 16):
+    def __init__(self, codes: np.ndarray, fanout: int = 4):
         self.order = np.argsort(gray_rank(codes), kind="stable")
         self.codes, self.fanout, self.levels = codes[self.order], fanout, []
         ones, zeros = self.codes, ~self.codes  # bits set, and unset, in all codes of a node
@@ -91,6 +96,8 @@ class GrayIndex:
         for (_, mask), (_, above) in zip(self.levels, self.levels[1:]):
             mask &= ~above[np.arange(len(mask)) // fanout]  # what the parent has counted is counted once
         self.shared = self._accumulated()
+        #: Nodes and codes looked at, and pairs found: what the index did.
+        self.visited = self.found = 0
 
     def _accumulated(self) -> np.ndarray:
         """The bits that the lowest nodes and all above them hold together."""
@@ -99,17 +106,28 @@ class GrayIndex:
             total = mask | total[np.arange(len(mask)) // self.fanout]
         return total
 
-    def within(self, queries: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-        """(query, code) places of all pairs at most ``distance`` apart."""
+    def within(self, queries: np.ndarray, distance: int, after: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(query, code) places of all pairs at most ``distance`` apart.
+
+        ``after``: of each query, a place in Gray order; only codes behind it are sought, and groups before it pruned.
+        """
+        f, n = self.fanout, len(self.codes)
         q = np.arange(len(queries))
         node, diff = np.zeros(len(queries), np.int64), np.zeros(len(queries), np.int64)
         for depth in range(len(self.levels) - 1, -1, -1):
             pattern, mask = self.levels[depth]
+            self.visited += len(node)
             diff = diff + np.bitwise_count((queries[q] ^ pattern[node]) & mask[node])
             keep = diff <= distance
-            q, node, diff = self._down(q[keep], node[keep], diff[keep], len(self.levels[depth - 1][0]) if depth else len(self.codes))
-        rest = ~self.shared[node // self.fanout]
+            if after is not None:
+                keep &= (node + 1) * f ** (depth + 1) > after[q] + 1
+            q, node, diff = self._down(q[keep], node[keep], diff[keep], len(self.levels[depth - 1][0]) if depth else n)
+        self.visited += len(node)
+        rest = ~self.shared[node // f]
         keep = diff + np.bitwise_count((queries[q] ^ self.codes[node]) & rest) <= distance
+        if after is not None:
+            keep &= node > after[q]
+        self.found += int(keep.sum())
         return q[keep], self.order[node[keep]]
 
     def _down(self, q, node, diff, below: int):
@@ -119,11 +137,21 @@ class GrayIndex:
         return np.repeat(q, f)[inside], child[inside], np.repeat(diff, f)[inside]
 
 
-def forest_of(codes: np.ndarray, chunk: np.ndarray, distance: int, step: int = 512) -> tuple[np.ndarray, np.ndarray]:
-    """Links (place, place of its root) that span the groups of one cell; of a cell of two chunks, by links across."""
+def forest_of(codes: np.ndarray, chunk: np.ndarray, distance: int, frontier: int = 1 << 21) -> tuple[np.ndarray, np.ndarray]:
+    """Links (place, place of its root) that span the groups of one cell; of a cell of two chunks, by links across.
+
+    Queries go down in steps, so that no step can hold more than about ``frontier`` nodes.
+    """
     n, forest = len(codes), Forest(len(codes))
-    sides = [(np.arange(n), np.arange(n))] if chunk[0] == chunk[-1] and (chunk == chunk[0]).all() else [(np.flatnonzero(chunk == chunk.min()), np.flatnonzero(chunk != chunk.min()))]
-    for asked, there in sides:
+    step = max(1, frontier // n)
+    if (chunk == chunk[0]).all():
+        index = GrayIndex(codes)
+        for at in range(0, n, step):  # in Gray order, each with the codes behind it
+            place = np.arange(at, min(n, at + step))
+            q, c = index.within(index.codes[place], distance, place)
+            forest.link(index.order[place[q]], c)
+    else:
+        asked, there = np.flatnonzero(chunk == chunk.min()), np.flatnonzero(chunk != chunk.min())
         index = GrayIndex(codes[there])
         for at in range(0, len(asked), step):
             some = asked[at : at + step]
@@ -134,52 +162,67 @@ def forest_of(codes: np.ndarray, chunk: np.ndarray, distance: int, step: int = 5
     return moved, roots[moved]
 
 
-def small_cells(codes: np.ndarray, starts: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links within cells so small that their index would be one leaf: neighbours at 1, 2, ... places are compared."""
-    cell = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-    a, b = [], []
-    for s in range(1, int(np.diff(starts).max(initial=1))):
-        i = np.flatnonzero(cell[s:] == cell[:-s])
-        i = i[np.bitwise_count(codes[i] ^ codes[i + s]) <= distance]
-        a.append(i + s)
-        b.append(i)
-    return np.concatenate([np.empty(0, np.int64), *a]), np.concatenate([np.empty(0, np.int64), *b])
+class Rotations:
+    """One permutation of bits for each choice of ``blocks - distance`` blocks: the chosen ones come on top."""
 
+    def __init__(self, blocks: int, distance: int):
+        edges = [round(BITS * i / blocks) for i in range(blocks + 1)]
+        part = list(itertools.pairwise(edges))
+        self.moves: list[list[tuple[int, int, int]]] = []
+        self.top = BITS  # bits on top in every rotation
+        for chosen in itertools.combinations(range(blocks), blocks - distance):
+            place, moves = BITS, []
+            for i in [*chosen, *(i for i in range(blocks) if i not in chosen)]:
+                low, high = part[i]
+                place -= high - low
+                moves.append((low, high - low, place))
+            self.moves.append(moves)
+            self.top = min(self.top, sum(part[i][1] - part[i][0] for i in chosen))
 
-def bucket_keys(codes: np.ndarray, blocks: int, distance: int) -> list[np.ndarray]:
-    """One key for each choice of ``blocks - distance`` blocks; the choice is part of the key."""
-    edges = [round(BITS * i / blocks) for i in range(blocks + 1)]
-    part = [np.uint64(((1 << hi) - 1) ^ ((1 << lo) - 1)) for lo, hi in itertools.pairwise(edges)]
-    out = []
-    for n, chosen in enumerate(itertools.combinations(range(blocks), blocks - distance)):
-        key = codes & np.bitwise_or.reduce([part[i] for i in chosen])
-        out.append(key * np.uint64(0x9E3779B97F4A7C15) ^ np.uint64(n * 0xC2B2AE3D27D4EB4F & 0xFFFFFFFFFFFFFFFF))
-    return out
+    def turned(self, codes: np.ndarray, n: int) -> np.ndarray:
+        out = np.zeros_like(codes)
+        for low, width, place in self.moves[n]:
+            out |= ((codes >> np.uint64(low)) & np.uint64((1 << width) - 1)) << np.uint64(place)
+        return out
 
 
-def links(classes: DataFrame, distance: int = 3, blocks: int = 4, hot: int = 2048) -> DataFrame:
-    """Links (a, b) of fingerprints that span all groups of fingerprints at most ``distance`` bits apart."""
+def layout(classes: int, distance: int, blocks: int | None, cell: int) -> tuple[int, int]:
+    """(blocks, bits): into how many blocks fingerprints are cut, and the top bits of Gray rank that make a range.
+
+    Ranges hold about ``cell`` classes. The fewest blocks whose top bits allow that are taken; more blocks have more
+    on top, and more rotations.
+    """
+    bits = max(0, math.ceil(math.log2(max(1, classes) / cell)))
+    tried = [blocks] if blocks else range(distance + 1, distance + 5)
+    for b in tried:
+        top = Rotations(b, distance).top
+        if bits <= top:
+            return b, bits
+    return b, top
+
+
+def links(classes: DataFrame, distance: int = 3, blocks: int | None = None, cell: int = 4096, hot: int = 8192) -> DataFrame:
+    """Links (a, b) of fingerprints (column ``fp``, distinct) that span all groups at most ``distance`` bits apart."""
+    blocks, bits = layout(classes.count(), distance, blocks, cell)
+    rotations = Rotations(blocks, distance)
 
     def spread(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             codes = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            keys = np.concatenate(bucket_keys(codes, blocks, distance)).view(np.int64)
-            fp = np.tile(codes, len(keys) // max(1, len(codes))).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(fp)], names=["key", "fp"])
+            for n in range(len(rotations.moves)):
+                rank = gray_rank(rotations.turned(codes, n))
+                key = (rank >> np.uint64(BITS - bits) if bits else np.zeros_like(rank)).view(np.int64) | np.int64(n << 48)
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(codes.view(np.int64))], names=["key", "fp"])
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in cells(batches, "key"):
-            codes, chunk = table.column("fp").to_numpy().view(np.uint64), table.column("chunk").to_numpy()
-            starts = starts_of(table, "key")
-            sizes = np.diff(starts)
-            small = (sizes <= 16) & (table.column("cell_i").to_numpy()[starts[:-1]] == table.column("cell_j").to_numpy()[starts[:-1]])
-            rows = np.flatnonzero(np.repeat(small, sizes))
-            a, b = small_cells(codes[rows], np.concatenate([[0], np.cumsum(sizes[small])]), distance)
-            found = [(codes[rows[a]], codes[rows[b]])]
-            for k in np.flatnonzero(~small):
-                here = slice(starts[k], starts[k + 1])
-                a, b = forest_of(codes[here], chunk[here], distance)
-                found.append((codes[here][a], codes[here][b]))
+            codes, chunk, key = (table.column(c).to_numpy() for c in ("fp", "chunk", "key"))
+            codes, starts = codes.view(np.uint64), starts_of(table, "key")
+            found = []
+            for s, e in itertools.pairwise(starts.tolist()):
+                own = rotations.turned(codes[s:e], int(key[s]) >> 48)
+                a, b = forest_of(own, chunk[s:e], distance)
+                found.append((codes[s:e][a], codes[s:e][b]))
             a, b = (np.concatenate(x).view(np.int64) for x in zip(*found, strict=True))
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
@@ -188,11 +231,8 @@ def links(classes: DataFrame, distance: int = 3, blocks: int = 4, hot: int = 204
     return dealt.select("key", "cell_i", "cell_j", "chunk", "fp").mapInArrow(search, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, distance: int = 3, blocks: int = 4) -> DataFrame:
-    """Per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable by links).
-
-    More blocks make buckets smaller and each class is in more of them: 4 blocks suit up to some 10^8 classes, 6 more.
-    """
+def near_duplicates(docs: DataFrame, distance: int = 3, blocks: int | None = None) -> DataFrame:
+    """Per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable by links)."""
     prints = stored(fingerprints(docs), "simhash")
     classes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-classes")
     labels = components(links(classes, distance, blocks), "simhash")
@@ -205,10 +245,16 @@ def near_duplicates(docs: DataFrame, distance: int = 3, blocks: int = 4) -> Data
 def deduplicated(docs: DataFrame, **how) -> DataFrame:
     """The rows of ``docs`` that stay: of each group of near-duplicates, one row, with the smallest doc_id.
 
-    Rows without a doc_id cannot be named as a group's first, and all stay.
+    Of rows that repeat that doc_id the one stays whose text, then whole row as JSON, is the least. Rows without a
+    doc_id cannot be named as a group's first, and all stay. Columns may have any names.
     """
-    kept = near_duplicates(docs, **how).where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows"))
-    kept = kept.select(F.col("doc_id").alias("_kept"), "_rows")
-    rows = docs.join(kept, docs["doc_id"] == kept["_kept"])
-    repeated = rows.where("_rows > 1").select(*docs.columns).dropDuplicates(["doc_id"])
-    return rows.where("_rows = 1").select(*docs.columns).unionByName(repeated).unionByName(docs.where("doc_id IS NULL"))
+    names = docs.columns
+    rows = docs.toDF(*[f"_in_{c}" for c in names])
+    kept = near_duplicates(docs.select("doc_id", "text"), **how).where("doc_id = component_id")
+    kept = kept.groupBy("doc_id").agg(F.count(F.lit(1)).alias("times")).select(F.col("doc_id").alias("kept_id"), "times")
+    found = rows.join(kept, F.col("_in_doc_id").cast("long") == F.col("kept_id"))
+    own = [F.col(f"_in_{c}").alias(c) for c in names]
+    whole = F.struct(*[f"_in_{c}" for c in names])
+    repeated = found.where("times > 1").groupBy("kept_id").agg(F.min_by(whole, F.struct("_in_text", F.to_json(whole))).alias("row"))
+    repeated = repeated.select(*[F.col("row")[f"_in_{c}"].alias(c) for c in names])
+    return found.where("times = 1").select(*own).unionByName(repeated).unionByName(rows.where("_in_doc_id IS NULL").select(*own))

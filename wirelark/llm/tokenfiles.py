@@ -4,10 +4,11 @@ A file holds one frame for each document (with zstandard's own checksum), a skip
 the documents' ids, and the public seekable format's seek table: sizes and a checksum for each frame. A reader needs
 the tail of the file and the frames asked for, nothing else.
 
-Documents are dealt to files by ranges of doc_id (bounds from a quantile sketch of that column), about
-``docs_per_file`` in each; files are written under a temporary name and renamed, so a task can run twice. Empty and
-null texts have the end id alone; rows that repeat a doc_id are neighbours; null ids come first; an empty table gives
-no file and no row.
+Documents are dealt to files by ranges of doc_id. The bounds come from a bounded sample of ids with the sizes of their
+texts, so that files hold about as many bytes each, ``file_bytes`` at most; file n is written by partition n alone. An id
+of very many rows is dealt to several neighbouring files. Files are written under a temporary name and renamed, so a task
+can run twice. Empty and null texts have the end id alone; rows that repeat a doc_id are neighbours, in the order of their
+frames; null ids come first; an empty table gives no file and no row.
 """
 
 from __future__ import annotations
@@ -45,6 +46,10 @@ def frame_of(ids: np.ndarray, level: int = 3) -> bytes:
     return zstandard.ZstdCompressor(level=level, write_checksum=True, write_content_size=True).compress(ids.tobytes())
 
 
+#: Stands for a null id in a file's directory.
+_FIRST = -(1 << 63)
+
+
 class TokenWriter:
     """Writes frames in order, then the directory and the seek table; the file appears when it is whole."""
 
@@ -57,7 +62,7 @@ class TokenWriter:
 
     def add(self, doc_id: int | None, frame: bytes, n_tokens: int, checksum: int) -> None:
         self.out.write(frame)
-        self.doc_ids.append(-(1 << 63) if doc_id is None else doc_id)
+        self.doc_ids.append(_FIRST if doc_id is None else doc_id)
         self.table.append((len(frame), n_tokens * self.width, checksum))
         self.tokens += n_tokens
 
@@ -108,27 +113,46 @@ class TokenReader:
         self.file.close()
 
 
-def write(docs: DataFrame, folder: str, path: str | None = None, *, end_id: int = 1, docs_per_file: int = 4096) -> list[dict]:
+def bounds_of(source: DataFrame, file_bytes: int, least_bytes: int, most_sampled: int) -> np.ndarray:
+    """Ids at which files begin, with repeats where one id fills several; the sample has about ``most_sampled`` ids.
+
+    As many files as cores get work, if that leaves ``least_bytes`` of text to each.
+    """
+    count = source.count()
+    share = min(1.0, most_sampled / max(1, count))
+    draw = F.pmod(F.xxhash64("doc_id", F.octet_length(F.coalesce("text", F.lit(""))), F.lit("files")), F.lit(1 << 30)) / float(1 << 30)
+    sampled = source.where(draw < share) if share < 1 else source
+    size = F.octet_length(F.coalesce("text", F.lit(""))).cast("long") + F.lit(16).cast("long")
+    rows = sampled.select(F.coalesce("doc_id", F.lit(_FIRST)).alias("doc_id"), size.alias("n")).limit(2 * most_sampled).toArrow()
+    ids, sizes = rows.column("doc_id").to_numpy(), rows.column("n").to_numpy()
+    total = sizes.sum() / share
+    files = max(math.ceil(total / file_bytes), min(source.sparkSession.sparkContext.defaultParallelism, math.ceil(total / least_bytes)), 1)
+    order = np.argsort(ids, kind="stable")
+    ids, upto = ids[order], np.cumsum(sizes[order])
+    at = np.searchsorted(upto, upto[-1] * np.arange(1, files) / files) if len(ids) else []
+    return ids[np.minimum(at, len(ids) - 1)] if len(ids) and files > 1 else np.empty(0, np.int64)
+
+
+def write(docs: DataFrame, folder: str, path: str | None = None, *, end_id: int = 1, file_bytes: int = 256 << 20, least_bytes: int = 1 << 20, most_sampled: int = 200_000) -> list[dict]:
     """Writes the files and returns, in order, one dict a file: uri, base (ids of all files before it), docs, tokens."""
     path = path or default_tokenizer()
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    count = source.count()
-    if not count:
-        return []
-    files = math.ceil(count / docs_per_file)
-    bounds = source.agg(F.percentile_approx("doc_id", [i / files for i in range(1, files)], max(10_000, 20 * files)).alias("q")).first()[0] if files > 1 else []
-    bounds = np.unique(np.array(bounds or [], np.int64))
+    bounds = bounds_of(source, file_bytes, least_bytes, most_sampled)
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, end = library_bpe(path), np.array([end_id], np.uint32)
         kind = np.dtype("<u2") if max(*bpe.tokens, end_id) < 1 << 16 else np.dtype("<u4")
         for part, rows in texts(batches):
             ids = [np.concatenate([np.frombuffer(bpe.encode(t), "<u4"), end]).astype(kind) for t in rows]
-            keys = np.array([np.iinfo(np.int64).min if d is None else d for d in part.column(0).to_pylist()], np.int64)
+            keys = np.array([_FIRST if d is None else d for d in part.column(0).to_pylist()], np.int64)
+            checksums = np.array([xxhash.xxh64_intdigest(x.tobytes()) & 0xFFFFFFFF for x in ids], np.int64)
+            low, high = np.searchsorted(bounds, keys, side="left"), np.searchsorted(bounds, keys, side="right")
+            # an id that is a bound may lie on either side of it; one of several bounds is dealt to all files between
+            file = np.where(high - low > 1, low + checksums % np.maximum(1, high - low + 1), high)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.searchsorted(bounds, keys, side="right").astype(np.int32)), part.column(0), pa.array([len(x) for x in ids], pa.int64()),
-                    pa.array([xxhash.xxh64_intdigest(x.tobytes()) & 0xFFFFFFFF for x in ids], pa.int64()), pa.array([x.itemsize for x in ids], pa.int32()), pa.array([frame_of(x) for x in ids], pa.binary()),
+                    pa.array(file.astype(np.int32)), part.column(0), pa.array([len(x) for x in ids], pa.int64()),
+                    pa.array(checksums), pa.array([x.itemsize for x in ids], pa.int32()), pa.array([frame_of(x) for x in ids], pa.binary()),
                 ],
                 names=["file", "doc_id", "n", "checksum", "width", "frame"],
             )
@@ -154,7 +178,7 @@ def write(docs: DataFrame, folder: str, path: str | None = None, *, end_id: int
             yield pa.RecordBatch.from_arrays([pa.array(f, pa.int32()), pa.array(d, pa.int64()), pa.array(t, pa.int64())], names=["file", "docs", "tokens"])
 
     frames = source.mapInArrow(encode, "file int, doc_id long, n long, checksum long, width int, frame binary")
-    dealt = frames.repartition(files, "file").sortWithinPartitions("file", F.col("doc_id").asc_nulls_first(), "frame")
+    dealt = frames.repartitionById(len(bounds) + 1, "file").sortWithinPartitions("file", F.col("doc_id").asc_nulls_first(), "frame")
     out, base = [], 0
     for row in sorted(dealt.mapInArrow(put, "file int, docs long, tokens long").collect()):  # one row a file
         out.append({"uri": f"{folder}/tokens-{row.file:06d}.zst", "base": base, "docs": row.docs, "tokens": row.tokens})
@@ -172,14 +196,14 @@ def read(spark: SparkSession, files: list[dict]) -> DataFrame:
                 reader, rows = TokenReader(uri), []
                 for i, doc_id in enumerate(reader.doc_ids.tolist()):
                     ids = reader.read(i)
-                    rows.append((None if doc_id == -(1 << 63) else doc_id, at, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
+                    rows.append((None if doc_id == _FIRST else doc_id, at, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
                     at += len(ids)
                 reader.close()
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=names)
 
-    listed = spark.createDataFrame([(f["uri"], f["base"]) for f in files], "uri string, base long")
-    return listed.repartition(max(1, len(files))).mapInArrow(get, ", ".join(f"`{c}` long" for c in names))
+    listed = spark.createDataFrame([(n, f["uri"], f["base"]) for n, f in enumerate(files)], "n int, uri string, base long")
+    return listed.repartitionById(max(1, len(files)), "n").select("uri", "base").mapInArrow(get, ", ".join(f"`{c}` long" for c in names))
 
 
 def written(docs: DataFrame, path: str | None = None, **how) -> DataFrame:

@@ -2,13 +2,13 @@
 
 A document is the set of its hashed lower-case words and word stems. The score is the logistic of a bias, a weight for each term, and
 the inner product of factor vectors for each pair of terms, so that terms count more, or only, in company. Weights and
-factors are learned by AdaGrad on the logistic loss from a bounded sample of labelled documents; a soft threshold keeps
-the weights and factors of uninformative terms at zero.
+factors are learned by AdaGrad on the logistic loss from a bounded sample of labelled documents, for every term of
+them; a soft threshold, the higher the less a term tells of the label, holds those of chance terms at zero.
 
 The sample's ids (at most ``2 * each``, so they can be broadcast) are drawn from the labels alone by a hash of doc_id;
-only their documents' terms come to the driver. Scoring is a narrow map over all documents and whole texts. Null and
+only their documents' distinct terms come to the driver, four bytes each. Scoring is a narrow map over all documents and whole texts. Null and
 empty texts have no terms and get the bias's score; with no labels, or one class only, every score is that class's
-share. Repeated labels of a document count as toxic if one does.
+share. Repeated labels of a document count as toxic if one does; repeated rows repeat. Very long texts count each term once.
 """
 
 from __future__ import annotations
@@ -70,16 +70,8 @@ class FactorizationMachine:
         return 1 / (1 + np.exp(-np.clip(self.raw(rows), -30, 30)))
 
 
-def fit(rows: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, *, factors: int = 4, epochs: int = 20, rate: float = 0.1, l1: float = 1e-3, least_docs: int = 3, keep: int = 1000, seed: int = 1) -> FactorizationMachine:
-    """Learns from sets of terms, labels 0 or 1 and importance weights, over the ``keep`` terms that tell classes apart best.
-
-    Those are the terms, in ``least_docs`` documents at least, with the largest log-likelihood-ratio statistic (G^2).
-    """
-    empty = np.empty(0, np.uint32), np.empty(0), np.empty((0, factors))
-    if not len(rows) or len(set(labels.tolist())) < 2:
-        share = float(labels.mean()) if len(labels) else 0.0
-        share = min(max(share, 1e-6), 1 - 1e-6)
-        return FactorizationMachine(float(np.log(share / (1 - share))), *empty)
+def tells(rows: list[np.ndarray], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct terms, of each the log-likelihood-ratio statistic (G^2) of term and label, and the place of every term of the rows."""
     flat, toxic = np.concatenate(rows), np.repeat(labels, [len(r) for r in rows])
     index, slot, counts = np.unique(flat, return_inverse=True, return_counts=True)
     with_term = np.bincount(slot, toxic, len(index)), np.bincount(slot, 1 - toxic, len(index))
@@ -88,16 +80,30 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, *, fact
     for a, m in zip(with_term, n, strict=True):
         for seen, expected in ((a, m * counts / len(labels)), (m - a, m * (1 - counts / len(labels)))):
             tell += 2 * np.where(seen > 0, seen * np.log(np.maximum(seen, 1e-9) / np.maximum(expected, 1e-9)), 0)
-    index = np.sort(index[np.lexsort((index, -np.where(counts >= least_docs, tell, -1)))[:keep]])
-    index = index[np.isin(index, np.unique(flat)[counts >= least_docs])]
-    if not len(index):
-        share = float(np.average(labels, weights=weights))
+    return index, tell, slot
+
+
+def fit(rows: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, *, factors: int = 4, epochs: int = 20, rate: float = 0.1, l1: float = 1e-3, power: float = 2.0, seed: int = 1) -> FactorizationMachine:
+    """Learns from sets of terms, labels 0 or 1 and importance weights, over all terms of the rows.
+
+    Every term has a weight and factors, and a penalty of its own: ``l1`` times a power of how far its G^2 falls short
+    of, or exceeds, what the most telling of so many chance terms would have (``2 * log(terms)``). So the soft threshold
+    itself holds chance terms at zero, and no term is left out beforehand.
+    """
+    empty = np.empty(0, np.uint32), np.empty(0), np.empty((0, factors))
+    if not len(rows) or len(set(labels.tolist())) < 2:
+        share = float(labels.mean()) if len(labels) else 0.0
+        share = min(max(share, 1e-6), 1 - 1e-6)
         return FactorizationMachine(float(np.log(share / (1 - share))), *empty)
-    place = [np.searchsorted(index, r[np.isin(r, index)]) for r in rows]
-    rng = np.random.default_rng(seed)
-    w, v = np.zeros(len(index)), rng.normal(0, 0.01, (len(index), factors))
+    index, tell, slot = tells(rows, labels)
     share = float(np.average(labels, weights=weights))
     w0, g0 = float(np.log(share / (1 - share))), 1e-8
+    if not len(index):
+        return FactorizationMachine(w0, *empty)
+    penalty = l1 * np.minimum((2 * np.log(len(index) + 1) / np.maximum(tell, 1e-9)) ** power, 1e6)
+    place = np.split(slot, np.cumsum([len(r) for r in rows])[:-1])
+    rng = np.random.default_rng(seed)
+    w, v = np.zeros(len(index)), rng.normal(0, 0.01, (len(index), factors))
     gw, gv = np.full(len(index), 1e-8), np.full((len(index), factors), 1e-8)
     weights = weights / weights.mean()
     for _ in range(epochs):
@@ -119,10 +125,10 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, *, fact
             gv[own] += dv * dv
             step = rate / np.sqrt(gw[own])
             moved = w[own] - step * dw
-            w[own] = np.sign(moved) * np.maximum(np.abs(moved) - step * l1, 0)
+            w[own] = np.sign(moved) * np.maximum(np.abs(moved) - step * penalty[own], 0)
             step = rate / np.sqrt(gv[own])
             moved = v[own] - step * dv
-            v[own] = np.sign(moved) * np.maximum(np.abs(moved) - step * l1, 0)
+            v[own] = np.sign(moved) * np.maximum(np.abs(moved) - step * penalty[own, None], 0)
     live = (w != 0) | (v != 0).any(axis=1)
     return FactorizationMachine(w0, index[live], w[live], v[live])
 
@@ -135,23 +141,23 @@ def labelled(docs: DataFrame, labels: DataFrame, each: int, held_out: int) -> Da
     draw = F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(1 << 30)) / float(1 << 30)
     parts = [known.where((F.col("toxic") == c) & (draw < min(1.0, each / n))).limit(2 * each).withColumn("weight", F.lit(max(1.0, n / each))) for c, n in sizes.items()]
     if not parts:
-        return known.select(F.array().cast("array<long>").alias("terms"), "toxic", F.lit(1.0).alias("weight")).limit(0)
+        return known.select(F.lit(b"").alias("terms"), "toxic", F.lit(1.0).alias("weight")).limit(0)
     sample = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = RecentCache(hashed, 200_000)
         for part, rows in texts(batches):
-            found = pa.array([terms(t, cache).astype(np.int64) for t in rows], pa.list_(pa.int64()))
+            found = pa.array([terms(t, cache).astype("<u4").tobytes() for t in rows], pa.binary())
             yield pa.RecordBatch.from_arrays([found, part.column(1), part.column(2)], names=["terms", "toxic", "weight"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id")
-    return rows.select("text", "toxic", "weight").mapInArrow(run, "terms array<long>, toxic int, weight double")
+    return rows.select("text", "toxic", "weight").mapInArrow(run, "terms binary, toxic int, weight double")
 
 
 def learn(docs: DataFrame, labels: DataFrame, each: int = 3000, held_out: int = 1) -> FactorizationMachine:
     """Learns from labelled documents whose crc32(doc_id) mod 3 is not ``held_out``."""
     rows = labelled(docs, labels, each, held_out).toArrow()
-    sets = [np.asarray(x, np.uint32) for x in rows.column("terms").to_pylist()]
+    sets = [np.frombuffer(x, "<u4") for x in rows.column("terms").to_pylist()]
     return fit(sets, rows.column("toxic").to_numpy().astype(float), rows.column("weight").to_numpy())
 
 
