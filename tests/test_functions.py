@@ -1,5 +1,6 @@
 """Scalar functions against hand-made rows."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from wirelark.functions import citations, dates, tags, text
@@ -50,9 +51,36 @@ def test_match_airgram_of_a_shorter_station(spark):
 
 def test_tags(spark):
     t = tags.TagDictionary(permanent={"PFOR": "Foreign"}, temporary={}, organizations={"OAS": "States"}, geographic=[{"FR": "France"}, {"FR": "later"}])
-    got = values(spark, t.entries, ["PFOR, fr., (DOE, JOHN), (SEE NOTE 1), N/A, PFOR OAS, ZZZZ, TOO LONG", None, "", "A (B, C)), D"])
-    assert [(e.code, e.type, e.name) for e in got[0]] == [
+    raw = ["PFOR, fr., (DOE, JOHN), (SEE NOTE 1), N/A, PFOR OAS, ZZZZ, TOO LONG", None, "", "A (B, C)), D"]
+    frame = spark.createDataFrame([(i, r, "OAS FR, QUUX" if i == 1 else None) for i, r in enumerate(raw)] + [(0, "FR", None)], "k int, x string, y string")
+    rows = tags.normalized(frame, t, key="k", attr=F.col("x"), body=F.col("y")).collect()
+    got = {r.k: r for r in rows if r.k or len(r.tags) > 1}
+    assert [(e.code, e.type, e.name) for e in got[0].tags] == [
         ("PFOR", "permanent", "Foreign"), ("FR", "geographic", "France"), ("DOE, JOHN", "person", "DOE, JOHN"), ("SEE NOTE 1", "annotation", "SEE NOTE 1"),
         ("OAS", "organization", "States"), ("ZZZZ", "unknown", None), ("TOO LONG", "other", None),
     ]
-    assert got[1:3] == [[], []] and [e.code for e in got[3]] == ["A (B, C))", "D"]
+    assert [(e.code, e.type, e.sources) for e in got[1].tags] == [("OAS", "organization", ["body"]), ("FR", "geographic", ["body"]), ("QUUX", "unknown", ["body"])]
+    assert got[2].tags is None and [e.code for e in got[3].tags] == ["A (B, C))", "D"] and len(rows) == 5
+    assert got[0].counts.asDict() == {"attr": 8, "body": 0, "attr_na": 1, "body_na": 0, "attr_recovered": 1, "body_recovered": 0}
+    assert got[1].counts.asDict() == {"attr": 0, "body": 2, "attr_na": 0, "body_na": 0, "attr_recovered": 0, "body_recovered": 1}
+
+
+def test_dictionaries_from_files(spark, tmp_path):
+    (tmp_path / "tags.csv").write_text("permanent,PFOR,Foreign\ntitle,EAGR,Farming\ntitle,AZZZ,Old\ngeographic-2,FR,later\ngeographic-1,FR,France\norganization,OAS,States\n")
+    own = tags.TagDictionary.from_csv(str(tmp_path / "tags.csv"))
+    units = spark.createDataFrame([(c,) for c in own.codes], "text string")
+    got = {r.code: (r.type, r.name) for r in tags.classified(units, own).collect()}  # F20, over the whole dictionary
+    assert got == own.codes == {"PFOR": ("permanent", "Foreign"), "EAGR": ("economic", "Farming"), "AZZZ": ("unknown", "Old"), "FR": ("geographic", "France"), "OAS": ("organization", "States")}
+    (tmp_path / "bad.csv").write_text("who,X,Y\n")
+    with pytest.raises(ValueError):
+        tags.TagDictionary.from_csv(str(tmp_path / "bad.csv"))
+    (tmp_path / "stations.csv").write_text("PARIS,PARIS EMB\n\nMOSCOW,MOSCO\n,x\n")
+    assert citations.Stations.from_csv(str(tmp_path / "stations.csv")).names == {"PARIS": "PARIS", "PARIS EMB": "PARIS", "MOSCOW": "MOSCOW", "MOSCO": "MOSCOW"}
+
+
+def test_citations_of_a_telegram(spark):
+    own = citations.Stations({c: [] for c in ["STATE", "MOSCOW", "PARIS", "BONN", "BAMAKO", "JAKART", "JAKARTA", "ABUDHABI", "AMMAN"]} | {"ABUDHABI": ["ABUDH"]})
+    find = lambda c: F.transform(citations.split_citations(c), lambda t: own.match(t, F.lit("73"))["mrn"])
+    raw = ["REF: A. STATE 105386, B. MOSCOW 4301; PARIS 0123 AND 74 BONN 55", "BAMAKO A-50", "USCINCRED 311345 Z MAY 73", "73 JAKARTA 1234", "REFS: (A) BONN 5 (NOTAL), (B) UNCLAS PARIS 7 PARA 3, MAY 3, 1974.", "1. STATE 12 DATED; 2) PARIS' S 9"]
+    assert values(spark, find, raw) == [["73STATE105386", "73MOSCOW4301", "73PARIS123", "74BONN55"], ["73BAMAKO-A50"], [None], ["73JAKART-A1234"], ["73BONN5", "73PARIS7"], [None, "73PARIS9"]]
+    assert values(spark, own.document_number, ["1973AMMAN03057", "1973ABUDH00866", "1973 AMMAN 03057"]) == ["73AMMAN3057", "73ABUDHABI866", None]

@@ -12,6 +12,17 @@ FORMATS = ["d MMM yyyy", "d-MMM-yyyy h:mm:ss a", "d-MMM-yyyy", "d/M/yyyy", "yyyy
 MONTHS = ["JAN", "FEB", "MAR", "APR", "MAY", "JUN", "JUL", "AUG", "SEP", "OCT", "NOV", "DEC"]
 PRECEDENCE = {"Z": "FLASH", "O": "IMMEDIATE", "P": "PRIORITY", "R": "ROUTINE"}
 FIRST_YEAR, LAST_YEAR = 1973, 1979
+_WHOLE = ["JANUARY", "FEBRUARY", "MARCH", "APRIL", "JUNE", "JULY", "AUGUST", "SEPTEMBER", "OCTOBER", "NOVEMBER", "DECEMBER"]
+
+
+def _apart(word: str) -> str:
+    """A pattern of a word whose letters may stand apart."""
+    return r"\s*".join(word)
+
+
+#: One or two letters of precedence, day, hour, minute, month and year at the start of a line, characters perhaps
+#: apart; for Python and for Spark, multi-line.
+DTG = r"^[ \t]*([ZOPR](?:[ \t]*[ZOPR])?)[ \t]+" + r"\s*".join([r"(\d\s*\d)"] * 3) + rf"\s*Z?\s*({'|'.join(map(_apart, _WHOLE + MONTHS))})\s*(\d\s*\d)(?!\d)"
 
 
 def parse_date(raw: Column) -> Column:
@@ -51,10 +62,7 @@ def parse_dtg(dtg: Column) -> Column:
 
 def dtg_parts(raw: Column) -> Column:
     """The parts of a date-time group in raw text whose characters may be apart; null if there is none."""
-    s = r"\s*"
-    months = "|".join(s.join(m) for m in ["JANUARY", "FEBRUARY", "MARCH", "APRIL", "JUNE", "JULY", "AUGUST", "SEPTEMBER", "OCTOBER", "NOVEMBER", "DECEMBER", *MONTHS])
-    digit = lambda n: s.join([r"\d"] * n)
-    pattern = rf"(?:^|\n)[ \t]*([ZOPR](?:[ \t]*[ZOPR])?)[ \t]+({digit(2)}){s}({digit(2)}){s}({digit(2)}){s}Z?{s}({months}){s}({digit(2)})(?!\d)"
+    pattern = f"(?m){DTG}"
     part = lambda i: F.regexp_replace(F.regexp_extract(raw, pattern, i), r"\s+", "")
     whole = F.regexp_replace(strip(F.regexp_extract(raw, pattern, 0)), r"\s+", " ")
     letters = F.array_join(F.split(part(1), ""), " ")

@@ -1,16 +1,20 @@
 """Dates of cited documents that are missing, from their neighbours in a station's numbering.
 
-One window over documents and targets of a numbering (station, year, airgram) finds both neighbours; one range join,
-bucketed by month of the bracket, finds the nearest counters between them. Numberings are many and small (one station
-and year), so a window's partition is bounded by the numbers a station can give in a year.
+A numbering (station, year, airgram) is cut in ranges of numbers; one window over a range's documents and targets finds
+both neighbours there, and a second one over the ranges' ends carries them past borders, so no task holds a numbering.
+A range join, bucketed by month and by blocks of counters as wide as the bracket, finds the nearest counters.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .joins import last_wins
+
 GROUP = ["station", "year", "is_airgram"]
 
 
@@ -24,17 +28,30 @@ def representatives(documents: DataFrame) -> DataFrame:
     return ranked.where(F.col("_rn") == F.floor(F.col("ties") / 2) + 1).drop("_rn")
 
 
-def neighbours(targets: DataFrame, documents: DataFrame) -> DataFrame:
-    """Targets (mrn, GROUP, sequence) with ``prev`` (greatest smaller number) and ``next`` (least not smaller)."""
+def neighbours(targets: DataFrame, documents: DataFrame, width: int = 4096) -> DataFrame:
+    """Targets (mrn, GROUP, sequence) with ``prev`` (greatest smaller number) and ``next`` (least not smaller).
+
+    ``width``: numbers in a range. A range's task holds as many documents, and the targets among them.
+    """
     shape = F.struct("document_number", "document_number_raw", "sequence", "date")
-    docs = documents.select(*GROUP, "sequence", F.lit(None).cast("string").alias("mrn"), shape.alias("doc"))
-    asked = targets.select(*GROUP, "sequence", "mrn", F.lit(None).cast(docs.schema["doc"].dataType).alias("doc"))
-    below = W.partitionBy(*GROUP).orderBy("sequence").rangeBetween(W.unboundedPreceding, -1)
+    part = F.floor(F.col("sequence") / width).alias("_part")
+    docs = documents.select(*GROUP, "sequence", part, F.lit(None).cast("string").alias("mrn"), shape.alias("doc"))
+    kind = docs.schema["doc"].dataType
+    asked = targets.select(*GROUP, "sequence", part, "mrn", F.lit(None).cast(kind).alias("doc"))
+    both, ranges = docs.unionByName(asked), [*GROUP, "_part"]
+    # the ends of each range, and of the nearest ranges on either side that have documents
+    ends = both.groupBy(*ranges).agg(F.max_by("doc", F.when(F.col("doc").isNotNull(), F.col("sequence"))).alias("_high"), F.min_by("doc", F.when(F.col("doc").isNotNull(), F.col("sequence"))).alias("_low"))
+    parts = W.partitionBy(*GROUP)
+    ends = ends.withColumns({
+        "_before": F.last("_high", ignorenulls=True).over(parts.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)),
+        "_behind": F.last("_low", ignorenulls=True).over(parts.orderBy(F.desc("_part")).rowsBetween(W.unboundedPreceding, -1)),
+    }).select(*ranges, "_before", "_behind")
+    below = W.partitionBy(*ranges).orderBy("sequence").rangeBetween(W.unboundedPreceding, -1)
     # from the top down: a frame that grows is kept up to date, one that shrinks is computed anew for each row
-    above = W.partitionBy(*GROUP).orderBy(F.desc("sequence")).rangeBetween(W.unboundedPreceding, W.currentRow)
-    both = docs.unionByName(asked)
+    above = W.partitionBy(*ranges).orderBy(F.desc("sequence")).rangeBetween(W.unboundedPreceding, W.currentRow)
     found = both.withColumns({"prev": F.last("doc", ignorenulls=True).over(below), "next": F.last("doc", ignorenulls=True).over(above)})
-    return found.where("mrn IS NOT NULL").drop("doc")
+    found = found.where("mrn IS NOT NULL").drop("doc").join(ends, ranges)
+    return found.withColumns({"prev": F.coalesce("prev", "_before"), "next": F.coalesce("next", "_behind")}).drop("_part", "_before", "_behind")
 
 
 def _days(a: Column, b: Column) -> Column:
@@ -46,18 +63,25 @@ def _between(a: Column, b: Column, fraction: Column) -> Column:
     return F.date_format(F.date_add(F.to_date(a), F.bround(_days(a, b) * fraction).cast("int")), "yyyy-MM-dd")
 
 
-def refined(brackets: DataFrame, counters: DataFrame) -> DataFrame:
+def refined(brackets: DataFrame, counters: DataFrame, narrowest: int = 16) -> DataFrame:
     """For brackets (mrn, p_date, n_date, p_counter, n_counter, aim) the nearest counters on either side of ``aim``.
 
     ``counters`` (date, counter): dated documents. Both lie in the bracket's dates and counters. Adds ``low`` and
-    ``high`` (counter, date); a bracket without both gives no row. Buckets are months, so a bracket meets the documents
-    of its own months only.
+    ``high`` (counter, date); a bracket without both gives no row. Buckets are a month and a block of counters; a block
+    is the power of two that holds the bracket's width, so a bracket meets two blocks a month, and a document stands once
+    for each width that some bracket has (about twenty at most).
     """
     month = lambda c: F.trunc(F.to_date(c), "month")
+    block = lambda c, level: F.floor(c / F.pow(F.lit(2.0), level)).cast("long")
     usable = brackets.where("p_counter IS NOT NULL AND n_counter > p_counter AND p_date <= n_date")
+    level = F.greatest(F.lit(math.ceil(math.log2(narrowest))), F.ceil(F.log2(F.col("n_counter") - F.col("p_counter") + F.lit(1.0)))).cast("int")
+    usable = usable.withColumn("_level", level)
+    levels = [r[0] for r in usable.select("_level").distinct().collect()]  # one row a width, some twenty at most
     spread = usable.withColumn("_m", F.explode(F.sequence(month(F.col("p_date")), month(F.col("n_date")), F.expr("interval 1 month"))))
-    dated = counters.select("date", "counter", month(F.col("date")).alias("_m"))
-    inside = spread.join(dated, "_m").where("date BETWEEN p_date AND n_date AND counter BETWEEN p_counter AND n_counter")
+    spread = spread.withColumn("_block", F.explode(F.sequence(block(F.col("p_counter"), F.col("_level")), block(F.col("n_counter"), F.col("_level")))))
+    dated = counters.select("date", "counter", month(F.col("date")).alias("_m"), F.explode(F.lit(levels or [0])).alias("_level"))
+    dated = dated.withColumn("_block", block(F.col("counter"), F.col("_level")))
+    inside = spread.join(dated, ["_level", "_m", "_block"]).where("date BETWEEN p_date AND n_date AND counter BETWEEN p_counter AND n_counter")
     pair = F.struct(F.col("counter"), F.col("date"))
     near = inside.groupBy("mrn").agg(
         F.max(F.when(F.col("counter") < F.col("aim"), pair)).alias("low"), F.min(F.when(F.col("counter") >= F.col("aim"), pair)).alias("high")
@@ -65,10 +89,11 @@ def refined(brackets: DataFrame, counters: DataFrame) -> DataFrame:
     return near.where("low IS NOT NULL AND high IS NOT NULL")
 
 
-def estimates(missing: DataFrame, documents: DataFrame, counters: DataFrame | None, stations) -> DataFrame:
+def estimates(missing: DataFrame, documents: DataFrame, counters: DataFrame | None, stations, order: list[str] | None = None) -> DataFrame:
     """One row a missing id: neighbours, estimated date, its type and accuracy.
 
-    ``documents``: document_number, document_number_raw, date; ``counters``: document_number_raw, counter (one row an id).
+    ``documents``: document_number, document_number_raw, date; ``counters``: document_number_raw, counter. Of ids that
+    repeat in either the last row by ``order`` (columns of both tables, as the file) counts, J11; without it the greatest value.
     """
     parsed = missing.select("mrn", stations.parse(F.col("mrn")).alias("p"))
     known = documents.where("date <> ''").select("*", stations.parse(F.col("document_number")).alias("p")).where("p IS NOT NULL")
@@ -79,11 +104,14 @@ def estimates(missing: DataFrame, documents: DataFrame, counters: DataFrame | No
     span = n["sequence"] - p["sequence"]
     rows = rows.withColumn("fraction", F.when(span == 0, 0.5).otherwise((F.col("sequence") - p["sequence"]) / span))
     if counters is not None:
+        # of ids that repeat, the last row counts
+        last = lambda t, c: last_wins(t.select("document_number_raw", c, *(o for o in order or [] if o != c)), "document_number_raw", order or [c]).select("document_number_raw", c)
+        counters = last(counters.where("document_number_raw IS NOT NULL AND counter IS NOT NULL"), "counter")
         side = lambda k: counters.select(F.col("document_number_raw").alias(f"{k}_raw"), F.col("counter").alias(f"{k}_counter"))
         brackets = rows.where("prev IS NOT NULL AND nxt IS NOT NULL").select("mrn", "fraction", p["date"].alias("p_date"), n["date"].alias("n_date"), p["document_number_raw"].alias("p_raw"), n["document_number_raw"].alias("n_raw"))
         brackets = brackets.join(side("p"), "p_raw").join(side("n"), "n_raw")
         brackets = brackets.withColumn("aim", F.col("p_counter") + (F.col("n_counter") - F.col("p_counter")) * F.col("fraction"))
-        dated = documents.where("date <> ''").groupBy("document_number_raw").agg(F.max("date").alias("date")).join(counters, "document_number_raw")
+        dated = last(documents.where("document_number_raw <> '' AND date <> ''"), "date").join(counters, "document_number_raw")
         rows = rows.join(refined(brackets, dated).join(brackets.select("mrn", "aim"), "mrn"), "mrn", "left")
     else:
         rows = rows.withColumns({"low": F.lit(None).cast("struct<counter:bigint,date:string>"), "high": F.lit(None).cast("struct<counter:bigint,date:string>"), "aim": F.lit(None).cast("double")})

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.dates import FIRST_YEAR, LAST_YEAR
 from ..functions.text import is_na, strip
 
 # Attributes and the body fields that repeat them, and a locator that says the text is there.
@@ -53,9 +54,10 @@ def parse_rates(rows: DataFrame, fields: dict[str, tuple[Column, Column]], order
     return sums.join(failed, "field", "left").select("field", "present", "parsed", rate(F.col("parsed"), F.col("present")).alias("parse_rate"), F.coalesce(F.transform("f", lambda x: x["raw"]), F.array().cast("array<string>")).alias("failures"))
 
 
-def first_n(rows: DataFrame, by: list[str], order: list, n: int) -> DataFrame:
-    """The first n rows of each group; Spark cuts each task's share to n a group before the shuffle."""
-    return rows.withColumn("_rn", F.row_number().over(W.partitionBy(*by).orderBy(*order))).where(F.col("_rn") <= n).drop("_rn")
+def first_n(rows: DataFrame, by: list[str], order: list, n: int, rank: str | None = None) -> DataFrame:
+    """The first n rows of each group, with their rank if it has a name; Spark cuts each task's share to n a group before the shuffle."""
+    kept = rows.withColumn(rank or "_rn", F.row_number().over(W.partitionBy(*by).orderBy(*order))).where(F.col(rank or "_rn") <= n)
+    return kept if rank else kept.drop("_rn")
 
 
 def citation_totals(rows: DataFrame) -> DataFrame:
@@ -82,9 +84,25 @@ def tag_types(rows: DataFrame, tags: str = "tags") -> DataFrame:
     return t.groupBy("t.type").agg(F.count(F.lit(1)).alias("tags"), F.count("t.name").alias("named"), F.count_if(F.size("t.sources") == 1).alias("single_source"))
 
 
+def tag_totals(rows: DataFrame, attr: Column, body: Column) -> DataFrame:
+    """Documents, those with tags of either source, tokens, placeholders and tokens taken apart by source, entries, and rates.
+
+    ``rows``: what ``tags.normalized`` gives, with the raw tags of both sources.
+    """
+    t = F.coalesce("tags", F.array().cast(rows.schema["tags"].dataType))
+    sums = {f"tokens_{k}": F.sum(F.col("counts")[k]) for k in ("attr", "body", "attr_na", "body_na", "attr_recovered", "body_recovered")}
+    some = lambda test: F.sum(F.size(F.filter(t, test)).cast("long"))
+    sums |= {
+        "entries": F.sum(F.size(t).cast("long")), "single_source": some(lambda x: F.size(x["sources"]) == 1), "named": some(lambda x: x["name"].isNotNull()),
+        "classified": some(lambda x: ~x["type"].isin("unknown", "other")),
+    }
+    out = rows.agg(F.count(F.lit(1)).alias("documents"), F.count_if(strip(attr) != "").alias("with_attr"), F.count_if(strip(body) != "").alias("with_body"), *[F.coalesce(v, F.lit(0).cast("long")).alias(k) for k, v in sums.items()])
+    return out.withColumns({"named_rate": rate(F.col("named"), F.col("entries")), "classified_rate": rate(F.col("classified"), F.col("entries"))})
+
+
 def top_unknown(rows: DataFrame, n: int = 30, tags: str = "tags") -> DataFrame:
-    """The n most frequent unknown codes; ties by code."""
-    t = rows.select(F.explode(tags).alias("t")).where("t.type = 'unknown'")
+    """The n most frequent codes that are unknown and have no name; ties by code."""
+    t = rows.select(F.explode(tags).alias("t")).where("t.type = 'unknown' AND t.name IS NULL")
     return t.groupBy("t.code").agg(F.count(F.lit(1)).alias("times")).orderBy(F.desc("times"), "code").limit(n)
 
 
@@ -94,6 +112,24 @@ def estimate_types(rows: DataFrame) -> DataFrame:
     return known.cube("estimate_type", "is_airgram").agg(F.count(F.lit(1)).alias("estimates"), F.count_if("date_order_inverted").alias("inverted"), F.grouping_id().alias("level"))
 
 
+def estimate_totals(estimates: DataFrame, documents: DataFrame, cited: DataFrame, representatives: DataFrame) -> DataFrame:
+    """Known documents, cited ids, missing ids, those of years outside 73-79, and numbers given more than once.
+
+    ``documents`` (document_number), ``cited`` (mrn, distinct), ``representatives`` (ties): one row a number.
+    """
+    first, last = (str(y % 100) for y in (FIRST_YEAR, LAST_YEAR))
+    known = estimates.where("estimate_type <> 'unparseable'")
+    parts = [
+        documents.where("document_number <> ''").agg(F.countDistinct("document_number").alias("known")), cited.agg(F.count(F.lit(1)).alias("cited")),
+        known.agg(F.count(F.lit(1)).alias("missing"), F.count_if(~F.col("year").between(first, last)).alias("out_of_range")),
+        representatives.agg(F.coalesce(F.sum(F.col("ties") - 1), F.lit(0)).cast("long").alias("collisions")),
+    ]
+    out = parts[0].withColumn("_one", F.lit(1))
+    for p in parts[1:]:
+        out = out.join(p.withColumn("_one", F.lit(1)), "_one")  # one row each
+    return out.drop("_one")
+
+
 def nearest_ranks(rows: DataFrame, value: str, shares: list[float], by: list[str] | None = None) -> DataFrame:
     """Nearest-rank percentiles: of n sorted values the one at min(n - 1, floor(n * share)).
 
@@ -107,18 +143,43 @@ def nearest_ranks(rows: DataFrame, value: str, shares: list[float], by: list[str
     return ranked.where((F.col("_upto") > F.col("_k")) & (F.col("_upto") - F.col("_n") <= F.col("_k"))).select(*by, "share", F.col(value).alias("percentile"))
 
 
+def has_body(content: Column, locator: Column) -> Column:
+    """whether the document's text is there."""
+    return F.coalesce(locator.rlike(ON_LINE) & (strip(content) != ""), F.lit(False))
+
+
 def missing_body(attrs: Column, fields: dict[str, Column], content: Column, locator: Column) -> Column:
     """attributes given though the body's field is not found, of a document whose text is there; else none."""
-    there = locator.rlike(ON_LINE) & (strip(content) != "")
     lost = F.filter(F.array(*[F.when(~is_na(F.try_element_at(attrs, F.lit(k))) & v.isNull(), F.lit(k)) for k, v in fields.items()]), lambda x: x.isNotNull())
-    return F.when(F.coalesce(there, F.lit(False)), lost).otherwise(F.array().cast("array<string>"))
+    return F.when(has_body(content, locator), lost).otherwise(F.array().cast("array<string>"))
+
+
+def body_fields() -> dict[str, Column]:
+    """Of an extracted record, the body field of each attribute; empty lists are null."""
+    lists = ("classification_marker", "drafted_by", "handling_restrictions")
+    return {a: F.when(F.size(F.col(b)) > 0, F.lit("x")) if b in lists else F.col(b) for a, b in BODY_OF.items()}
+
+
+def incomplete(records: DataFrame, key: str = "file") -> DataFrame:
+    """(key, document_number, missing) of records that lack body fields: attribute, body field and the value given."""
+    attrs = F.col("attrs")
+    lost = missing_body(attrs, body_fields(), F.col("message_content"), F.try_element_at(attrs, F.lit("Locator")))
+    names = F.create_map(*[F.lit(x) for pair in BODY_OF.items() for x in pair])
+    issue = lambda a: F.struct(a.alias("attribute"), names[a].alias("body_field"), F.try_element_at(attrs, a).alias("provided_value"))
+    return records.select(key, F.try_element_at(attrs, F.lit("Document Number")).alias("document_number"), F.transform(lost, issue).alias("missing")).where("size(missing) > 0")
 
 
 def quality_totals(rows: DataFrame, missing: str = "missing") -> DataFrame:
-    """Documents and, of each attribute, those that miss it in the body."""
+    """Of each attribute, the documents that miss it in the body."""
     return rows.select(F.explode(missing).alias("field")).groupBy("field").agg(F.count(F.lit(1)).alias("documents"))
 
 
+def quality_documents(rows: DataFrame, missing: str = "missing", eligible: str = "eligible") -> DataFrame:
+    """Documents, those whose text is there, those that miss a body field, and fields missed in all."""
+    n = F.size(missing)
+    return rows.agg(F.count(F.lit(1)).alias("documents"), F.count_if(eligible).alias("eligible"), F.count_if(n > 0).alias("cables"), F.coalesce(F.sum(n), F.lit(0)).cast("long").alias("missed"))
+
+
 def distinct_counts(rows: DataFrame) -> DataFrame:
     """Distinct documents and distinct citations, exactly."""
     docs = rows.agg(F.countDistinct("document_number").alias("n")).select(F.lit("documents").alias("what"), "n")
@@ -126,8 +187,15 @@ def distinct_counts(rows: DataFrame) -> DataFrame:
 
 
 def value_distribution(values: DataFrame, n: int = 15) -> DataFrame:
-    """A10: of (attribute, value) the counts: all if an attribute has at most 2n values, else the n most and least frequent."""
+    """A10: of (attribute, value) the counts: all if an attribute has at most 2n values, else the n most and least frequent.
+
+    Two bounded lists an attribute, which Spark cuts to their length in each task before the shuffle; the rank from below
+    comes from the number of values, so no task holds all values of an attribute.
+    """
     counts = values.groupBy("attribute", "value").agg(F.count(F.lit(1)).alias("times"))
-    group = W.partitionBy("attribute")
-    ranked = counts.withColumns({"top": F.row_number().over(group.orderBy(F.desc("times"), "value")), "_values": F.count(F.lit(1)).over(group)})
-    return ranked.where((F.col("_values") <= 2 * n) | (F.col("top") <= n) | (F.col("top") > F.col("_values") - n)).drop("_values")
+    sizes = counts.groupBy("attribute").agg(F.count(F.lit(1)).cast("int").alias("_n"))
+    high = first_n(counts, ["attribute"], [F.desc("times"), "value"], 2 * n, "top")
+    low = first_n(counts, ["attribute"], ["times", F.desc("value")], n, "_up")
+    high = high.join(sizes, "attribute").where((F.col("_n") <= 2 * n) | (F.col("top") <= n)).drop("_n")
+    low = low.join(sizes, "attribute").where(F.col("_n") > 2 * n).withColumn("top", F.col("_n") - F.col("_up") + 1).drop("_n", "_up")
+    return high.unionByName(low)

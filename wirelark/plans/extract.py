@@ -6,7 +6,7 @@ not give; everything after the record is expressions.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,15 +25,15 @@ page_break array<struct<line:string,page:int>>, section_marker array<struct<raw:
 coverage struct<total:int,matched:int,blank:int,unmatched:int>, error string"""
 
 
-def extracted(texts: DataFrame, key: str = "file", text: str = "text", markings: tuple[str, ...] = MARKINGS) -> DataFrame:
-    """(key, record columns, error) of each text; a null text is an empty one."""
+def extracted(texts: DataFrame, key: str = "file", text: str = "text", markings: tuple[str, ...] = MARKINGS, read: Callable[[str, tuple[str, ...]], dict] = parse) -> DataFrame:
+    """(key, record columns, error) of each text; a null text is an empty one. ``read`` makes a record of a text."""
     schema = StructType([texts.schema[key], *StructType.fromDDL(RECORD).fields])
     arrow = to_arrow_schema(schema)
     names = [f.name for f in schema.fields]
 
     def one(value, body: str | None) -> dict:
         try:
-            return {key: value, "error": None} | {k: v for k, v in parse(body or "", markings).items() if k in names}
+            return {key: value, "error": None} | {k: v for k, v in read(body or "", markings).items() if k in names}
         except Exception as e:  # noqa: BLE001 - reported in the row
             return {key: value, "error": f"{type(e).__name__}: {e}"[:500]}
 

@@ -6,6 +6,7 @@ come out from the columns themselves. Stations and tag titles are small dictiona
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,9 +14,11 @@ from pyspark.sql import functions as F
 
 from ..functions import citations, dates, tags, text
 from ..operators import estimate, joins, metrics
+from ..shared import stored, work_dir
 from ..sources import files
+from . import jobs
 from .extract import extracted
-from .telegram import MARKINGS
+from .telegram import MARKINGS, parse
 
 CITIES = """PARIS MOSCOW BONN CAIRO TOKYO LIMA OTTAWA ROME ATHENS VIENNA LAGOS SEOUL MANILA DAKAR KABUL TUNIS RABAT BERN OSLO
 MADRID LISBON WARSAW PRAGUE SOFIA QUITO""".split()
@@ -24,7 +27,8 @@ _SUBJECTS = {"PFOR": "Foreign Policy and Relations", "PINT": "Internal Politics"
 _TEMPORARY = {"XMAS": "Year's End"}
 _ORGS = {"UNESCO": "Educational Organization", "OAS": "Organization of American States"}
 _PLACES = [{"FR": "France", "UR": "Union", "UK": "United Kingdom"}, {"FR": "French Republic", "2M": "Middle East"}]
-TAGS = tags.TagDictionary(permanent=_SUBJECTS, temporary=_TEMPORARY, organizations=_ORGS, geographic=_PLACES)
+_TITLES = {"AZZZ": "Old Title"}
+TAGS = tags.TagDictionary(permanent=_SUBJECTS, temporary=_TEMPORARY, organizations=_ORGS, geographic=_PLACES, titles=_TITLES)
 MONTHS = dates.MONTHS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -251,6 +255,7 @@ _TAG_ROWS = """t AS (SELECT k, unnest([
   {'code': 'FR', 'type': 'geographic', 'name': 'France', 'sources': 'attr'},
   {'code': 'SMITH, JOHN ' || CASE k % 2 WHEN 0 THEN 'A' ELSE 'B' END, 'type': 'person', 'name': 'SMITH, JOHN ' || CASE k % 2 WHEN 0 THEN 'A' ELSE 'B' END, 'sources': 'attr'},
   CASE k % 2 WHEN 0 THEN {'code': 'EZZZ', 'type': 'economic', 'name': NULL, 'sources': 'body'} ELSE {'code': '2M', 'type': 'geographic', 'name': 'Middle East', 'sources': 'body'} END,
+  {'code': 'AZZZ', 'type': 'unknown', 'name': 'Old Title', 'sources': 'body'},
   CASE k % 2 WHEN 0 THEN {'code': 'QQ', 'type': 'unknown', 'name': NULL, 'sources': 'body'} ELSE {'code': 'OAS', 'type': 'organization', 'name': 'Organization of American States', 'sources': 'body'} END
   ]) AS e FROM base), x AS (SELECT k, e.code AS code, e.type AS type, e.name AS name, e.sources AS sources FROM t)"""
 
@@ -258,8 +263,8 @@ _TAG_ROWS = """t AS (SELECT k, unnest([
 def _tag_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     even = F.col("k") % 2 == 0
     attr = F.concat(F.lit("pfor, FR., (SMITH, JOHN "), F.when(even, "A").otherwise("B"), F.lit("), N/A, FR"))
-    body = F.when(even, F.lit("PFOR EZZZ QQ")).otherwise(F.lit("2M, OAS"))
-    return dealt(base(spark, sf_dir)).select("k", tags.merge_sources(TAGS.entries(attr), TAGS.entries(body)).alias("tags"))
+    body = F.when(even, F.lit("PFOR EZZZ QQ AZZZ")).otherwise(F.lit("2M, OAS, AZZZ"))
+    return tags.normalized(dealt(base(spark, sf_dir)).withColumns({"attr": attr, "body": body}), TAGS, key="k", attr=F.col("attr"), body=F.col("body"))
 
 
 @query(BASE + f", {_TAG_ROWS} SELECT * FROM x")
@@ -274,7 +279,7 @@ def a6_tag_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.tag_types(_tag_rows(spark, sf_dir))
 
 
-@query(BASE + f", {_TAG_ROWS} SELECT code, count(*) AS times FROM x WHERE type = 'unknown' GROUP BY code ORDER BY times DESC, code LIMIT 30")
+@query(BASE + f", {_TAG_ROWS} SELECT code, count(*) AS times FROM x WHERE type = 'unknown' AND name IS NULL GROUP BY code ORDER BY times DESC, code LIMIT 30")
 def a6_top_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.top_unknown(_tag_rows(spark, sf_dir))
 
@@ -449,12 +454,10 @@ def r4_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("k", a["Document Number"].alias("number"), a["Draft Date"].alias("draft"), a["Subject"].alias("subject"), a["Enclosure"].alias("enclosure"), F.size("attrs").alias("n_keys"))
 
 
-@query(BASE + """SELECT k, 'SUBJECT: VISIT ' || k || ' OF DELEGATION' || chr(10) || 'REF: A. STATE ' || k || chr(10) || '1. TEXT OF ORDER ' || k || '.' || chr(10) || '2. MORE TEXT.' AS content FROM base""")
+@query(BASE + """SELECT k, repeat(chr(10), 11) || 'SUBJECT: VISIT ' || k || ' OF DELEGATION' || chr(10) || chr(10) || 'REF: A. STATE ' || k || chr(10) || chr(10) || '1. TEXT OF ORDER ' || k || '.' || chr(10) || '2. MORE TEXT.' || repeat(chr(10), 3) AS content FROM base""")
 def r23_content(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What is left of the body, blank lines aside."""
-    r = extracted(rendered(spark, sf_dir), "k")
-    lines = F.filter(F.transform(F.split("message_content", "\n"), text.strip), lambda x: x != "")
-    return r.select("k", F.array_join(lines, "\n").alias("content"))
+    """What is left of the body, to the last blank line: spans are cut out exactly."""
+    return extracted(rendered(spark, sf_dir), "k").select("k", F.col("message_content").alias("content"))
 
 
 @query(BASE + "SELECT count(*) AS documents, count(*) AS fully_covered, CAST(0 AS BIGINT) AS unmatched, CAST(100.0 AS DOUBLE) AS full_rate FROM base")
@@ -497,10 +500,198 @@ def a10_value_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(BASE + "SELECT yy || station || k AS document_number, iso AS date, 'REF: A. STATE ' || k AS reference, 2 AS n_tags FROM base")
 def p6_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Telegram to record, citations and tags joined on the document number."""
-    r = extracted(rendered(spark, sf_dir), "k")
+    """Telegram to record, citations and tags joined on the document number. Records are made once."""
+    r = stored(extracted(rendered(spark, sf_dir), "k").select("k", "attrs", "dtg", "reference", "tags", "message_content"), "records")
     mrns = citations.normalized(joins.flattened(r), STATIONS)
-    attr = F.try_element_at("attrs", F.lit("TAGS"))
-    own = r.select(STATIONS.document_number(F.try_element_at("attrs", F.lit("Document Number"))).alias("document_number"), tags.merge_sources(TAGS.entries(attr), TAGS.entries(F.col("tags"))).alias("tags"), "reference", "k")
-    joined = joins.left_join_last(mrns, own, "document_number", "tags", ["k"])
-    return joined.join(own.select("document_number", "reference"), "document_number").select("document_number", "date", "reference", F.size("tags").alias("n_tags"))
+    own = jobs.tagged(r, STATIONS, TAGS, ["k", "reference"])
+    last = joins.last_wins(own.select("document_number", F.size("tags").alias("n_tags"), "reference", "k"), "document_number", ["k"])
+    return mrns.join(last, "document_number", "left").select("document_number", "date", "reference", "n_tags")
+
+
+# ---------------------------------------------------------------- telegrams of other shapes
+
+
+def varied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """k and a telegram's text of two transmissions, with artifacts, drafting lines, a footer, labels spelled in four ways,
+    counters in three forms and attributes across blank lines. Every seventh has its first mark twice, so no body counts."""
+    k, n = F.col("k"), F.col("k").cast("string")
+    group = lambda mm: F.concat(F.lit("R "), "dd", "hh", mm, F.lit("Z "), "mon", F.lit(" "), "yy")
+    odd = F.when(k % 2 == 1, F.lit("¿¿ ¿"))
+    counter = F.lpad((k % 1000000).cast("string"), 6, "0")
+    stamps = F.when(k % 3 == 0, F.concat(F.lit("201300Z "), counter, F.lit(" /12"))).when(k % 3 == 1, F.concat(counter, F.lit(" 201300Z /7"))).otherwise(counter)
+    dashes = F.lit("                     ---------------------")
+    label = F.get(F.lit(["SUBJECT:", "SUBJ:", "SUBJCT:", "S U B J E C T :"]), (k % 4).cast("int"))
+    lines = [
+        odd, F.lit("Message Text\n"), F.lit("Locator: NOT AN ATTRIBUTE\n"), F.concat(F.lit("PAGE 01        "), "station", F.lit(" "), n, F.lit("\n")), F.lit("ACTION EUR-12"), F.lit("INFO  OCT-01  /013 W\n"),
+        F.concat(F.lit("DRAFTED BY EUR/X:SMITH:"), n), F.lit("EXT 12345"), F.concat(F.lit("APPROVED BY EUR:DOE:"), n), F.concat_ws(" ", dashes, stamps), group(F.col("mm")), F.concat(F.lit("FM AMEMBASSY "), "station"), F.lit("TO SECSTATE WASHDC\n"),
+        odd, F.lit("LIMDIS, NOFORN"), F.lit("E.O. 11652: GDS"), F.lit("TAGS: PFOR"), F.concat_ws(" ", label, F.lit("TALKS"), n), F.concat(F.lit("\n1. TEXT "), n, F.lit(".\n")),
+        F.lit("ACTION EUR-12"), F.concat_ws(" ", dashes, F.lit("000001")), group(F.lit("59")), F.concat(F.lit("FM AMEMBASSY "), "station", F.lit("\n")), F.concat(F.lit("C O N F I D E N T I A L SECTION 2 OF 2 "), "station", F.lit(" "), n),
+        F.concat(F.lit("2. MORE "), n, F.lit(".\n")), F.lit("*** Current Classification *** CONFIDENTIAL\n"), F.when(k % 7 == 6, "Message Text\n"),
+        F.lit("Message Attributes\n"), F.concat(F.lit("Document Number: 19"), "yy", "station", n), F.lit("Review Markings: first\n\n \nsecond"), F.concat(F.lit("Draft Date: "), "iso"), F.concat(F.lit("Sent Date: bad "), n), F.lit("Locator: TEXT ON-LINE"), F.lit("TAGS: PFOR"), odd,
+    ]
+    return dealt(base(spark, sf_dir)).select("k", F.array_join(F.array(*lines), "\n").alias("text"))
+
+
+def _varied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extracted(varied(spark, sf_dir), "k")
+
+
+@query(BASE + "SELECT k, FALSE AS held, k % 7 < 6 AS body, CAST(0 AS BIGINT) AS unmatched FROM base WHERE k % 7 < 6 UNION ALL SELECT k, NULL, FALSE, NULL FROM base WHERE k % 7 = 6")
+def x1_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Neither artifacts nor the footer stay in the content, and all that is cut out counts as covered."""
+    c = F.col("message_content")
+    whole = c.isNotNull()
+    return _varied(spark, sf_dir).select("k", (c.contains("¿") | c.contains("***") | c.contains("PAGE 01")).alias("held"), whole.alias("body"), F.when(whole, F.col("coverage")["unmatched"].cast("long")).alias("unmatched"))
+
+
+@query(BASE + "SELECT k, k % 7 < 6 AS body, CASE WHEN k % 7 < 6 THEN 'AMEMBASSY ' || station END AS sender, '19' || yy || station || k AS number, 'TEXT ON-LINE' AS locator FROM base")
+def r2_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mark that stands twice leaves no body; attributes are read below their mark alone."""
+    a = F.col("attrs")
+    return _varied(spark, sf_dir).select("k", F.col("message_content").isNotNull().alias("body"), F.col("from").alias("sender"), a["Document Number"].alias("number"), a["Locator"].alias("locator"))
+
+
+@query(BASE + "SELECT k, 'C O N F I D E N T I A L SECTION 2 OF 2 ' || station || ' ' || k AS mark, 2 AS section, 2 AS total, station || ' ' || k AS mrn, 'R ' || dd || hh || '59Z ' || mon || ' ' || yy AS dtg, 13 AS told, TRUE AS one_block FROM base WHERE k % 7 < 6")
+def r12_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The section mark, the last group of all transmissions, and repeated headers cut out."""
+    s = F.get("section_marker", 0)
+    return _varied(spark, sf_dir).where("message_content IS NOT NULL").select(
+        "k", F.trim(F.translate(s["raw"], "\n", "")).alias("mark"), s["section"].alias("section"), s["total"].alias("total"), s["mrn"].alias("mrn"), F.col("dtg")["raw"].alias("dtg"),
+        F.col("distribution")["sum_check"]["expected"].alias("told"), (~F.col("message_content").contains("ACTION")).alias("one_block"),
+    )
+
+
+@query(BASE + "SELECT k, 'EUR/X:SMITH:' || k || '|EXT 12345' AS drafted, 'EUR:DOE:' || k AS approved, 'LIMDIS|NOFORN' AS handling FROM base WHERE k % 7 < 6")
+def r17_drafting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R17, R22, F24, X18."""
+    joined = lambda c: F.array_join(c, "|").alias
+    return _varied(spark, sf_dir).where("message_content IS NOT NULL").select("k", joined("drafted_by")("drafted"), joined("approved_by")("approved"), joined("handling_restrictions")("handling"))
+
+
+@query(BASE + "SELECT k, 'TALKS ' || k AS subject, TRUE AS kept FROM base WHERE k % 7 < 6")
+def f22_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels whole, short, with a letter lost and with letters apart; the subject stays in the content."""
+    return _varied(spark, sf_dir).where("message_content IS NOT NULL").select("k", "subject", F.col("message_content").contains("TALKS").alias("kept"))
+
+
+@query(BASE + """SELECT k, CAST(k % 1000000 AS INTEGER) AS counter, CASE WHEN k % 3 < 2 THEN '201300Z' END AS filed, CASE k % 3 WHEN 0 THEN 12 WHEN 1 THEN 7 END AS copies FROM base WHERE k % 7 < 6""")
+def f23_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Filing time before or behind the counter, or none; the first dashes count."""
+    d = F.col("dash_counters")
+    return _varied(spark, sf_dir).where("message_content IS NOT NULL").select("k", d["counter"].alias("counter"), d["filing_time"].alias("filed"), d["copies"].alias("copies"))
+
+
+@query(BASE + "SELECT k, 'first' || chr(10) || 'second' AS markings FROM base")
+def r10_markings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An attribute that runs on across blank lines."""
+    return _varied(spark, sf_dir).select("k", F.col("attrs")["Review Markings"].alias("markings"))
+
+
+_DATES = """SELECT yy || station || k AS document_number, '19' || yy || station || k AS document_number_raw, CASE WHEN k % 7 < 6 THEN iso || 'T' || hh || ':59:00Z' END AS dtg,
+  CASE WHEN k % 7 < 6 THEN 'ROUTINE' END AS precedence, CASE WHEN k % 7 < 6 AND k % 3 < 2 THEN '201300Z' END AS filing_time_raw,
+  CASE WHEN k % 7 < 6 AND k % 3 < 2 THEN substr(iso, 1, 8) || '20T13:00:00Z' END AS filing_datetime_iso, iso AS draft_date, CAST(NULL AS VARCHAR) AS sent_date FROM base"""
+
+
+@query(BASE + _DATES)
+def p3_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every date of a record on its own."""
+    rows = jobs.normalized_dates(_varied(spark, sf_dir), STATIONS)
+    return rows.select("document_number", "document_number_raw", F.col("dtg")["datetime_iso"].alias("dtg"), F.array_join(F.col("dtg")["precedence"], ",").alias("precedence"), "filing_time_raw", "filing_datetime_iso", "dates.draft_date", "dates.sent_date")
+
+
+@query(BASE + """, f AS (SELECT unnest(['Draft Date', 'Sent Date', 'dtg', 'filing_time']) AS field, unnest([1, 0, 1, 1]) AS ok), x AS (SELECT field, ok, k FROM base, f WHERE field LIKE '%Date' OR (k % 7 < 6 AND (field = 'dtg' OR k % 3 < 2)))
+SELECT field, count(*) AS present, CAST(count(*) * ok AS BIGINT) AS parsed, CAST(100.0 * ok AS DOUBLE) AS parse_rate, CASE ok WHEN 1 THEN '' ELSE array_to_string(list_slice(list('bad ' || k ORDER BY k), 1, 10), ',') END AS failures FROM x GROUP BY field, ok""")
+def p3_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields given, parsed and failed."""
+    rows = jobs.date_report(_varied(spark, sf_dir), "k").where("present > 0")
+    return rows.withColumn("failures", F.array_join("failures", ","))
+
+
+@query(BASE + """SELECT k, 'Reference' AS attribute, 'reference' AS body_field, 'STATE ' || k AS provided_value FROM base WHERE k % 2 = 0 AND FALSE
+UNION ALL SELECT k, 'TAGS', 'tags', 'PFOR, FR' FROM base WHERE k % 4 = 0""")
+def p9_incomplete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each attribute given without its field in the body."""
+    rows = metrics.incomplete(extracted(rendered(spark, sf_dir), "k"), "k")
+    return rows.select("k", F.explode("missing").alias("m")).select("k", "m.*")
+
+
+@query(BASE + "SELECT count(*) AS documents, count(*) FILTER (k % 7 < 6) AS eligible, CAST(0 AS BIGINT) AS cables, CAST(0 AS BIGINT) AS missed FROM base")
+def a8_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents, those whose text is there, those that miss a field."""
+    r, locator = _varied(spark, sf_dir), F.try_element_at("attrs", F.lit("Locator"))
+    rows = r.select(metrics.missing_body(F.col("attrs"), metrics.body_fields(), F.col("message_content"), locator).alias("missing"), metrics.has_body(F.col("message_content"), locator).alias("eligible"))
+    return metrics.quality_documents(rows)
+
+
+@query(BASE + f""", {_TAG_ROWS}, d AS (SELECT count(*) AS documents, count(*) FILTER (k % 2 = 0) AS even FROM base), e AS (SELECT count(*) AS entries, count(*) FILTER (sources NOT LIKE '%,%') AS single_source, count(name) AS named,
+  count(*) FILTER (type NOT IN ('unknown', 'other')) AS classified FROM x) SELECT documents, documents AS with_attr, documents AS with_body, 5 * documents AS tokens_attr, even + 3 * (documents - even) AS tokens_body, documents AS tokens_attr_na,
+  CAST(0 AS BIGINT) AS tokens_body_na, CAST(0 AS BIGINT) AS tokens_attr_recovered, even AS tokens_body_recovered, entries, single_source, named, classified, round(100.0 * named / entries, 2) AS named_rate, round(100.0 * classified / entries, 2) AS classified_rate FROM d, e""")
+def a6_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens, placeholders and tokens taken apart by source."""
+    return metrics.tag_totals(_tag_rows(spark, sf_dir), F.lit("given"), F.lit("given"))
+
+
+@query(BASE + _ESTIMATED + """SELECT (SELECT count(DISTINCT id) FROM known) AS known, (SELECT count(DISTINCT yy || station || (k // 4)) FROM base WHERE k % 3 = 0) AS cited, (SELECT count(*) FROM est) AS missing,
+  CAST(0 AS BIGINT) AS out_of_range, (SELECT CAST(sum(ties - 1) AS BIGINT) FROM kr) AS collisions""")
+def a7_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known, cited and missing ids, odd years, numbers given more than once."""
+    b = base(spark, sf_dir).withColumn("id", F.concat("yy", "station", F.floor(F.col("k") / 4).cast("string")))
+    docs = b.where("k % 3 > 0").select(F.col("id").alias("document_number"), F.col("id").alias("document_number_raw"), F.col("iso").alias("date"))
+    known = docs.select(STATIONS.parse(F.col("document_number")).alias("p"), "*").select("p.*", "document_number", "document_number_raw", "date")
+    return metrics.estimate_totals(_estimates(spark, sf_dir), docs, b.where("k % 3 = 0").select("id").distinct(), estimate.representatives(known))
+
+
+@query(BASE + _ESTIMATED + "SELECT mrn, CAST(row_number() OVER (ORDER BY station, yy, sequence, mrn) AS INTEGER) AS place FROM ask QUALIFY place <= 1000")
+def j12_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first thousand estimates in order."""
+    first = estimate.in_order(_estimates(spark, sf_dir)).select("mrn").limit(1000)
+    return first.coalesce(1).select("mrn", (F.monotonically_increasing_id() + 1).cast("int").alias("place"))
+
+
+@query("SELECT doc_id, 100.0 * least(10, length(text)) / length(text) AS covered FROM documents WHERE length(text) > 0 ORDER BY covered, doc_id LIMIT 50")
+def j15_worst(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents by how little of them is covered."""
+    d = _table(spark, sf_dir, "documents").where("length(text) > 0")
+    total = F.length("text")
+    c = F.struct(total.alias("total"), F.least(F.lit(10), total).alias("matched"), F.lit(0).alias("blank"), (total - F.least(F.lit(10), total)).alias("unmatched"))
+    return metrics.worst_covered(d.withColumn("coverage", c), "doc_id", 50)
+
+
+@query("SELECT o_orderkey AS k, o_orderstatus AS status, CASE WHEN o_orderkey % 3 > 0 THEN o_orderpriority END AS priority FROM orders")
+def s5_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records written one a line, nulls too, and read again."""
+    o = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("status"), F.when(F.col("o_orderkey") % 3 > 0, F.col("o_orderpriority")).alias("priority"))
+    path = f"{work_dir(spark)}/records-{uuid.uuid4().hex}"
+    files.write_records(o, path)
+    return files.records(spark, [path], o.schema)
+
+
+@query("SELECT 'citation' AS role, count(*) AS n FROM orders WHERE o_orderkey % 4 > 0 UNION ALL SELECT 'extractor', count(*) FROM orders WHERE o_orderkey % 4 = 0")
+def s7_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mixed input told apart."""
+    k = F.col("o_orderkey")
+    mixed = _table(spark, sf_dir, "orders").select(k, F.when(k % 4 == 0, F.create_map(F.lit("Type"), F.lit("TE"))).alias("attrs"))
+    own, cited = joins.by_role(mixed)
+    count = lambda rows, role: rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(role).alias("role"), "n")
+    return count(cited, "citation").unionByName(count(own, "extractor"))
+
+
+def _refusing(body: str, markings: tuple[str, ...]) -> dict:
+    if "REFUSED" in body:
+        raise ValueError("refused")
+    return parse(body, markings)
+
+
+@query(BASE + "SELECT k, k % 10 = 0 AS failed, CASE WHEN k % 10 = 0 THEN 'ValueError: refused' END AS error FROM base")
+def s9_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts whose extraction fails are rows with an error; the job goes on."""
+    rows = base(spark, sf_dir).select("k", F.when(F.col("k") % 10 == 0, "REFUSED").otherwise("Message Text\n").alias("text"))
+    good, bad = files.split_errors(extracted(rows, "k", read=_refusing).select("k", "error"))
+    return good.select("k", F.lit(False).alias("failed"), F.lit(None).cast("string").alias("error")).unionByName(bad.select("k", F.lit(True).alias("failed"), "error"))
+
+
+@query("SELECT l_orderkey AS k, max_by(l_returnflag, lpad(CAST(l_linenumber AS VARCHAR), 3, '0') || lpad(CAST(l_partkey AS VARCHAR), 9, '0') || l_returnflag) AS flag FROM lineitem GROUP BY 1")
+def j11_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each key the last row."""
+    li = _table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_returnflag").alias("flag"), "l_linenumber", "l_partkey")
+    return joins.last_wins(li, "k", ["l_linenumber", "l_partkey", "flag"]).select("k", "flag")
