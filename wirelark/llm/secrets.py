@@ -141,26 +141,34 @@ def _placed(pairs: Column) -> Column:
     return let(pairs, lambda p: F.zip_with(p, starts(p), span))
 
 
-def matches(text: Column, pattern: str, group: int = 0) -> Column:
-    """(s, e, t, g) of all leftmost non-overlapping matches: places, the match and a group of it. Null if there is none."""
+def matches(text: Column, pattern: str, group: int = 0, held: Column | None = None) -> Column:
+    """(s, e, t, g) of all leftmost non-overlapping matches: places, the match and a group of it. Null if there is none.
+
+    ``held``: whether there is one, if that is known.
+    """
     found = F.regexp_extract_all(text, F.lit(pattern), 0)
-    named = F.arrays_zip(found.alias("t"), (F.regexp_extract_all(text, F.lit(pattern), group) if group else found).alias("w"))
+    if group:
+        named = F.arrays_zip(found.alias("t"), F.regexp_extract_all(text, F.lit(pattern), group).alias("w"))
+    else:
+        named = F.transform(found, lambda t: F.struct(t.alias("t"), t.alias("w")))
     pair = lambda gap, x: F.struct(F.length(gap).alias("g"), F.length(x["t"]).alias("m"), x["t"].alias("t"), x["w"].alias("w"))
     pairs = F.filter(F.zip_with(F.split(text, pattern, -1), named, pair), lambda x: x["t"].isNotNull())  # no match after the last gap
-    return F.when(text.rlike(pattern), _placed(pairs))
+    return F.when(text.rlike(pattern) if held is None else held, _placed(pairs))
 
 
-def _masked(text: Column, pattern: str, keep=None, group: int = 0) -> Column:
-    """The text with each match replaced by marks, as many as it has characters; ``keep``: which matches (group -> bool) stay."""
+def _masked(text: Column, pattern: str, held: Column, keep=None, group: int = 0) -> Column:
+    """The text with each match replaced by marks, as many as it has characters; ``keep``: which matches (group -> bool) stay; ``held``: whether there is one."""
     gaps, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), 0)
     mark = lambda t: F.concat(F.lit(FIRST), F.repeat(F.lit(REST), F.length(t) - 1))
     if keep is None:
         out = F.transform(found, mark)
+    elif not group:
+        out = F.transform(found, lambda t: F.when(keep(t), t).otherwise(mark(t)))
     else:
-        judged = found if not group else F.regexp_extract_all(text, F.lit(pattern), group)
+        judged = F.regexp_extract_all(text, F.lit(pattern), group)
         out = F.transform(F.arrays_zip(found.alias("t"), judged.alias("g")), lambda z: F.when(keep(z["g"]), z["t"]).otherwise(mark(z["t"])))
     whole = F.array_join(F.zip_with(gaps, out, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    return F.when(text.rlike(pattern), whole).otherwise(text)
+    return F.when(held, whole).otherwise(text)
 
 
 def _long_enough(least: int):
@@ -177,23 +185,24 @@ def _judge(ratios: list[float], threshold: float):
 
 
 def _with_masks(rows: DataFrame, whole: Column) -> DataFrame:
-    """Adds ``_masked``: the text with all base spans masked, each kind in what the kinds before it left."""
+    """Adds ``_masked``, the text with all base spans masked, each kind in what the kinds before it left, and ``_has_<kind>``."""
     masked = whole
-    for pattern, group, least in KINDS.values():
-        masked = _masked(masked, pattern, (lambda g, n=least: F.length(g) < n) if group else None, group)
+    rows = rows.withColumns({f"_has_{kind}": whole.rlike(pattern) for kind, (pattern, _, _) in KINDS.items()})
+    for kind, (pattern, group, least) in KINDS.items():
+        masked = _masked(masked, pattern, F.col(f"_has_{kind}"), (lambda g, n=least: F.length(g) < n) if group else None, group)
         rows = rows.withColumn("_masked", masked)
         masked = F.col("_masked")
-    return rows
+    return rows.withColumn("_has_runs", masked.rlike(CANDIDATE))
 
 
 def _found(rows: DataFrame, whole: Column, ratios: list[float], threshold: float) -> DataFrame:
     """Adds ``_spans``: array of (s, k, e, t) by start, then kind; k counts kinds, 3 is the method's own."""
     none = F.array().cast("array<struct<s:int,k:int,e:int,t:string>>")
-    for kind, (pattern, group, _) in KINDS.items():
-        rows = rows.withColumn(f"_{kind}", matches(whole, pattern, group))
     rows = _with_masks(rows, whole)
+    for kind, (pattern, group, _) in KINDS.items():
+        rows = rows.withColumn(f"_{kind}", matches(whole, pattern, group, F.col(f"_has_{kind}")))
     judge = _judge(ratios, threshold)
-    rows = rows.withColumn("_markov", F.filter(matches(F.col("_masked"), CANDIDATE), lambda x: judge(x["t"])))
+    rows = rows.withColumn("_markov", F.filter(matches(F.col("_masked"), CANDIDATE, held=F.col("_has_runs")), lambda x: judge(x["t"])))
     parts = []
     for k, kind in enumerate(KINDS):
         parts.append(F.filter(f"_{kind}", _long_enough(KINDS[kind][2])))
@@ -239,7 +248,7 @@ def redacted(docs: DataFrame, ratios: list[float], mark: str = "[secret]", thres
     plain = F.translate(F.coalesce(text.cast("string"), F.lit("")), FIRST + REST, "\ufffd\ufffd")
     rows = _with_masks(rows, plain)
     judge = _judge(ratios, threshold)
-    rows = rows.withColumn("_masked", _masked(F.col("_masked"), CANDIDATE, lambda t: ~judge(t)))
+    rows = rows.withColumn("_masked", _masked(F.col("_masked"), CANDIDATE, F.col("_has_runs"), lambda t: ~judge(t)))
     held = F.col("_masked").contains(FIRST)
     rows = rows.withColumn("_in_text", F.when(held, F.regexp_replace("_masked", f"{FIRST}{REST}*", mark)).otherwise(text))
     if "n_chars" in names:
