@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import let
 from .common import Forest, cells, components, grid, starts_of, stored
 
 #: Sign bits for the first comparison.
@@ -96,7 +97,8 @@ def classes_of(vectors: DataFrame) -> DataFrame:
     v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").alias("label"), F.col("embedding").cast("array<double>").alias("vec"))
     good = v.where(F.col("label").isNotNull() & F.col("vec").isNotNull()).where(finite).where(F.exists("vec", lambda x: x != 0))
     largest = F.array_max(F.transform("vec", lambda x: F.abs(x)))
-    named = good.withColumn("_most", largest).select("vec_id", "label", F.transform("vec", lambda x: x / F.col("_most") + F.lit(0.0)).alias("vec"))  # -0.0 as 0.0
+    shrunk = let(largest, lambda m: F.transform("vec", lambda x: x / m + F.lit(0.0)))  # -0.0 as 0.0
+    named = good.select("vec_id", "label", shrunk.alias("vec"))
     return named.withColumn("node", F.xxhash64("label", "vec"))
 
 
