@@ -116,7 +116,7 @@ class TokenReader:
 def bounds_of(source: DataFrame, file_bytes: int, least_bytes: int, most_sampled: int) -> np.ndarray:
     """Ids at which files begin, with repeats where one id fills several; the sample has about ``most_sampled`` ids.
 
-    As many files as cores get work, if that leaves ``least_bytes`` of text to each.
+    Four files for each core, if that leaves ``least_bytes`` of text to each.
     """
     count = source.count()
     share = min(1.0, most_sampled / max(1, count))
@@ -126,7 +126,7 @@ def bounds_of(source: DataFrame, file_bytes: int, least_bytes: int, most_sampled
     rows = sampled.select(F.coalesce("doc_id", F.lit(_FIRST)).alias("doc_id"), size.alias("n")).limit(2 * most_sampled).toArrow()
     ids, sizes = rows.column("doc_id").to_numpy(), rows.column("n").to_numpy()
     total = sizes.sum() / share
-    files = max(math.ceil(total / file_bytes), min(source.sparkSession.sparkContext.defaultParallelism, math.ceil(total / least_bytes)), 1)
+    files = max(math.ceil(total / file_bytes), min(4 * source.sparkSession.sparkContext.defaultParallelism, math.ceil(total / least_bytes)), 1)
     order = np.argsort(ids, kind="stable")
     ids, upto = ids[order], np.cumsum(sizes[order])
     at = np.searchsorted(upto, upto[-1] * np.arange(1, files) / files) if len(ids) else []
