@@ -307,6 +307,8 @@ def test_hot_cells_are_cut(spark):
     rows = spark.range(3000).select(F.lit(5).cast("long").alias("key"), F.col("id").alias("node"))
     sizes = [x["count"] for x in common.grid(rows, "key", "node", 192).groupBy("cell_i", "cell_j").count().collect()]
     assert max(sizes) < 3 * 192 and len(sizes) == 16 * 17 // 2
+    sizes = [x["count"] for x in common.grid(rows, "key", "node", 2048, (12, 100)).groupBy("cell_i", "cell_j").count().collect()]
+    assert max(sizes) < 700 and len(sizes) == 12 * 13 // 2
 
 
 def test_token_files_are_cut_by_size_and_in_order(spark):

@@ -32,6 +32,8 @@ from .common import Forest, cells, components, grid, starts_of, stored
 
 #: Sign bits for the first comparison.
 SIGNS = 128
+#: Large groups are cut in chunks of 128 rows as long as they are 24 at most, then in larger ones.
+SPREAD = (24, 128)
 
 
 class ProductCode:
@@ -102,7 +104,7 @@ def classes_of(vectors: DataFrame) -> DataFrame:
     return named.withColumn("node", F.xxhash64("label", "vec"))
 
 
-def cap_links(classes: DataFrame, expected: int, cosine: float, hot: int = 192, **code) -> DataFrame:
+def cap_links(classes: DataFrame, expected: int, cosine: float, hot: int = 2048, **code) -> DataFrame:
     """Links (a, b) of classes that share a filter and may be ``cosine`` near: a spanning forest of each bucket."""
     codes: dict[int, ProductCode] = {}
     share = math.acos(min(1.0, max(-1.0, cosine))) / math.pi  # of sign bits that differ at this cosine
@@ -147,7 +149,7 @@ def cap_links(classes: DataFrame, expected: int, cosine: float, hot: int = 192,
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     rows = classes.select("node", F.xxhash64("label").alias("label"), "vec").mapInArrow(spread, "key long, node long, s0 long, s1 long")
-    return grid(rows, "key", "node", hot).select("key", "cell_i", "cell_j", "chunk", "node", "s0", "s1").mapInArrow(search, "a long, b long").distinct()
+    return grid(rows, "key", "node", hot, SPREAD).select("key", "cell_i", "cell_j", "chunk", "node", "s0", "s1").mapInArrow(search, "a long, b long").distinct()
 
 
 def sides(chunk: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -158,7 +160,7 @@ def sides(chunk: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     return [(np.flatnonzero(chunk == chunk.min()), np.flatnonzero(chunk != chunk.min()))]
 
 
-def verified(members: DataFrame, cosine: float, hot: int = 192) -> DataFrame:
+def verified(members: DataFrame, cosine: float, hot: int = 2048) -> DataFrame:
     """Rows (node, other, links) of members (label, node, vec, copies) of candidate groups, compared exactly.
 
     ``links``: vectors of other classes that a class links within one cell; ``other`` (null: none) spans its links.
@@ -194,7 +196,7 @@ def verified(members: DataFrame, cosine: float, hot: int = 192) -> DataFrame:
             if keep.any():
                 yield pa.RecordBatch.from_arrays([pa.array(n[keep]), pa.array(o[keep]), pa.array(c[keep])], names=["node", "other", "links"])
 
-    dealt = grid(members.withColumnRenamed("label", "key"), "key", "node", hot)
+    dealt = grid(members.withColumnRenamed("label", "key"), "key", "node", hot, SPREAD)
     return dealt.select("key", "cell_i", "cell_j", "chunk", "node", "copies", "vec").mapInArrow(compare, "node long, other long, links long")
 
 

@@ -59,15 +59,19 @@ class RecentCache(dict):
 # ---------------------------------------------------------------- groups of candidates
 
 
-def grid(rows: DataFrame, key: str, order: str, hot: int) -> DataFrame:
+def grid(rows: DataFrame, key: str, order: str, hot: int, spread: tuple[int, int] = (0, 0)) -> DataFrame:
     """Deals the rows of each key to cells (key, i, j) so that every pair of rows of a key meets in one cell at least.
 
     A key of up to ``hot`` rows is one cell. A larger one is cut into c chunks and each pair of chunks is a cell, so
-    that no cell holds more than about ``2 * hot`` rows, however many rows one key has. No row is dropped.
+    that no cell holds more than about ``2 * hot`` rows, however many rows one key has. No row is dropped. A row goes to
+    c cells; ``spread`` (n, rows) cuts smaller keys too, in chunks of ``rows`` as long as they are n at most, so that the
+    pairs of a large key are dealt to many tasks before its rows are copied more than n times.
     Adds ``cell_i``, ``cell_j`` and ``chunk`` (the row's own chunk); sorted by cell and ``order`` within partitions.
     """
     sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
     chunks = F.ceil(F.col("_n") / F.lit(hot)).cast("int")
+    if spread[0]:
+        chunks = F.greatest(chunks, F.least(F.ceil(F.col("_n") / F.lit(spread[1])).cast("int"), F.lit(spread[0])))
     dealt = (
         rows.join(sizes, key)
         .withColumn("_c", chunks)

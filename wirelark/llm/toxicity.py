@@ -106,6 +106,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, *, fact
     w, v = np.zeros(len(index)), rng.normal(0, 0.01, (len(index), factors))
     gw, gv = np.full(len(index), 1e-8), np.full((len(index), factors), 1e-8)
     weights = weights / weights.mean()
+    here, numbered = np.zeros(len(index), bool), np.zeros(len(index), np.int64)
     for _ in range(epochs):
         order = rng.permutation(len(rows))
         for some in np.array_split(order, max(1, len(order) // 64)):
@@ -116,7 +117,10 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, *, fact
             square = np.bincount(doc, (x * x).sum(axis=1), len(some))
             raw = w0 + np.bincount(doc, w[at], len(some)) + 0.5 * ((total**2).sum(axis=1) - square)
             error = (1 / (1 + np.exp(-np.clip(raw, -30, 30))) - labels[some]) * weights[some] / len(some)
-            own, slot = np.unique(at, return_inverse=True)
+            here[at] = True
+            own = np.flatnonzero(here)
+            here[own], numbered[own] = False, np.arange(len(own))
+            slot = numbered[at]
             dw = np.bincount(slot, error[doc], len(own))
             dv = np.stack([np.bincount(slot, error[doc] * (total[doc, f] - x[:, f]), len(own)) for f in range(factors)], axis=1)
             g0 += error.sum() ** 2
