@@ -110,7 +110,7 @@ def mixtures(logs: np.ndarray, sizes: np.ndarray, penalty: float = 4.0, settled:
     with the best penalised likelihood stays: ``penalty`` times the logarithm of the number of words a language.
     ``rounds`` is a guard against a likelihood so flat that shares creep for ever.
     """
-    docs, langs = len(sizes), logs.shape[1]
+    docs, langs, logs = len(sizes), logs.shape[1], logs.astype(np.float64)
     starts, of = np.concatenate([[0], np.cumsum(sizes)[:-1]]), np.repeat(np.arange(docs), sizes)
     top = logs.max(axis=1)
     p = np.exp(logs - top[:, None])
@@ -147,26 +147,38 @@ def learn(docs: DataFrame, per_language: int = 300, held_out: int = 2, most: int
     return CharacterModels((r.lang, r.text) for r in rows)
 
 
-def _scored(models: CharacterModels, rows: list[str | None], cache: RecentCache) -> tuple[list[str], list[float], list[str]]:
+def _scored(models: CharacterModels, rows: list[str | None], cache: RecentCache, most_words: int = 50_000) -> tuple[list[str], list[float], list[str]]:
+    """Prediction, share and set of each text; mixtures are fitted to documents of about ``most_words`` words at once."""
     names, n = models.languages, len(models.languages)
     pred, score, sets = [UNDETERMINED] * len(rows), [0.0] * len(rows), [""] * len(rows)
     if not n:
         return pred, score, sets
-    held, sizes, logs = [], [], []
+    held: list[int] = []
+    logs: list[np.ndarray] = []
+
+    def fit() -> None:
+        shares = mixtures(np.concatenate(logs), np.array([len(x) for x in logs]))
+        for i, row in zip(held, shares, strict=True):
+            order = np.argsort(-row, kind="stable")
+            pred[i], score[i] = names[order[0]], float(min(1.0, row[order[0]]))
+            sets[i] = "+".join(names[k] for k in order if row[k] > 0)
+        held.clear()
+        logs.clear()
+
+    words = 0
     for i, text in enumerate(rows):
         if text:
             x = np.frombuffer(b"".join([cache[t] for t in text.split()]), "<f4").reshape(-1, n)
             x = x[x[:, 0] != 0.0]
             if len(x):
                 held.append(i)
-                sizes.append(len(x))
                 logs.append(x)
+                words += len(x)
+                if words >= most_words:
+                    fit()
+                    words = 0
     if held:
-        shares = mixtures(np.concatenate(logs).astype(np.float64), np.array(sizes))
-        for i, row in zip(held, shares, strict=True):
-            order = np.argsort(-row, kind="stable")
-            pred[i], score[i] = names[order[0]], float(min(1.0, row[order[0]]))
-            sets[i] = "+".join(names[k] for k in order if row[k] > 0)
+        fit()
     return pred, score, sets
 
 
@@ -178,12 +190,10 @@ def identify(docs: DataFrame, models: CharacterModels, *, pred: str = "lang_pred
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value
-        cache = RecentCache(own.token, 200_000)
+        cache = RecentCache(own.token, 100_000)
         for part, rows in texts(batches):
-            for at in range(0, len(rows), 64):
-                some = part.slice(at, 64)
-                added = [pa.array(c, t) for c, t in zip(_scored(own, rows[at : at + 64], cache), (pa.string(), pa.float64(), pa.string()), strict=True)]
-                yield pa.RecordBatch.from_arrays([*some.columns, *added], names=[*some.schema.names, pred, score, sets])
+            added = [pa.array(c, t) for c, t in zip(_scored(own, rows, cache), (pa.string(), pa.float64(), pa.string()), strict=True)]
+            yield pa.RecordBatch.from_arrays([*part.columns, *added], names=[*part.schema.names, pred, score, sets])
 
     return keep.mapInArrow(run, schema)
 

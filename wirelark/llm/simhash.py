@@ -22,6 +22,7 @@ import itertools
 import math
 import re
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -137,7 +138,7 @@ class GrayIndex:
         return np.repeat(q, f)[inside], child[inside], np.repeat(diff, f)[inside]
 
 
-def forest_of(codes: np.ndarray, chunk: np.ndarray, distance: int, frontier: int = 1 << 21) -> tuple[np.ndarray, np.ndarray]:
+def forest_of(codes: np.ndarray, chunk: np.ndarray, distance: int, frontier: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
     """Links (place, place of its root) that span the groups of one cell; of a cell of two chunks, by links across.
 
     Queries go down in steps, so that no step can hold more than about ``frontier`` nodes.
@@ -251,10 +252,14 @@ def deduplicated(docs: DataFrame, **how) -> DataFrame:
     names = docs.columns
     rows = docs.toDF(*[f"_in_{c}" for c in names])
     kept = near_duplicates(docs.select("doc_id", "text"), **how).where("doc_id = component_id")
-    kept = kept.groupBy("doc_id").agg(F.count(F.lit(1)).alias("times")).select(F.col("doc_id").alias("kept_id"), "times")
+    kept = stored(kept.groupBy("doc_id").agg(F.count(F.lit(1)).alias("times")).select(F.col("doc_id").alias("kept_id"), "times"), "simhash-kept")
     found = rows.join(kept, F.col("_in_doc_id").cast("long") == F.col("kept_id"))
     own = [F.col(f"_in_{c}").alias(c) for c in names]
-    whole = F.struct(*[f"_in_{c}" for c in names])
-    repeated = found.where("times > 1").groupBy("kept_id").agg(F.min_by(whole, F.struct("_in_text", F.to_json(whole))).alias("row"))
-    repeated = repeated.select(*[F.col("row")[f"_in_{c}"].alias(c) for c in names])
-    return found.where("times = 1").select(*own).unionByName(repeated).unionByName(rows.where("_in_doc_id IS NULL").select(*own))
+    parts = [found.where("times = 1").select(*own)]
+    if not kept.where("times > 1").isEmpty():  # a part that no row is in need not be planned
+        whole = F.struct(*[f"_in_{c}" for c in names])
+        repeated = found.where("times > 1").groupBy("kept_id").agg(F.min_by(whole, F.struct("_in_text", F.to_json(whole))).alias("row"))
+        parts.append(repeated.select(*[F.col("row")[f"_in_{c}"].alias(c) for c in names]))
+    if not docs.where("doc_id IS NULL").isEmpty():
+        parts.append(rows.where("_in_doc_id IS NULL").select(*own))
+    return reduce(DataFrame.unionByName, parts)

@@ -74,10 +74,13 @@ class WordBpe:
         pattern = next(x for x in spec["pre_tokenizer"]["pretokenizers"] if x["type"] == "Split")["pattern"]["Regex"]
         self.word_re = regex.compile(pattern)
         self.bytes = byte_alphabet()
-        self.merges = [tuple(x) if isinstance(x, list) else tuple(x.split(" ")) for x in model["merges"]]
+        self._merges(model["merges"])
         self.tokens = {i: t for t, i in [*self.vocab.items(), *self.added.items()]}
         self.cache = RecentCache(self._chunk, most)
 
+    def _merges(self, merges: list) -> None:
+        """Takes what it needs of the file's merges, the first of the lowest rank."""
+
     def word(self, word: str) -> list[int]:
         """Ids of one word, written in the byte alphabet."""
         raise NotImplementedError
@@ -121,8 +124,11 @@ class SegmentTreeBpe(WordBpe):
 
     def __init__(self, path: str, most: int = 400_000):
         super().__init__(path, most)
+
+    def _merges(self, merges: list) -> None:
         ids = self.vocab
-        self.rank = {(ids[a], ids[b]): (rank, ids[a + b]) for rank, (a, b) in enumerate(self.merges)}
+        pairs = (x if isinstance(x, list) else x.split(" ") for x in merges)
+        self.rank = {(ids[a], ids[b]): (rank, ids[a + b]) for rank, (a, b) in enumerate(pairs)}
 
     def word(self, word: str) -> list[int]:
         if not word:
