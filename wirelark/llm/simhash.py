@@ -253,7 +253,8 @@ def deduplicated(docs: DataFrame, **how) -> DataFrame:
     rows = docs.toDF(*[f"_in_{c}" for c in names])
     kept = near_duplicates(docs.select("doc_id", "text"), **how).where("doc_id = component_id")
     kept = stored(kept.groupBy("doc_id").agg(F.count(F.lit(1)).alias("times")).select(F.col("doc_id").alias("kept_id"), "times"), "simhash-kept")
-    found = rows.join(kept, F.col("_in_doc_id").cast("long") == F.col("kept_id"))
+    # ids kept grow with the documents, so they are never broadcast
+    found = rows.join(kept.hint("merge"), F.col("_in_doc_id").cast("long") == F.col("kept_id"))
     own = [F.col(f"_in_{c}").alias(c) for c in names]
     parts = [found.where("times = 1").select(*own)]
     if not kept.where("times > 1").isEmpty():  # a part that no row is in need not be planned
