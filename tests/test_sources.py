@@ -1,9 +1,11 @@
 """Files in and out, and the stages over a stream."""
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from wirelark.plans.extract import extracted
+from wirelark.shipping import ship
 from wirelark.sources import files
 from wirelark.streaming import stages
 
@@ -45,3 +47,22 @@ def test_stream(spark, tmp_path):
     q = stages.run(extracted(stages.text_stream(spark, str(tmp_path / "in"))), str(tmp_path / "out"), str(tmp_path / "check"))
     q.awaitTermination(120)
     assert spark.read.parquet(str(tmp_path / "out")).first()["from"] == "AMEMBASSY PARIS"
+
+
+def test_batches_are_bounded_by_bytes_and_rows(spark):
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [b.num_rows], "bytes": [b.nbytes]})
+
+    session = ship(spark.newSession())
+    long = session.range(60, numPartitions=1).select(F.repeat(F.lit("x"), 1 << 20).alias("text"))
+    seen = long.mapInArrow(sizes, "rows long, bytes long").collect()
+    assert sum(r.rows for r in seen) == 60 and max(r.bytes for r in seen) <= 10 << 20
+    short = session.range(5000, numPartitions=1).mapInArrow(sizes, "rows long, bytes long").collect()
+    assert sum(r.rows for r in short) == 5000 and max(r.rows for r in short) == 2000
+
+
+def test_a_chosen_batch_size_stays(spark):
+    session = spark.newSession()
+    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "777")
+    assert ship(session).conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "777"
