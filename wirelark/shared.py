@@ -33,11 +33,14 @@ def work_dir(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """``df`` written once as Parquet in the shared folder and read back, which cuts its lineage; and the path."""
+def stored_at(df: DataFrame, name: str, *by: str) -> tuple[DataFrame, str]:
+    """``df`` written once as Parquet in the shared folder and read back, which cuts its lineage; and the path.
+
+    ``by``: columns that have a folder for each value, so that a reader of some values opens those alone; they come last.
+    """
     spark = df.sparkSession
     path = f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").partitionBy(*by).parquet(path)
     if _open:
         _open[-1].append(path)
     return spark.read.schema(df.schema).parquet(path), path
