@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, capfilters, language, licenses, packing, quality, ranking, secrets, simhash, tokenfiles, toxicity, whitening
+from . import bpe, capfilters, language, licenses, packing, quality, ranking, secrets, simhash, suffixes, tokenfiles, toxicity, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +57,10 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.searched(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digests(_table(spark, sf_dir, "documents"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(_table(spark, sf_dir, "embeddings"))
 
@@ -65,7 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_bpe, op3_simhash, op4_language, op5_packing, op6_secrets, op7_token_files, op8_embeddings,
-        op9_toxicity, op10_licenses, op11_ranked_search, op13_whitening,
+        op9_toxicity, op10_licenses, op11_ranked_search, op12_suffix_dedup, op13_whitening,
     )
 }
-ORACLES: dict[str, str] = {"op1_quality_rules": quality.ORACLE, "op8_embeddings": capfilters.ORACLE, "op11_ranked_search": ranking.ORACLE}
+ORACLES: dict[str, str] = {"op1_quality_rules": quality.ORACLE, "op8_embeddings": capfilters.ORACLE, "op11_ranked_search": ranking.ORACLE, "op12_suffix_dedup": suffixes.ORACLE}
