@@ -7,6 +7,7 @@ not give; everything after the record is expressions.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from .rules import Rules
 from .telegram import MARKINGS, parse
 
 RECORD = """attrs map<string,string>, dtg struct<raw:string,precedence_raw:string,dd:string,hh:string,mm:string,mon:string,yy:string>,
@@ -25,23 +27,30 @@ page_break array<struct<line:string,page:int>>, section_marker array<struct<raw:
 coverage struct<total:int,matched:int,blank:int,unmatched:int>, error string"""
 
 
-def extracted(texts: DataFrame, key: str = "file", text: str = "text", markings: tuple[str, ...] = MARKINGS, read: Callable[[str, tuple[str, ...]], dict] = parse) -> DataFrame:
-    """(key, record columns, error) of each text; a null text is an empty one. ``read`` makes a record of a text."""
-    schema = StructType([texts.schema[key], *StructType.fromDDL(RECORD).fields])
-    arrow = to_arrow_schema(schema)
-    names = [f.name for f in schema.fields]
+def extracted(texts: DataFrame, key: str = "file", text: str = "text", markings: tuple[str, ...] = MARKINGS, read: Callable[[str, tuple[str, ...]], dict] | None = None, rules: Rules | None = None) -> DataFrame:
+    """(key, record columns, error) of each text; a null text is an empty one.
 
-    def one(value, body: str | None) -> dict:
-        try:
-            return {key: value, "error": None} | {k: v for k, v in read(body or "", markings).items() if k in names}
-        except Exception as e:  # noqa: BLE001 - reported in the row
-            return {key: value, "error": f"{type(e).__name__}: {e}"[:500]}
+    ``rules``: scans and rules beside the package's own; their fields are columns too. ``read`` makes a record of a text.
+    """
+    own = StructType.fromDDL(", ".join(f"`{n}` {ddl}" for n, ddl in rules.fields)).fields if rules and rules.fields else []
+    schema = StructType([texts.schema[key], *StructType.fromDDL(RECORD).fields, *own])
+    arrow = to_arrow_schema(schema)
+    one = read or partial(parse, rules=rules)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 some = batch.slice(at, 256)
-                rows = [one(k, t) for k, t in zip(some.column(0).to_pylist(), some.column(1).to_pylist(), strict=True)]
-                yield pa.RecordBatch.from_pylist([{n: r.get(n) for n in names} for r in rows], schema=arrow)
+                rows, errors = [], []
+                for body in some.column(1).to_pylist():
+                    try:
+                        rows.append(one(body or "", markings))
+                        errors.append(None)
+                    except Exception as e:  # noqa: BLE001 - reported in the row
+                        rows.append({})
+                        errors.append(f"{type(e).__name__}: {e}"[:500])
+                columns = [pa.array([r.get(f.name) for r in rows], f.type) for f in list(arrow)[1:]]
+                columns[arrow.get_field_index("error") - 1] = pa.array(errors, pa.string())
+                yield pa.RecordBatch.from_arrays([some.column(0).cast(arrow.field(0).type), *columns], schema=arrow)
 
     return texts.select(key, F.col(text).cast("string").alias(text)).mapInArrow(run, schema)
