@@ -18,7 +18,8 @@ from ..shared import stored, work_dir
 from ..sources import files
 from . import jobs
 from .extract import extracted
-from .telegram import MARKINGS, parse
+from .rules import Rule, pattern_scan
+from .telegram import DEFAULT, MARKINGS, parse
 
 CITIES = """PARIS MOSCOW BONN CAIRO TOKYO LIMA OTTAWA ROME ATHENS VIENNA LAGOS SEOUL MANILA DAKAR KABUL TUNIS RABAT BERN OSLO
 MADRID LISBON WARSAW PRAGUE SOFIA QUITO""".split()
@@ -587,6 +588,43 @@ def r10_markings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _varied(spark, sf_dir).select("k", F.col("attrs")["Review Markings"].alias("markings"))
 
 
+def _phone(body, found) -> None:
+    body.record["phone"] = f"{body.record['drafted_by'][0]} {found[0][1]}"
+
+
+#: A scan, a rule and a field that a user adds: who drafted a telegram, with the number to call.
+PHONES = (
+    DEFAULT.with_scan(pattern_scan("extension", r"^EXT ([0-9]+)$"))
+    .with_rule(Rule("phone", _phone, when=lambda b: "drafted_by" in b.record and b.matches("extension"), after=("drafting",)))
+    .with_field("phone", "string")
+)
+
+
+@query(BASE + "SELECT k, CASE WHEN k % 7 < 6 THEN 'EUR/X:SMITH:' || k || ' 12345' END AS phone, CASE WHEN k % 7 < 6 THEN 'TALKS ' || k END AS subject FROM base")
+def e1_extension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """2.10: a field by a scan and a rule that are not the package's own, beside its fields."""
+    return extracted(varied(spark, sf_dir), "k", rules=PHONES).select("k", "phone", "subject")
+
+
+def inlined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """k and a telegram's text whose reference stands in the line of tags inside the addressees, and whose order is no
+    complete line: a number without a colon among the addressees, a bare value below them, or one above the tags."""
+    k, n = F.col("k"), F.col("k").cast("string")
+    last = F.concat(F.lit("TAGS: PFOR, FR  REF: STATE "), n)
+    lines = [
+        F.lit("Message Text\n"), F.concat(F.lit("R "), "dd", "hh", "mm", F.lit("Z "), "mon", F.lit(" "), "yy"), F.concat(F.lit("FM AMEMBASSY "), "station"), F.concat(F.lit("TO SECSTATE WASHDC "), n), F.lit("INFO AMEMBASSY BONN"),
+        F.when(k % 3 == 0, F.lit("E.O. 11652 GDS")), last, F.when(k % 3 == 1, F.lit("\nE.O. XGDS-2")), F.when(k % 3 == 2, F.lit("E.O.: N/A")), F.concat(F.lit("\n1. TEXT "), n, F.lit(" SEE REF: B.\n")), F.lit("NNN\n"), F.lit("Message Attributes\n"), F.lit("Type: TE"),
+    ]
+    return dealt(base(spark, sf_dir)).select("k", F.array_join(F.array(*lines), "\n").alias("text"))
+
+
+@query(BASE + """SELECT k, 'REF: STATE ' || k AS reference, 'PFOR, FR' AS tags, CASE k % 3 WHEN 0 THEN 'E.O. 11652 GDS' WHEN 1 THEN 'E.O. XGDS-2' ELSE 'E.O.: N/A' END AS executive_order, 'SECSTATE WASHDC ' || k AS to_ FROM base""")
+def r18_inline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """References and orders that no line of their own holds, tags cut before a reference."""
+    r = extracted(inlined(spark, sf_dir), "k")
+    return r.select("k", F.trim("reference").alias("reference"), "tags", "executive_order", F.col("to").alias("to_"))
+
+
 _DATES = """SELECT yy || station || k AS document_number, '19' || yy || station || k AS document_number_raw, CASE WHEN k % 7 < 6 THEN iso || 'T' || hh || ':59:00Z' END AS dtg,
   CASE WHEN k % 7 < 6 THEN 'ROUTINE' END AS precedence, CASE WHEN k % 7 < 6 AND k % 3 < 2 THEN '201300Z' END AS filing_time_raw,
   CASE WHEN k % 7 < 6 AND k % 3 < 2 THEN substr(iso, 1, 8) || '20T13:00:00Z' END AS filing_datetime_iso, iso AS draft_date, CAST(NULL AS VARCHAR) AS sent_date FROM base"""
