@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import citations, dates, tags, text
 from ..operators import estimate, joins, metrics
 from ..shared import stored, work_dir
-from ..sources import files
+from ..sources import files, shards
 from . import jobs
 from .extract import extracted
 from .rules import Rule, pattern_scan
@@ -704,6 +704,27 @@ def s5_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.records(spark, [path], o.schema)
 
 
+@query("SELECT doc_id, md5(coalesce(text, '')) AS digest, CAST(NULL AS VARCHAR) AS error FROM documents")
+def s1_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts written to shards and read whole from them, in partitions planned by bytes."""
+    d = _table(spark, sf_dir, "documents").select(F.concat(F.col("doc_id").cast("string"), F.lit(".txt")).alias("file"), F.col("text").cast("binary").alias("content"))
+    path = f"{work_dir(spark)}/shards-{uuid.uuid4().hex}"
+    shards.write(d, path, shardBytes=16 << 20)
+    rows = shards.read(spark, [path], partitionBytes=4 << 20)
+    return rows.select(F.regexp_extract("file", r"!([0-9]+)\.txt$", 1).cast("long").alias("doc_id"), F.md5("content").alias("digest"), "error")
+
+
+@query("SELECT o_orderkey AS k, o_orderstatus AS status, TRUE AS numbered FROM orders")
+def s6_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records read strictly, each with its file and line: every line of every file once."""
+    o = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("status"))
+    path = f"{work_dir(spark)}/records-{uuid.uuid4().hex}"
+    files.write_records(o, path)
+    rows = stored(files.records_strict(spark, [path], o.schema), "strict")
+    per = rows.groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.max("line").alias("last"), F.countDistinct("line").alias("lines"))
+    return rows.join(per, "file").select("k", "status", ((F.col("n") == F.col("last")) & (F.col("n") == F.col("lines"))).alias("numbered"))
+
+
 @query("SELECT 'citation' AS role, count(*) AS n FROM orders WHERE o_orderkey % 4 > 0 UNION ALL SELECT 'extractor', count(*) FROM orders WHERE o_orderkey % 4 = 0")
 def s7_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A mixed input told apart."""
