@@ -19,6 +19,7 @@ from ..sources import files, shards
 from . import jobs
 from .extract import extracted
 from .rules import Rule, pattern_scan
+from .scan_columns import scanned
 from .telegram import DEFAULT, MARKINGS, parse
 
 CITIES = """PARIS MOSCOW BONN CAIRO TOKYO LIMA OTTAWA ROME ATHENS VIENNA LAGOS SEOUL MANILA DAKAR KABUL TUNIS RABAT BERN OSLO
@@ -625,6 +626,22 @@ def r18_inline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("k", F.trim("reference").alias("reference"), "tags", "executive_order", F.col("to").alias("to_"))
 
 
+@query(BASE + """, b AS (SELECT *, k % 7 < 6 AS body FROM base) SELECT k, CASE WHEN body THEN 1 END AS pages, CASE WHEN body THEN 1 END AS footers, CASE WHEN body THEN 'C O N F I D E N T I A L SECTION 2 OF 2 ' || station || ' ' || k END AS section,
+  CASE WHEN body THEN 2 END AS dashes, CASE WHEN body THEN 'FM AMEMBASSY ' || station END AS sender, CASE WHEN body THEN 'R ' || dd || hh || '59Z ' || mon || ' ' || yy END AS dtg, CASE WHEN body THEN 'TAGS: PFOR' END AS tags,
+  CASE WHEN body THEN 'LIMDIS, NOFORN' END AS handling, 6 AS keys, CASE WHEN k % 2 = 1 THEN 3 ELSE 0 END AS artifacts, CASE WHEN body THEN TRUE END AS placed FROM b""")
+def x_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X1-X13, X15, X18 without a Python worker: spans of all scans as columns, each cut out of its text again."""
+    s = scanned(varied(spark, sf_dir), "k")
+    value = lambda c, i: F.get(c, F.lit(i))["value"]
+    size = lambda c: F.when(F.col(c).isNotNull(), F.size(c))
+    placed = F.forall(F.concat("header_from", "header_dtg", "header_tags_line"), lambda x: F.substring(F.col("header"), x["start"] + 1, x["end"] - x["start"]) == x["value"])
+    return s.select(
+        "k", size("body_page_break").alias("pages"), size("body_footer").alias("footers"), F.trim(F.translate(value(F.col("body_section"), 0), "\n", "")).alias("section"), size("header_dash").alias("dashes"),
+        value(F.col("header_from"), 1).alias("sender"), value(F.col("header_dtg"), 1).alias("dtg"), value(F.col("header_tags_line"), 0).alias("tags"), value(F.col("header_handling"), 0).alias("handling"),
+        F.size("attribute_keys").alias("keys"), F.size("artifacts").alias("artifacts"), placed.alias("placed"),
+    )
+
+
 _DATES = """SELECT yy || station || k AS document_number, '19' || yy || station || k AS document_number_raw, CASE WHEN k % 7 < 6 THEN iso || 'T' || hh || ':59:00Z' END AS dtg,
   CASE WHEN k % 7 < 6 THEN 'ROUTINE' END AS precedence, CASE WHEN k % 7 < 6 AND k % 3 < 2 THEN '201300Z' END AS filing_time_raw,
   CASE WHEN k % 7 < 6 AND k % 3 < 2 THEN substr(iso, 1, 8) || '20T13:00:00Z' END AS filing_datetime_iso, iso AS draft_date, CAST(NULL AS VARCHAR) AS sent_date FROM base"""
