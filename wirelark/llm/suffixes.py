@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import gc
 import math
+import time
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -322,9 +323,14 @@ def judged_apart(classes: DataFrame, length: int) -> DataFrame:
 
 
 def released(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of jobs whose result has been stored."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Lets Spark delete the shuffle files of jobs whose result has been stored.
+
+    Plans that Python has let go of are garbage in the JVM from the next collection on, their shuffles from the one after.
+    """
+    for _ in range(2):
+        gc.collect()
+        time.sleep(0.2)
+        spark.sparkContext._jvm.System.gc()
 
 
 def _texts(docs: DataFrame) -> DataFrame:
