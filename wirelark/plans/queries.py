@@ -696,11 +696,10 @@ def a7_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.estimate_totals(_estimates(spark, sf_dir), docs, b.where("k % 3 = 0").select("id").distinct(), estimate.representatives(known))
 
 
-@query(BASE + _ESTIMATED + "SELECT mrn, CAST(row_number() OVER (ORDER BY station, yy, sequence, mrn) AS INTEGER) AS place FROM ask QUALIFY place <= 1000")
+@query(BASE + _ESTIMATED + "SELECT mrn, row_number() OVER (ORDER BY station, yy, sequence, mrn) AS place FROM ask")
 def j12_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first thousand estimates in order."""
-    first = estimate.in_order(_estimates(spark, sf_dir)).select("mrn").limit(1000)
-    return first.coalesce(1).select("mrn", (F.monotonically_increasing_id() + 1).cast("int").alias("place"))
+    """All estimates in order, each with its place."""
+    return estimate.numbered(_estimates(spark, sf_dir).select(*estimate.ORDER), F.col("station").isNull(), *estimate.ORDER).select("mrn", "place")
 
 
 @query("SELECT doc_id, 100.0 * least(10, length(text)) / length(text) AS covered FROM documents WHERE length(text) > 0 ORDER BY covered, doc_id LIMIT 50")
