@@ -56,6 +56,18 @@ def removed(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is stored inside go when it has been written; a frame that is run again makes them anew."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Tables stored inside are deleted at the end: what is made inside must be written by then."""
