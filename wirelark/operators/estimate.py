@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .joins import last_wins
+from .ranges import numbered  # noqa: F401 - J12's places
 
 GROUP = ["station", "year", "is_airgram"]
 
@@ -138,21 +139,3 @@ ORDER = ["station", "year", "is_airgram", "sequence", "mrn"]
 def in_order(rows: DataFrame) -> DataFrame:
     """Parseable ids by numbering and number, then the others by id."""
     return rows.orderBy(F.col("station").isNull(), *ORDER)
-
-
-def numbered(rows: DataFrame, *order: str | Column, name: str = "place") -> DataFrame:
-    """Rows with their place, from 1, in the order of some columns; rows that are alike in all of them in any order.
-
-    Ranges of the order are dealt to tasks and counted (one number a range reaches the driver); a task numbers its own
-    range from the end of the one before, so none holds more than its range.
-    """
-    from ..shared import stored
-
-    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_range", F.spark_partition_id()).withColumn("_nth", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33))
-    kept = stored(ranged, "numbered")
-    counts = {r[0]: r[1] for r in kept.groupBy("_range").count().collect()}  # one row a range
-    starts, total = [], 0
-    for k in range(max(counts, default=-1) + 1):
-        starts.append(total)
-        total += counts.get(k, 0)
-    return kept.withColumn(name, F.col("_nth") + F.get(F.lit(starts or [0]), F.col("_range")) + 1).drop("_range", "_nth")

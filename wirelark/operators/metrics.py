@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import FIRST_YEAR, LAST_YEAR
 from ..functions.text import is_na, strip
+from .ranges import before, ranged
 
 # Attributes and the body fields that repeat them, and a locator that says the text is there.
 BODY_OF = {
@@ -31,6 +32,37 @@ def character_totals(rows: DataFrame, coverage: str = "coverage", *by: str) -> D
     return out.withColumn("covered_rate", rate(F.col("matched") + F.col("blank"), F.col("total"))).withColumn("full_rate", rate(F.col("fully_covered"), F.col("documents")))
 
 
+def report_state(rows: DataFrame, key: str, fields: dict[str, Column], *by: str, n: int = 50, coverage: str = "coverage") -> DataFrame:
+    """A1-A3, J15 of some documents, in one row a load (columns ``by``) that others can be merged with.
+
+    Sums of characters and documents, the documents that have each field, and the n least covered documents.
+    """
+    c = F.col(coverage)
+    share = F.coalesce(F.try_divide(100.0 * (c["matched"] + c["blank"]), c["total"]), F.lit(100.0))
+    sums = [F.coalesce(F.sum(c[k].cast("long")), F.lit(0).cast("long")).alias(k) for k in ("total", "matched", "blank", "unmatched")]
+    had = F.struct(*[F.count_if(v.isNotNull()).alias(k) for k, v in fields.items()])
+    # a task's n least are chosen first, so a group gathers n for each task
+    least = rows.select(*by, F.struct(share.alias("covered"), F.col(key).cast("string").alias("key")).alias("_s"))
+    least = first_n(least, list(by), ["_s"], n).groupBy(*by).agg(F.array_sort(F.collect_list("_s")).alias("worst")) if by else least.orderBy("_s").limit(n).agg(F.array_sort(F.collect_list("_s")).alias("worst"))
+    state = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("documents"), F.coalesce(F.sum((c["unmatched"] == 0).cast("long")), F.lit(0).cast("long")).alias("fully_covered"), *sums, had.alias("fields"))
+    return state.join(least, list(by)) if by else state.crossJoin(least)  # one row each
+
+
+def merged_state(states: DataFrame, n: int = 50) -> DataFrame:
+    """The state of all documents of some states."""
+    sums = ["documents", "fully_covered", "total", "matched", "blank", "unmatched"]
+    names = states.schema["fields"].dataType.names
+    had = F.struct(*[F.coalesce(F.sum(F.col("fields")[f]), F.lit(0).cast("long")).alias(f) for f in names])
+    worst = F.slice(F.array_sort(F.flatten(F.collect_list("worst"))), 1, n)
+    return states.agg(*[F.coalesce(F.sum(c), F.lit(0).cast("long")).alias(c) for c in sums], had.alias("fields"), worst.alias("worst"))
+
+
+def state_report(state: DataFrame) -> DataFrame:
+    """A1, A2 of a state, with its fields and its least covered documents."""
+    out = state.withColumn("covered_rate", rate(F.col("matched") + F.col("blank"), F.col("total"))).withColumn("full_rate", rate(F.col("fully_covered"), F.col("documents")))
+    return out.select("documents", "fully_covered", "total", "matched", "blank", "unmatched", "covered_rate", "full_rate", "fields", "worst")
+
+
 def worst_covered(rows: DataFrame, key: str, n: int, coverage: str = "coverage") -> DataFrame:
     """The n documents with the lowest covered share, then by key."""
     c = F.col(coverage)
@@ -133,11 +165,22 @@ def estimate_totals(estimates: DataFrame, documents: DataFrame, cited: DataFrame
 def nearest_ranks(rows: DataFrame, value: str, shares: list[float], by: list[str] | None = None) -> DataFrame:
     """Nearest-rank percentiles: of n sorted values the one at min(n - 1, floor(n * share)).
 
-    Values are counted before they are ranked, so a partition holds the distinct values of a group, not its rows.
+    Values are counted, dealt by ranges and summed up within a range, behind what the ranges before it hold: no task has
+    more than its range of the distinct values.
     """
     by = by or []
     counts = rows.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
-    upto = counts.withColumn("_upto", F.sum("_n").over(W.partitionBy(*by).orderBy(value))).withColumn("_all", F.sum("_n").over(W.partitionBy(*by)))
+    kept = ranged(counts, *by, value)
+    here = F.sum("_n").over(W.partitionBy("_range", *by).orderBy(value))
+    if by:
+        sums = kept.groupBy(*by, "_range").agg(F.sum("_n").alias("_here"))  # a group's ranges are few
+        sums = sums.withColumns({"_before": F.coalesce(F.sum("_here").over(W.partitionBy(*by).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)), "_all": F.sum("_here").over(W.partitionBy(*by))})
+        sums = sums.toDF(*[f"_of_{c}" for c in by], "_of_range", "_here", "_before", "_all")
+        same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in by] + [F.col("_range") == F.col("_of_range")]
+        upto = kept.join(sums, same).select(*by, value, "_n", "_range", "_before", "_all").withColumn("_upto", here + F.col("_before"))
+    else:
+        total = kept.agg(F.sum("_n")).first()[0] or 0
+        upto = kept.withColumn("_upto", here + before(kept, F.sum("_n"))).withColumn("_all", F.lit(total))
     wanted = F.explode(F.array(*[F.lit(float(s)) for s in shares]))
     ranked = upto.withColumn("share", wanted).withColumn("_k", F.least(F.col("_all") - 1, F.floor(F.col("_all") * F.col("share"))))
     return ranked.where((F.col("_upto") > F.col("_k")) & (F.col("_upto") - F.col("_n") <= F.col("_k"))).select(*by, "share", F.col(value).alias("percentile"))

@@ -469,6 +469,16 @@ def a1_character_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("documents", "fully_covered", "unmatched", "full_rate")
 
 
+@query(BASE + """SELECT count(*) AS documents, count(*) AS fully_covered, CAST(0 AS BIGINT) AS unmatched, CAST(100.0 AS DOUBLE) AS full_rate, count(*) AS senders, count(*) FILTER (k % 4 > 0) AS tags,
+  (SELECT string_agg(s, ',' ORDER BY s) FROM (SELECT CAST(k AS VARCHAR) AS s FROM base ORDER BY s LIMIT 50)) AS worst, 3 AS loads FROM base""")
+def a1_merged_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The states of three loads, stored, merged to the report on all."""
+    r = extracted(rendered(spark, sf_dir), "k").select("k", "coverage", "from", "tags", (F.col("k") % 3).alias("load"))
+    states = stored(metrics.report_state(stored(r, "loads"), "k", {"from": F.col("from"), "tags": F.col("tags")}, "load"), "states")
+    report = metrics.state_report(metrics.merged_state(states)).withColumn("loads", F.lit(states.count()))
+    return report.select("documents", "fully_covered", "unmatched", "full_rate", F.col("fields")["from"].alias("senders"), F.col("fields")["tags"].alias("tags"), F.array_join(F.transform("worst", lambda w: w["key"]), ",").alias("worst"), "loads")
+
+
 @query(BASE + "SELECT field, count(*) AS documents, 100.0 AS field_rate FROM base, (SELECT unnest(['from', 'subject', 'dtg']) AS field) GROUP BY field UNION ALL SELECT 'tags', count(*) FILTER (k % 4 > 0), round(100.0 * count(*) FILTER (k % 4 > 0) / count(*), 2) FROM base")
 def a3_field_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = extracted(rendered(spark, sf_dir), "k")
