@@ -7,8 +7,9 @@ unless a reader says otherwise.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 from ..functions.labels import label_tier
 
@@ -31,7 +32,7 @@ _EMPTY_LINE = re.compile(r"\n[ \t]*\n")
 def lines_of(text: str, start: int = 0, end: int | None = None) -> Iterator[tuple[int, str]]:
     """(place, line) without line ends; the first line begins at ``start``."""
     at = start
-    for line in text[start:end].split("\n"):
+    for line in (text[start:end] if start or end is not None else text).split("\n"):
         yield at, line
         at += len(line) + 1
 
@@ -107,7 +108,7 @@ def _next_of(text: str, words: tuple[str, ...], at: int) -> int:
 
 def tags_line(line: str) -> int | None:
     """Where the value of a line of tags begins: behind TAGS, TAGA or TAG, a letter stuck to it, and a mark."""
-    at = past_blanks(line, 0)
+    at = len(line) - len(line.lstrip(BLANKS))
     if line[at : at + 3].upper() != "TAG":
         return None
     at += 3 + (line[at + 3 : at + 4].upper() in {"S", "A"})
@@ -141,8 +142,8 @@ def has_order_token(text: str) -> bool:
 
 def order_line(line: str) -> OrderLine | None:
     """``E.O. 11652: GDS`` and its like; without a number, a value with a known token."""
-    at = past_blanks(line, 0)
-    if line[at : at + 1].upper() != "E" or "\r" in line:
+    at = len(line) - len(line.lstrip(BLANKS))
+    if line[at : at + 1] not in ("E", "e") or "\r" in line:
         return None
     at = past_blanks(line, at + 1)
     for _ in range(2):
@@ -177,40 +178,48 @@ def _colon_follows(line: str, at: int) -> bool:
     return line.startswith(":", past_blanks(line, at))
 
 
-def _plain_token(line: str, at: int, end: int) -> bool:
-    """A word at most one edit from a whole label; one with a letter more at its end needs a mark behind it."""
-    token = line[at:end].upper()
+@lru_cache(maxsize=1 << 16)
+def _plain_tier(token: str) -> tuple[int, bool] | None:
+    """(tier, whether a mark has to follow) of a word in capitals at most one edit from a whole label, else None."""
     if token in PLAIN_SUBJECT:
-        return True
-    if label_tier(token) > 1:
-        return False
-    longer = any(token[:-1] == w and token[-1] != w[-1] for w in ("SUBJECT", "SUBJ"))
-    return not longer or line.startswith((":", ".", ";"), past_blanks(line, end))
-
-
-def _readings(line: str, at: int) -> Iterator[tuple[int, int]]:
-    """(end, tier) of the labels that may begin at a place, the likeliest first."""
-    for word in ("SUBJECT", "SUBJ"):
-        if end := _spaced(line, at, word):
-            yield end, 0
-    token = _TOKEN.match(line, at)
-    if token:
-        end = token.end()
-        ends = [end, *([end - 1] if line[end - 1 : end + 2].upper() == "W/W" and end - 1 > at else [])]
-        for e in ends:
-            if _plain_token(line, at, e):
-                yield e, label_tier(line[at:e])
-    if line[at].upper() == "S":
-        colon = line.find(":", at)
-        if 2 < colon - at <= 9 and all(c.isascii() and (c.isalnum() or c in GARBLE) for c in line[at:colon]) and line[colon + 1 : colon + 2] == "5" and _colon_follows(line, colon + 2):
-            yield colon + 2, 2
-    if token and 3 <= end - at <= 10 and _colon_follows(line, end):
+        return label_tier(token), False
+    if len(token) > 8 or label_tier(token) > 1:
+        return None
+    return 1, any(token[:-1] == w and token[-1] != w[-1] for w in ("SUBJECT", "SUBJ"))
+
+
+def _plain_reading(line: str, at: int, end: int) -> tuple[int, int] | None:
+    found = _plain_tier(line[at:end].upper())
+    if found and (not found[1] or line.startswith((":", ".", ";"), past_blanks(line, end))):
+        return end, found[0]
+    return None
+
+
+def _readings(line: str, at: int, end: int, colon: int) -> Iterator[tuple[int, int]]:
+    """(end, tier) of the labels that may begin with the token from ``at`` to ``end``, the likeliest first.
+
+    ``colon``: the next one behind the place, or -1.
+    """
+    may_begin = line[at] in "Ss"
+    if may_begin and (end - at == 1 or line[at + 1] in "Uu"):
+        for word in ("SUBJECT", "SUBJ"):
+            if whole := _spaced(line, at, word):
+                yield whole, 0
+    if found := _plain_reading(line, at, end):
+        yield found
+    if line[end - 1 : end + 2].upper() == "W/W" and end - 1 > at and (found := _plain_reading(line, at, end - 1)):
+        yield found
+    if colon < 0:
+        return
+    if may_begin and 2 < colon - at <= 9 and all(c.isascii() and (c.isalnum() or c in GARBLE) for c in line[at:colon]) and line[colon + 1 : colon + 2] == "5" and _colon_follows(line, colon + 2):
+        yield colon + 2, 2
+    if 3 <= end - at <= 10 and _colon_follows(line, end):
         yield end, label_tier(line[at:end])
-    if line[at].upper() == "S" and colon > 0:
-        end = before_blanks(line, colon)
-        inside = line[at:end]
+    if may_begin:
+        last = before_blanks(line, colon)
+        inside = line[at:last]
         if 3 <= len(inside) <= 15 and inside[-1].isascii() and inside[-1].isalnum() and all(c.isascii() and (c.isalnum() or c in BLANKS + GARBLE) for c in inside):
-            yield end, _garbled_tier(inside)
+            yield last, _garbled_tier(inside)
 
 
 def _garbled_tier(label: str) -> int:
@@ -237,27 +246,33 @@ def _behind(line: str, end: int) -> tuple[str, int] | None:
     return None if value is None else (line[end:value], value)
 
 
-def _label_places(line: str) -> Iterator[int]:
-    """Where a label may begin: at the line's start, behind blanks, behind a colon or behind TAGS."""
-    for at in range(len(line)):
-        if line[at] not in BLANKS and (not at or line[at - 1] in BLANKS + ":" or line[max(0, at - 4) : at].upper() == "TAGS"):
-            yield at
+#: Where a label may begin: at the line's start, behind blanks, behind a colon or behind TAGS.
+_LABEL_PLACE = re.compile(r"(?:(?<![^ \t:])|(?<=TAGS))[A-Z0-9]", re.IGNORECASE | re.ASCII)
+
 
+def subject_candidates(text: str, rows: Iterable[tuple[int, str]] | None = None) -> list[tuple[Found, int]]:
+    """(label and value, tier) of the first label of each line that is near enough; one that is not hides no later one.
 
-def subject_candidates(text: str) -> list[tuple[Found, int]]:
-    """(label and value, tier) of the first label of each line that is near enough; one that is not hides no later one."""
+    ``rows``: the text's lines with their places, if they are there.
+    """
     out = []
-    for start, line in lines_of(text):
-        for at in _label_places(line):
-            read = next(((e, tier, told) for e, tier in _readings(line, at) if (told := _behind(line, e))), None)
+    for start, line in lines_of(text) if rows is None else rows:
+        if not line:
+            continue
+        for place in _LABEL_PLACE.finditer(line):
+            at = place.start()
+            token, colon = _TOKEN.match(line, at).end(), line.find(":", at)
+            if line[at] not in "Ss" and _plain_tier(line[at:token].upper()) is None and (colon < 0 or past_blanks(line, token) != colon) and line[token : token + 1] != "/":
+                continue  # no label begins here
+            read = next(((e, tier, told) for e, tier in _readings(line, at, token, colon) if (told := _behind(line, e))), None)
             if read is None:
                 continue
             end, tier, (separator, value) = read
             label = line[at:end].upper()
-            plain = "".join(label.split()) if tier == 0 else label
             if separator.startswith("-") and label not in ("SUBJECT", "SUBJ"):
                 continue
             if tier < 4 or (tier == 4 and len(label) >= 6):
+                plain = "".join(label.split()) if tier == 0 else label
                 out.append((Found(start + before_blanks(line, at), start + at, start + len(line), plain, separator, start + value), tier))
                 break
     return out
@@ -278,6 +293,9 @@ def begins_body(line: str) -> bool:
 
 def handling_line(line: str) -> bool:
     """A line of designators and marks between them alone."""
+    first = _LETTERS.match(line, len(line) - len(line.lstrip(BLANKS)))
+    if not first or first[0].upper() not in DESIGNATORS:
+        return False
     bare = line.strip(BLANKS)
     words = bare.translate(dict.fromkeys(map(ord, ",;/+-\t"), " ")).upper().split()
     return bool(words) and bare[0].isalpha() and bare[-1].isalpha() and all(w in DESIGNATORS for w in words) and "\r" not in bare

@@ -652,6 +652,15 @@ def x_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(BASE + "SELECT k, CASE WHEN k % 2 = 0 THEN 0 ELSE 1 END AS classes, 'SECRET SECTION 1 OF 2 ' || station AS section, 'NNNN' AS last FROM base")
+def x13_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of a classification line and a section mark that share empty lines the longer one stays; apart, both do."""
+    k = F.col("k")
+    lines = [F.lit("Message Text"), F.lit("SECRET"), F.when(k % 2 == 1, F.lit("\nWORDS BETWEEN THEM\n")).otherwise(""), F.concat(F.lit("SECRET SECTION 1 OF 2 "), "station"), F.lit("\nTEXT"), F.lit("NNNN"), F.lit("Message Attributes"), F.lit("Type: TE")]
+    s = scanned(dealt(base(spark, sf_dir)).select("k", F.array_join(F.array(*lines), "\n").alias("text")), "k")
+    return s.select("k", F.size("body_classification").alias("classes"), F.trim(F.translate(F.get("body_section", 0)["value"], "\n", "")).alias("section"), F.get("body_end", 0)["value"].alias("last"))
+
+
 _DATES = """SELECT yy || station || k AS document_number, '19' || yy || station || k AS document_number_raw, CASE WHEN k % 7 < 6 THEN iso || 'T' || hh || ':59:00Z' END AS dtg,
   CASE WHEN k % 7 < 6 THEN 'ROUTINE' END AS precedence, CASE WHEN k % 7 < 6 AND k % 3 < 2 THEN '201300Z' END AS filing_time_raw,
   CASE WHEN k % 7 < 6 AND k % 3 < 2 THEN substr(iso, 1, 8) || '20T13:00:00Z' END AS filing_datetime_iso, iso AS draft_date, CAST(NULL AS VARCHAR) AS sent_date FROM base"""
