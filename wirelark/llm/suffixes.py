@@ -23,21 +23,23 @@ rows. A text of any length takes memory for itself alone. An empty table gives n
 
 from __future__ import annotations
 
-import gc
 import math
-import time
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..shared import tidy
 from .common import stored
 
 LENGTH, GRAM = 50, 20
 #: Classes of an anchor that one task sorts together, and bytes of contexts sorted at once.
 HOT, CELL = 10_000, 1 << 20
+#: Shares of the anchors that are settled one after another.
+SHARES = 4
 #: Texts hashed at once, in bytes: what the passes over them hold stays in a core's cache.
 _SLICE = 1 << 19
 _NO_ID = (1 << 63) - 1
@@ -316,56 +318,54 @@ def judged_apart(classes: DataFrame, length: int) -> DataFrame:
     single = classes.select("anchor", "key", "first", "context", nth).withColumn("string", F.expr(f"substring(context, nth + 1, {length})")).drop("context")
     least = single.groupBy("anchor", "string").agg(F.min("first").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
     hit = F.pow(F.lit(2.0), F.col("nth")).cast("long")
-    return single.join(least, ["anchor", "string"]).where("least < first").groupBy("anchor", "key", "first").agg(F.sum(hit).alias("bits"))
+    return single.join(least.hint("merge"), ["anchor", "string"]).where("least < first").groupBy("anchor", "key", "first").agg(F.sum(hit).alias("bits"))
 
 
 # ---------------------------------------------------------------- removal
 
 
-def released(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of jobs whose result has been stored.
-
-    Plans that Python has let go of are garbage in the JVM from the next collection on, their shuffles from the one after.
-    """
-    for _ in range(2):
-        gc.collect()
-        time.sleep(0.2)
-        spark.sparkContext._jvm.System.gc()
-
-
 def _texts(docs: DataFrame) -> DataFrame:
     raw = F.coalesce(F.col("text").cast("string").cast("binary"), F.lit(b""))
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), raw.alias("raw"))
     return named.select("doc_id", F.coalesce("doc_id", F.lit(_NO_ID)).alias("doc"), F.xxhash64("raw").alias("text_key"), "raw")
 
 
-def removed_strings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
-    """(doc, text_key, found): of each text that loses something, (at, bits) of the strings that go."""
-    spark, texts = docs.sparkSession, _texts(docs)
+def removed_strings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, shares: int = SHARES) -> DataFrame:
+    """(doc, text_key, at, bits): of the contexts of each text, the strings that go.
+
+    Anchors are settled in ``shares`` equal shares one after another, so scratch disks hold the shuffles of one share.
+    """
+    texts = _texts(docs)
     long_ = texts.where(F.octet_length("raw") >= length).select("doc", "text_key", "raw")
-    some = stored(contexts(long_, repeated_anchors(long_, length, gram), length, gram), "suffix-contexts").withColumn("key", F.xxhash64("context"))
-    released(spark)
+    share = F.pmod(F.xxhash64(F.lit("share"), F.col("anchor")), F.lit(shares))
+    some = stored(contexts(long_, repeated_anchors(long_, length, gram), length, gram), "suffix-contexts")
+    return reduce(DataFrame.unionByName, [stored(_settled(some.where(share == k), length, hot), "suffix-found") for k in range(shares)])
+
+
+def _settled(some: DataFrame, length: int, hot: int) -> DataFrame:
+    """(doc, text_key, at, bits) of the contexts of some anchors."""
+    some = some.withColumn("key", F.xxhash64("context"))
     classes = some.groupBy("anchor", "context").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("n"))
     classes = stored(classes.withColumn("key", F.xxhash64("context")), "suffix-classes")
-    released(spark)
     sizes = stored(classes.groupBy("anchor").count().where(F.col("count") > hot).select("anchor"), "suffix-hot")
     usual = classes if sizes.isEmpty() else classes.join(sizes.hint("merge"), "anchor", "left_anti")
     verdicts = judged(usual, length).where("bits <> 0").select("anchor", "key", "bits")
     if not sizes.isEmpty():
-        verdicts = verdicts.unionByName(judged_apart(classes.join(sizes, "anchor"), length).select("anchor", "key", "bits"))
+        verdicts = verdicts.unionByName(judged_apart(classes.join(sizes.hint("merge"), "anchor"), length).select("anchor", "key", "bits"))
     told = classes.select("anchor", "key", "first", "n").join(stored(verdicts, "suffix-verdicts").hint("merge"), ["anchor", "key"], "left").where("n > 1 OR bits IS NOT NULL")
     every = F.pow(F.lit(2.0), F.col("strings")).cast("long") - 1  # exact: 62 strings at most
     bits = F.when(F.col("doc") > F.col("first"), every).otherwise(F.coalesce("bits", F.lit(0).cast("long")))
     rows = some.drop("context").join(told.select("anchor", "key", "first", "bits").hint("merge"), ["anchor", "key"]).select("doc", "text_key", "at", bits.alias("bits"))
-    return rows.where("bits <> 0").groupBy("doc", "text_key").agg(F.collect_list(F.struct("at", "bits")).alias("found"))
+    return rows.where("bits <> 0")
 
 
-def deduplicated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
+def deduplicated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, shares: int = SHARES) -> DataFrame:
     """A row for each row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept (the bytes that stay)."""
     if not 8 <= gram <= length - 1 or length - gram + 1 > 62:
         raise ValueError("a string holds its grams at 62 places or fewer")
-    found = stored(removed_strings(docs, length, gram, hot), "suffix-found")
-    released(docs.sparkSession)
+    with tidy(docs.sparkSession):  # each table is made from stored ones, and large shuffles need not wait for garbage
+        strings = removed_strings(docs, length, gram, hot, shares)
+        found = stored(strings.groupBy("doc", "text_key").agg(F.collect_list(F.struct("at", "bits")).alias("found")), "suffix-texts")
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places = np.arange(63)
