@@ -1,8 +1,8 @@
 """Operator 4: language identification as inference of a mixture.
 
 Each language has a character model (trigrams, interpolated with shorter ones) learned from a bounded sample of
-labelled documents: about ``per_language`` documents a language, chosen by a hash of doc_id, of the ``most`` languages
-with the most documents. A document's words are drawn from a mixture of languages; expectation-maximisation estimates its
+labelled documents: about ``per_language`` documents a language, chosen by a hash of doc_id, of all languages that
+there are. A document's words are drawn from a mixture of languages; expectation-maximisation estimates its
 proportions from the words' likelihoods until no share moves by more than ``settled``, and languages are dropped from its
 set, the smallest share first; the set with the best penalised likelihood stays.
 
@@ -81,30 +81,34 @@ class CharacterModels:
         return total.astype("<f4").tobytes()
 
 
-def _expect_maximise(p: np.ndarray, share: np.ndarray, sizes: np.ndarray, settled: float, rounds: int) -> np.ndarray:
+def _expect_maximise(p: np.ndarray, times: np.ndarray, share: np.ndarray, sizes: np.ndarray, settled: float, rounds: int) -> np.ndarray:
     """Shares at which expectation-maximisation comes to rest, of each document on its own.
 
-    ``p``: likelihoods of the words (rows) of all documents. Documents at rest are set aside, so the others alone go on.
+    ``p``, ``times``: likelihoods of the words (rows) of all documents, and how often each stands there. Documents at rest
+    are set aside, so the others alone go on.
     """
     share, open_ = share.copy(), np.arange(len(sizes))
+    words = np.add.reduceat(times, np.concatenate([[0], np.cumsum(sizes)[:-1]]))
     for _ in range(rounds):
         of = np.repeat(np.arange(len(open_)), sizes[open_])
         starts = np.concatenate([[0], np.cumsum(sizes[open_])[:-1]])
         now = share[open_]
         r = p * now[of]
-        r /= np.maximum(r.sum(axis=1), 1e-300)[:, None]
-        new = np.add.reduceat(r, starts, axis=0) / sizes[open_][:, None]
+        r *= (times / np.maximum(r.sum(axis=1), 1e-300))[:, None]
+        new = np.add.reduceat(r, starts, axis=0) / words[open_][:, None]
         share[open_] = new
         moving = np.abs(new - now).max(axis=1) > settled
         if not moving.any():
             break
         if not moving.all():
-            p, open_ = p[moving[of]], open_[moving]
+            p, times, open_ = p[moving[of]], times[moving[of]], open_[moving]
     return share
 
 
-def mixtures(logs: np.ndarray, sizes: np.ndarray, penalty: float = 4.0, settled: float = 1e-3, rounds: int = 1000) -> np.ndarray:
-    """Proportions of languages (rows: documents) for word log-likelihoods; ``sizes``: words of each document, over 0.
+def mixtures(logs: np.ndarray, sizes: np.ndarray, penalty: float = 4.0, settled: float = 1e-3, rounds: int = 1000, times: np.ndarray | None = None) -> np.ndarray:
+    """Proportions of languages (rows: documents) for word log-likelihoods; ``sizes``: rows of each document, over 0.
+
+    ``times``: how often the word of each row stands in its document (once each, if not given).
 
     Starts from all languages; then, one by one, the smallest goes and the rest is fitted again. Of all sets the one
     with the best penalised likelihood stays: ``penalty`` times the logarithm of the number of words a language.
@@ -112,15 +116,16 @@ def mixtures(logs: np.ndarray, sizes: np.ndarray, penalty: float = 4.0, settled:
     """
     docs, langs, logs = len(sizes), logs.shape[1], logs.astype(np.float64)
     starts, of = np.concatenate([[0], np.cumsum(sizes)[:-1]]), np.repeat(np.arange(docs), sizes)
-    top = logs.max(axis=1)
+    times = np.ones(len(logs)) if times is None else times.astype(np.float64)
+    words, top = np.add.reduceat(times, starts), logs.max(axis=1)
     p = np.exp(logs - top[:, None])
     share = np.full((docs, langs), 1.0 / langs)
     best, value = share.copy(), np.full(docs, -np.inf)
     for left in range(langs, 0, -1):
         if left > 1:
-            share = _expect_maximise(p, share, sizes, settled, rounds)
+            share = _expect_maximise(p, times, share, sizes, settled, rounds)
         s = np.maximum((p * share[of]).sum(axis=1), 1e-300)
-        now = np.add.reduceat(np.log(s) + top, starts) - penalty * left * np.log(sizes + 1.0)
+        now = np.add.reduceat(times * (np.log(s) + top), starts) - penalty * left * np.log(words + 1.0)
         better = now >= value
         best[better], value[better] = share[better], now[better]
         if left > 1:
@@ -131,16 +136,19 @@ def mixtures(logs: np.ndarray, sizes: np.ndarray, penalty: float = 4.0, settled:
     return best
 
 
-def learn(docs: DataFrame, per_language: int = 300, held_out: int = 2, most: int = 200) -> CharacterModels:
-    """Models of the ``most`` commonest languages of documents whose crc32(doc_id) mod 4 is not ``held_out``.
+def learn(docs: DataFrame, per_language: int = 300, held_out: int = 2, most: int | None = None, most_rows: int = 60_000) -> CharacterModels:
+    """Models of all languages of documents whose crc32(doc_id) mod 4 is not ``held_out`` (of the ``most`` commonest, if given).
 
-    At most ``2 * per_language`` documents a language come to the driver, whatever the number of documents or labels.
+    The sample has about ``per_language`` documents a language, fewer where there are so many languages that it would
+    have over ``most_rows``; never more than twice that come to the driver.
     """
     known = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & (crc_mod(F.col("doc_id"), 4) != held_out))
-    by_size = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(most)
-    sizes = {r.lang: r["n"] for r in by_size.collect()}  # at most ``most`` rows
+    by_size = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    by_size = by_size if most is None else by_size.orderBy(F.desc("n"), "lang").limit(most)
+    sizes = {r.lang: r["n"] for r in by_size.collect()}  # a row a language
     if not sizes:
         return CharacterModels([])
+    per_language = max(1, min(per_language, most_rows // len(sizes)))
     share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, per_language / n))])
     draw = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1 << 30)) / float(1 << 30)
     rows = known.where(draw < share[F.col("lang")]).select("lang", "text").limit(2 * per_language * len(sizes)).collect()
@@ -148,32 +156,39 @@ def learn(docs: DataFrame, per_language: int = 300, held_out: int = 2, most: int
 
 
 def _scored(models: CharacterModels, rows: list[str | None], cache: RecentCache, most_words: int = 50_000) -> tuple[list[str], list[float], list[str]]:
-    """Prediction, share and set of each text; mixtures are fitted to documents of about ``most_words`` words at once."""
+    """Prediction, share and set of each text; mixtures are fitted to documents of about ``most_words`` words at once.
+
+    Words that a text repeats are one row with a count, so a text takes memory for its distinct words alone.
+    """
     names, n = models.languages, len(models.languages)
     pred, score, sets = [UNDETERMINED] * len(rows), [0.0] * len(rows), [""] * len(rows)
     if not n:
         return pred, score, sets
     held: list[int] = []
     logs: list[np.ndarray] = []
+    times: list[np.ndarray] = []
 
     def fit() -> None:
-        shares = mixtures(np.concatenate(logs), np.array([len(x) for x in logs]))
+        shares = mixtures(np.concatenate(logs), np.array([len(x) for x in logs]), times=np.concatenate(times))
         for i, row in zip(held, shares, strict=True):
             order = np.argsort(-row, kind="stable")
             pred[i], score[i] = names[order[0]], float(min(1.0, row[order[0]]))
             sets[i] = "+".join(names[k] for k in order if row[k] > 0)
         held.clear()
         logs.clear()
+        times.clear()
 
     words = 0
     for i, text in enumerate(rows):
         if text:
-            x = np.frombuffer(b"".join([cache[t] for t in text.split()]), "<f4").reshape(-1, n)
-            x = x[x[:, 0] != 0.0]
-            if len(x):
+            counts = Counter(text.split())
+            x = np.frombuffer(b"".join([cache[t] for t in counts]), "<f4").reshape(-1, n)
+            lettered = x[:, 0] != 0.0
+            if lettered.any():
                 held.append(i)
-                logs.append(x)
-                words += len(x)
+                logs.append(x[lettered])
+                times.append(np.fromiter(counts.values(), np.float64, len(counts))[lettered])
+                words += len(logs[-1])
                 if words >= most_words:
                     fit()
                     words = 0

@@ -138,8 +138,11 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, *, fact
 
 
 def labelled(docs: DataFrame, labels: DataFrame, each: int, held_out: int) -> DataFrame:
-    """(terms, toxic, weight) of a sample: about ``each`` documents of either class, never more than twice that."""
-    known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (crc_mod(F.col("doc_id"), 3) != held_out))
+    """(terms, toxic, weight) of a sample: about ``each`` documents of either class, never more than twice that.
+
+    Labels other than 0 and 1 are no labels; of several of one document the greatest counts.
+    """
+    known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & (crc_mod(F.col("doc_id"), 3) != held_out))
     known = known.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     sizes = {r.toxic: r["n"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
     draw = F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(1 << 30)) / float(1 << 30)
