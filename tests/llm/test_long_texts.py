@@ -78,3 +78,35 @@ def test_packing_is_nearly_without_padding(spark):
     used = [r["sum(length)"] for r in rows]
     padded = sum(4096 for n in used if n & (n - 1)) + sum(n for n in used if not n & (n - 1))
     assert sum(used) >= 0.99 * padded
+
+
+def test_conversations_under_three_limits(spark):
+    r = np.random.default_rng(2)
+    turns = []
+    for c in range(120):
+        for t in range(int(r.integers(1, 6))):
+            turns.append((c if c else None, t, r.choice(["user", "assistant", None]), None if r.random() < 0.05 else "word " * int(r.integers(0, 60))))
+    turns += [(500, 0, "user", "word " * 900), (501, 0, "assistant", "word " * 250)] + [(502, k, "user", "a") for k in range(3)] * 2
+    frame = spark.createDataFrame([(*t, 1, "x") for t in turns], "conv_id long, turn int, role string, text string, n_tokens int, sequence_id string").repartition(3)
+    limits = {"max_tokens": 400, "max_segments": 4, "max_loss": 200}
+    rows = packing.pack_conversations(frame, **limits).collect()
+    bpe = packing.library_bpe(packing.default_tokenizer())
+    want = {}
+    for c, _, role, text in turns:
+        n = len(bpe.encode(text)) // 4 + 1
+        tokens, loss = want.get(c, (0, 0))
+        want[c] = tokens + n, loss + n * (role == "assistant")
+    assert {x.conv_id: (x.n_tokens, x.n_loss) for x in rows} == want and len(rows) == len(want)
+    held = {}
+    for x in rows:
+        fits = x.n_tokens <= 400 and x.n_loss <= 200
+        assert (x.sequence_id is not None) == fits == (x.offset is not None)
+        if fits:
+            held.setdefault(x.sequence_id, []).append(x)
+    for inside in held.values():
+        inside.sort(key=lambda x: x.offset)
+        assert len(inside) <= 4 and sum(x.n_tokens for x in inside) <= 400 and sum(x.n_loss for x in inside) <= 200
+        assert [x.offset for x in inside] == [sum(y.n_tokens for y in inside[:k]) for k in range(len(inside))]
+    least = max(sum(t for t, m in want.values() if t <= 400 and m <= 200) / 400, sum(m for t, m in want.values() if t <= 400 and m <= 200) / 200)
+    assert len(held) <= 1.5 * least + 3  # a sequence a task may stay open
+    assert packing.pack_conversations(frame.limit(0)).count() == 0

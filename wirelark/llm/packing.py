@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts
+from .common import stored, texts
 from .tokens import default_tokenizer, library_bpe
 
 #: The pool is packed when it holds so many examples or tokens.
@@ -175,3 +175,35 @@ def pack_examples(examples: DataFrame, *, key: str, tokens: str, loss: str, max_
 
     count = lambda c: F.coalesce(F.col(c).cast("long"), F.lit(0).cast("long"))
     return examples.select(F.col(key).alias("key"), count(tokens).alias("t"), count(loss).alias("m")).mapInArrow(run, f"key {kind}, sequence_id long, offset long").withColumnRenamed("key", key)
+
+
+def turn_counts(turns: DataFrame, path: str | None = None) -> DataFrame:
+    """(conv_id, n, m) of each turn (conv_id, role, text): its tokens with an end id, and those with loss: the assistant's."""
+    path = path or default_tokenizer()
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = library_bpe(path)
+        for part, rows in texts(batches):
+            n = np.array([len(bpe.encode(t)) // 4 + 1 for t in rows], np.int64)
+            own = np.array([r == "assistant" for r in part.column(1).to_pylist()], bool)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n), pa.array(np.where(own, n, 0))], names=["conv_id", "n", "m"])
+
+    given = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
+    return given.mapInArrow(run, "conv_id long, n long, m long")
+
+
+def pack_conversations(turns: DataFrame, path: str | None = None, *, max_tokens: int = 4096, max_segments: int = 16, max_loss: int = 3072) -> DataFrame:
+    """Packs whole conversations under three limits: conv_id, n_tokens, n_loss, sequence_id, offset.
+
+    A turn is its tokens and an end id; the assistant's bear loss. Turns of a conversation are counted before the shuffle,
+    so a conversation of very many turns is no large group. One over a limit can lie in no sequence: its sequence_id and
+    offset are null. Null texts are empty, null roles bear no loss, null ids are one conversation; an empty table gives
+    no rows.
+    """
+    whole = turn_counts(turns, path).groupBy("conv_id").agg(F.sum("n").alias("n_tokens"), F.sum("m").alias("n_loss"))
+    whole = stored(whole, "conversations")
+    fits = (F.col("n_tokens") <= max_tokens) & (F.col("n_loss") <= max_loss)
+    example = F.struct("conv_id", "n_tokens", "n_loss").alias("example")
+    placed = pack_examples(whole.where(fits).select(example, "n_tokens", "n_loss"), key="example", tokens="n_tokens", loss="n_loss", max_tokens=max_tokens, max_segments=max_segments, max_loss=max_loss)
+    placed = placed.select("example.*", "sequence_id", "offset")
+    return placed.unionByName(whole.where(~fits), allowMissingColumns=True)

@@ -33,6 +33,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def packing_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 5 under its three limits at once, over whole conversations."""
+    return packing.pack_conversations(_table(spark, sf_dir, "conversations"))
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(_table(spark, sf_dir, "documents"), secrets.train(secrets.labelled_samples(spark)))
 
@@ -69,7 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_bpe, op3_simhash, op4_language, op5_packing, op6_secrets, op7_token_files, op8_embeddings,
-        op9_toxicity, op10_licenses, op11_ranked_search, op12_suffix_dedup, op13_whitening,
+        op9_toxicity, op10_licenses, op11_ranked_search, op12_suffix_dedup, op13_whitening, packing_conversations,
     )
 }
 ORACLES: dict[str, str] = {"op1_quality_rules": quality.ORACLE, "op8_embeddings": capfilters.ORACLE, "op11_ranked_search": ranking.ORACLE, "op12_suffix_dedup": suffixes.ORACLE}
