@@ -652,6 +652,14 @@ def x_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(BASE + """SELECT k, '19' || yy || station || k AS number, 'VISIT ' || k || chr(10) || '  OF DELEGATION' AS subject, CAST(NULL AS VARCHAR) AS enclosure, 7 AS n_keys, 'SECSTATE WASHDC ' || k AS to_, 'AMEMBASSY MOSCOW AMEMBASSY BONN' AS info FROM base""")
+def r16_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X3, R4, R10, R16 without a Python worker: attributes and addressees carried on from line to line."""
+    a = F.col("attrs")
+    s = scanned(rendered(spark, sf_dir), "k")
+    return s.select("k", a["Document Number"].alias("number"), a["Subject"].alias("subject"), a["Enclosure"].alias("enclosure"), F.size("attrs").alias("n_keys"), F.col("to").alias("to_"), "info")
+
+
 @query(BASE + "SELECT k, CASE WHEN k % 2 = 0 THEN 0 ELSE 1 END AS classes, 'SECRET SECTION 1 OF 2 ' || station AS section, 'NNNN' AS last FROM base")
 def x13_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of a classification line and a section mark that share empty lines the longer one stays; apart, both do."""

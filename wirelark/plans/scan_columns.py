@@ -2,6 +2,7 @@
 
 The same patterns as ``telegram`` uses, by ``functions.spans``; what needs places in Python is then only the choice among
 candidates (X14, X16, X17 and the rules). A text without exactly one mark of each region has no body and null spans.
+What carries on from line to line (attributes, addressees) is a fold over a text's lines with a small state.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.spans import java, longest, of_name, ranges, spans
-from ..functions.text import merge_ranges, strip_ranges
+from ..functions.text import let, merge_ranges, na_null, strip, strip_ranges
 from . import telegram as T
 from .lines import DESIGNATORS
 
@@ -46,13 +47,91 @@ def scanned(texts: DataFrame, key: str, text: str = "text", markings: tuple[str,
     found = found.withColumn("header", F.when(F.col("raw").isNotNull(), strip_ranges(F.col("raw"), merge_ranges(_cuts()))))
     inside = [of_name(F.col("inside"), name).alias(f"body_{name}") for name in RAW]
     header = [F.when(F.col("header").isNotNull(), spans(F.col("header"), pattern)).alias(f"header_{name}") for name, pattern in HEADER.items()]
-    return found.select(F.col("key").alias(key), "artifacts", "text_head", "attribute_head", "markings", "attribute_keys", "region_start", "region_end", *inside, "valid", "header", *header)
+    covered = F.concat(ranges(F.col("artifacts")), ranges(F.col("text_head")), ranges(F.col("attribute_head")), ranges(F.col("markings")), F.when(one, F.array(F.struct(F.col("region_start").alias("s"), F.col("region_end").alias("e")))).otherwise(F.array().cast("array<struct<s:int,e:int>>")))
+    found = found.withColumn("noise", merge_ranges(covered)).withColumn("attrs", attributes(F.col("whole"), behind, F.col("noise")))
+    found = found.withColumn("routed", routing(F.col("header")))
+    return found.select(F.col("key").alias(key), "attrs", F.col("routed")["to"].alias("to"), F.col("routed")["info"].alias("info"), "artifacts", "text_head", "attribute_head", "markings", "attribute_keys", "region_start", "region_end", *inside, "valid", "header", *header)
 
 
 def _part(text: Column, start: Column, end: Column) -> Column:
     return F.substring(text, start + 1, end - start)
 
 
+_LINES = "array<string>"
+
+
+def _line_fold(text: Column, start: Column, step, begin: Column) -> Column:
+    """``step(state, line, place)`` over the lines of a text from a place on; the state has a field ``at``."""
+    lines = F.split(F.substring(text, start + 1, F.length(text)), "\n", -1)
+    return F.aggregate(lines, begin, step)
+
+
+def attributes(text: Column, start: Column, noise: Column) -> Column:
+    """Map of the attributes from a place on, as ``telegram`` reads them; the last of a name counts.
+
+    The state is the key that is open, its indented lines, the lines below those, and whether more can come. Lines below
+    count for all keys but the last one.
+    """
+    shape = f"struct<at:int,name:string,own:{_LINES},below:{_LINES},phase:int,done:array<struct<name:string,own:{_LINES},below:{_LINES}>>>"
+    across = lambda name: name.isin(*sorted(T.ACROSS_BLANKS))
+    none = F.array().cast(_LINES)
+
+    def closed(s: Column) -> Column:
+        return F.when(s["name"].isNull(), s["done"]).otherwise(F.concat(s["done"], F.array(F.struct(s["name"].alias("name"), s["own"].alias("own"), s["below"].alias("below")))))
+
+    def state(at, name, own, below, phase, done) -> Column:
+        return F.struct(at.alias("at"), name.alias("name"), own.alias("own"), below.alias("below"), phase.cast("int").alias("phase"), done.alias("done")).cast(shape)
+
+    def step(s: Column, line: Column) -> Column:
+        at, end = s["at"], s["at"] + F.length(line)
+        key = F.regexp_extract(line, "^" + T._KEY_LINE.pattern, 1)
+        indented = line.startswith(" ") | line.startswith("\t")
+        blank = strip(line) == ""
+        seen = F.size(s["below"]) > 0
+        skipped = across(s["name"]) & F.exists(noise, lambda r: (r["s"] <= at) & (end <= r["e"]))
+        add = lambda held: F.concat(held, F.array(line))
+        place = end + 1
+        own, below, phase = s["own"], s["below"], s["phase"]
+        more = (
+            F.when(s["name"].isNull() | (phase == 2), state(place, s["name"], own, below, phase, s["done"]))
+            .when((phase == 0) & indented, state(place, s["name"], add(own), below, phase, s["done"]))
+            .when(blank, state(place, s["name"], own, below, F.when(seen & ~across(s["name"]), 2).otherwise(1), s["done"]))
+            .when(skipped, state(place, s["name"], own, below, F.lit(1), s["done"]))
+            .otherwise(state(place, s["name"], own, add(below), F.lit(1), s["done"]))
+        )
+        return F.when(key != "", state(place, key, F.array(line), none, F.lit(0), closed(s))).otherwise(more)
+
+    begin = F.struct(start.cast("int").alias("at"), F.lit(None).cast("string").alias("name"), none.alias("own"), none.alias("below"), F.lit(0).alias("phase"), F.array().cast(f"array<struct<name:string,own:{_LINES},below:{_LINES}>>").alias("done")).cast(shape)
+    # the last key is closed without the lines below it
+    folded = _line_fold(text, start, step, begin)
+    every = let(folded, lambda s: F.when(s["name"].isNull(), s["done"]).otherwise(F.concat(s["done"], F.array(F.struct(s["name"].alias("name"), s["own"].alias("own"), none.alias("below"))))))
+
+    def pairs(all_: Column) -> Column:
+        value = lambda x: na_null(F.substring(F.array_join(F.concat(x["own"], x["below"]), "\n"), F.length(x["name"]) + 2, F.length(text)))
+        final = F.filter(all_, lambda x, i: ~F.exists(F.slice(all_, i + 2, F.size(all_)), lambda y: y["name"] == x["name"]))
+        return F.map_from_entries(F.transform(final, lambda x: F.struct(x["name"].alias("key"), value(x).alias("value"))))
+
+    return let(every, pairs)
+
+
+def routing(header: Column) -> Column:
+    """(to, info) of the lines from the first sender to the first empty line; one without a label carries on."""
+    lines = F.split(F.split(F.regexp_extract(header, r"(?md)^FM\s[\s\S]*", 0), r"\n\s*\n", 2)[0], "\n", -1)
+    shape = f"struct<now:string,to:{_LINES},info:{_LINES}>"
+
+    def step(s: Column, line: Column) -> Column:
+        bare = strip(line)
+        label = F.when(F.upper(bare).startswith("TO "), "to").when(F.upper(bare).startswith("INFO "), "info")
+        now = F.coalesce(label, s["now"])
+        value = F.when(label.isNotNull(), strip(F.substring(bare, F.length(label) + 2, F.length(bare)))).otherwise(bare)
+        held = lambda name: F.when((now == name) & (bare != ""), F.concat(s[name], F.array(value))).otherwise(s[name])
+        return F.struct(now.alias("now"), held("to").alias("to"), held("info").alias("info")).cast(shape)
+
+    begin = F.struct(F.lit(None).cast("string").alias("now"), F.array().cast(_LINES).alias("to"), F.array().cast(_LINES).alias("info")).cast(shape)
+    joined = lambda held: F.when(F.size(held) > 0, F.array_join(held, " "))
+    return let(F.aggregate(lines, begin, step), lambda s: F.struct(joined(s["to"]).alias("to"), joined(s["info"]).alias("info")))
+
+
 def _valid(raw: Column, inside: Column) -> Column:
     """Whether a classification line is next to a page break, before an end mark, or near the end of the body."""
     blank = lambda a, b: F.trim(F.translate(_part(raw, a, b), "\n\r\t\x0b\x0c", "     ")) == ""
