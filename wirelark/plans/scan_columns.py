@@ -84,7 +84,7 @@ def attributes(text: Column, start: Column, noise: Column) -> Column:
 
     def step(s: Column, line: Column) -> Column:
         at, end = s["at"], s["at"] + F.length(line)
-        key = F.regexp_extract(line, "^" + T._KEY_LINE.pattern, 1)
+        key = F.when(line.contains(":"), F.regexp_extract(line, "^" + T._KEY_LINE.pattern, 1)).otherwise("")
         indented = line.startswith(" ") | line.startswith("\t")
         blank = strip(line) == ""
         seen = F.size(s["below"]) > 0
