@@ -7,9 +7,15 @@ the others. Several independent codes even out the luck of one. Vectors that sha
 128 sign bits of random projections, at five standard deviations over the expected difference (a near pair is missed
 there about once in 10^6); the groups of such pairs are then compared exactly, in double precision.
 
+Vectors of one label may lie close together, all at a cosine of 0.8 or 0.95 to one another: filters around the origin then
+exceed for all or none. Such a label is centred first, on a mean estimated from a bounded sample; its pairs at ``cosine``
+are further apart around that centre, so it gets its own code, with as many filters as find such a pair, and its vectors
+go to the filters themselves, since no few bits tell such pairs from others: only pairs that are near make groups there.
+Labels closer than ``TOO_CLOSE`` are left as they are.
+
 Equal vectors (of equal label) are one class with a count, so copies are never expanded into pairs. Filters link the
 classes into candidate groups; every pair of classes inside a group is verified, cell by cell of a grid if the group is
-large. Only a pair of which no chain of filters finds the ends can be lost (``recall`` in tests: over 0.99).
+large. Only a pair of which no chain of filters finds the ends can be lost (over 0.99 are found in tests).
 
 A vector that is null, zero, or holds null or non-finite components, or has a null label, links with nothing: n_links
 0, its own component. Vectors of different lengths never link. Rows that repeat a vec_id count as vectors of their own. An
@@ -36,11 +42,32 @@ SIGNS = 128
 SPREAD = (24, 128)
 
 
+#: A label is centred if its vectors share from so much to so much of their squared length, and it has so many of them.
+CENTRED, TOO_CLOSE, FEWEST = 0.3, 0.97, 64
+#: Vectors of a label that its centre is estimated from, about.
+CENTRE_SAMPLE = 2048
+
+
+def both_exceed(threshold: float, cosine: float) -> float:
+    """The probability that a vector exceeds a filter's threshold if one at ``cosine`` to it does."""
+    z = np.linspace(threshold, threshold + 9, 2001)
+    density = np.exp(-0.5 * z * z)
+    rest = np.array([0.5 * math.erfc((threshold - cosine * x) / math.sqrt(2 * (1 - cosine * cosine))) for x in z])
+    return float((density * rest).sum() / density.sum())
+
+
 class ProductCode:
-    """``tables`` random product codes for vectors of length ``d``; about ``filters`` directions exceed for a vector."""
+    """``tables`` random product codes for vectors of length ``d``; about ``filters`` directions exceed for a vector.
+
+    ``near``: the cosine at which pairs of centred vectors have to be found. There are then as many filters as make it all
+    but certain that such a pair shares one.
+    """
 
-    def __init__(self, d: int, expected: int, filters: int = 14, bucket: int = 24, tables: int = 7, seed: int = 7):
+    def __init__(self, d: int, expected: int, filters: int = 14, bucket: int = 24, tables: int = 7, seed: int = 7, near: float | None = None):
         share = min(0.05, bucket / max(1, expected))  # of the vectors in one cap
+        if near is not None:
+            filters = max(filters, math.ceil(14 / both_exceed(NormalDist().inv_cdf(1 - share), near)))
+            tables = max(tables, math.ceil(filters / 2))
         self.code = max(2, math.ceil(math.sqrt(filters / tables / share))) if d > 1 else 1
         self.threshold = NormalDist().inv_cdf(1 - filters / tables / self.code**2) if d > 1 else 0.0
         rng = np.random.default_rng([seed, d])
@@ -50,7 +77,7 @@ class ProductCode:
         self.tables = [(rng.standard_normal((self.half, self.code)), rng.standard_normal((d - self.half, self.code)) if d > 1 else np.zeros((0, 1))) for _ in range(tables)]
 
     def signs(self, x: np.ndarray) -> np.ndarray:
-        """Sign bits of random projections, as two signed longs a row."""
+        """Sign bits of random projections, as signed longs."""
         return np.packbits(x @ self.planes > 0, axis=1).view(np.int64)
 
     def decode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -104,42 +131,87 @@ def classes_of(vectors: DataFrame) -> DataFrame:
     return named.withColumn("node", F.xxhash64("label", "vec"))
 
 
+def centres(classes: DataFrame) -> DataFrame:
+    """(label, d, n, centre) of the labels, by length of their vectors, that are centred; a bounded sample of each."""
+    length = F.size("vec").alias("d")
+    sizes = classes.groupBy("label", length).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= FEWEST)
+    draw = F.pmod(F.xxhash64("node", F.lit("centre")), F.lit(1 << 30)) / float(1 << 30)
+    norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))
+    unit = let(norm, lambda n: F.transform("vec", lambda x: x / n))
+    some = classes.select("label", length, draw.alias("draw"), unit.alias("unit")).join(sizes, ["label", "d"]).where(F.col("draw") < CENTRE_SAMPLE / F.col("n"))
+    means = some.select("label", "d", "n", F.posexplode("unit").alias("k", "x")).groupBy("label", "d", "n", "k").agg(F.avg("x").alias("x"))
+    whole = means.groupBy("label", "d", "n").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "x"))), lambda c: c["x"]).alias("centre"))
+    return whole.where(F.aggregate("centre", F.lit(0.0), lambda a, x: a + x * x).between(CENTRED, TOO_CLOSE))
+
+
 def cap_links(classes: DataFrame, expected: int, cosine: float, hot: int = 2048, **code) -> DataFrame:
-    """Links (a, b) of classes that share a filter and may be ``cosine`` near: a spanning forest of each bucket."""
-    codes: dict[int, ProductCode] = {}
+    """Links (a, b) of classes that share a filter and may be ``cosine`` near: a spanning forest of each bucket.
+
+    ``classes``: node, label, vec, and the label's centre (null: none) and n.
+    """
+    codes: dict[tuple, ProductCode] = {}
     share = math.acos(min(1.0, max(-1.0, cosine))) / math.pi  # of sign bits that differ at this cosine
     most = math.ceil(SIGNS * share + 5 * math.sqrt(SIGNS * share * (1 - share)))
 
+    def code_of(d: int, centre: np.ndarray | None, n: int) -> ProductCode:
+        if centre is None:
+            key, size, near = (d,), expected, cosine
+        else:
+            near = math.floor(50 * (1 - (1 - cosine) / max(1e-9, 1 - float(centre @ centre)))) / 50
+            near, size = min(cosine, max(0.3, near)), 1 << max(0, n - 1).bit_length()
+            key = (d, size, near)
+        if key not in codes:
+            codes[key] = ProductCode(d, size, near=near, **code)
+        return codes[key]
+
     def spread(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 1024):
                 batch = whole.slice(at, 1024)
                 node, label, unit = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False), _unit(batch.column(2))
-                length = np.array([len(u) for u in unit])
-                for d in np.unique(length).tolist():
-                    if d not in codes:
-                        codes[d] = ProductCode(d, expected, **code)
-                    own = np.flatnonzero(length == d)
+                length, centred = np.array([len(u) for u in unit]), batch.column(3).is_valid().to_numpy(zero_copy_only=False)
+                own_label = np.where(centred, label, 0)  # labels without a centre share a code
+                for d, name, held in sorted(set(zip(length.tolist(), own_label.tolist(), centred.tolist(), strict=True))):
+                    own = np.flatnonzero((length == d) & (own_label == name) & (centred == held))
                     x = np.array([unit[i] for i in own])
-                    row, found = codes[d].decode(x)
-                    signs, r = codes[d].signs(x)[row], own[row]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c) for c in (_key(label[r], np.full(len(r), d), found), node[r], signs[:, 0].copy(), signs[:, 1].copy())],
-                        names=["key", "node", "s0", "s1"],
-                    )
+                    centre = np.array(batch.column(3)[int(own[0])].as_py()) if held else None
+                    own_code = code_of(d, centre, batch.column(4)[int(own[0])].as_py() if held else 0)
+                    if held:
+                        apart = x - centre
+                        row, found = own_code.decode(apart / np.maximum(np.linalg.norm(apart, axis=1), 1e-12)[:, None])
+                        sent = x.astype("<f4")
+                    else:
+                        row, found = own_code.decode(x)
+                        sent = own_code.signs(x)
+                    for some in range(0, len(row), 100_000):
+                        k, f = row[some : some + 100_000], found[some : some + 100_000]
+                        r, told = own[k], np.ascontiguousarray(sent[k])
+                        ends = (np.arange(len(r) + 1) * told[:1].nbytes).astype(np.int32)
+                        blob = pa.Array.from_buffers(pa.binary(), len(r), [None, pa.py_buffer(ends), pa.py_buffer(told)])
+                        yield pa.RecordBatch.from_arrays([pa.array(_key(label[r], np.full(len(r), d), f)), pa.array(node[r]), blob, pa.array(np.full(len(r), held))], names=["key", "node", "told", "whole"])
+
+    def near_in(told: np.ndarray, whole: bool, some: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Which of some rows may be near which others: by their vectors, or by sign bits."""
+        if whole:
+            x = told.view("<f4")
+            return x[some] @ x[j].T >= cosine - 1e-5
+        signs = told.view(np.uint64)
+        apart = np.zeros((len(some), len(j)), np.int16)
+        for w in range(signs.shape[1]):
+            apart += np.bitwise_count(signs[some, w][:, None] ^ signs[j, w])
+        return apart <= most
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in cells(batches, "key", 50_000):
             starts, node, chunk = starts_of(table, "key"), table.column("node").to_numpy(), table.column("chunk").to_numpy()
-            signs, found = [table.column(c).to_numpy().view(np.uint64) for c in ("s0", "s1")], []
+            whole, blobs, found = table.column("whole").to_numpy(), table.column("told").combine_chunks(), []
             for s, e in zip(starts[:-1], starts[1:]):
-                s0, s1 = (x[s:e] for x in signs)
+                told = np.frombuffer(b"".join(blobs[s:e].to_pylist()), np.uint8).reshape(e - s, -1)
                 forest = Forest(e - s)
                 for i, j in sides(chunk[s:e]):
                     for at in range(0, len(i), 512):
                         some = i[at : at + 512]
-                        apart = np.bitwise_count(s0[some][:, None] ^ s0[j]) + np.bitwise_count(s1[some][:, None] ^ s1[j])
-                        u, v = np.nonzero(apart <= most)
+                        u, v = np.nonzero(near_in(told, bool(whole[s]), some, j))
                         forest.link(some[u], j[v])
                 roots = forest.roots()
                 moved = np.flatnonzero(roots != np.arange(e - s))
@@ -148,8 +220,8 @@ def cap_links(classes: DataFrame, expected: int, cosine: float, hot: int = 2048,
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    rows = classes.select("node", F.xxhash64("label").alias("label"), "vec").mapInArrow(spread, "key long, node long, s0 long, s1 long")
-    return grid(rows, "key", "node", hot, SPREAD).select("key", "cell_i", "cell_j", "chunk", "node", "s0", "s1").mapInArrow(search, "a long, b long").distinct()
+    rows = classes.select("node", F.xxhash64("label").alias("label"), "vec", "centre", "n").mapInArrow(spread, "key long, node long, told binary, whole boolean")
+    return grid(rows, "key", "node", hot, SPREAD).select("key", "cell_i", "cell_j", "chunk", "node", "told", "whole").mapInArrow(search, "a long, b long").distinct()
 
 
 def sides(chunk: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -200,12 +272,20 @@ def verified(members: DataFrame, cosine: float, hot: int = 2048) -> DataFrame:
     return dealt.select("key", "cell_i", "cell_j", "chunk", "node", "copies", "vec").mapInArrow(compare, "node long, other long, links long")
 
 
+def _centred(classes: DataFrame) -> DataFrame:
+    """Classes with the centre of their label, if it has one."""
+    found = stored(centres(classes), "vector-centres")
+    if found.isEmpty():
+        return classes.withColumns({"centre": F.lit(None).cast("array<double>"), "n": F.lit(None).cast("long")})
+    return classes.withColumn("d", F.size("vec")).join(found, ["label", "d"], "left").drop("d")
+
+
 def near_duplicates(vectors: DataFrame, cosine: float = 0.98, **code) -> DataFrame:
     """Per row of ``vectors``: vec_id, n_links, component_id (smallest vec_id reachable), kept."""
     named = stored(classes_of(vectors).select("vec_id", "node", "label", "vec"), "vectors")
     classes = stored(named.groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("first"), F.any_value("label").alias("label"), F.any_value("vec").alias("vec")), "vector-classes")
     expected = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
-    groups = components(cap_links(classes, expected, cosine, **code), "vector-groups")
+    groups = components(cap_links(_centred(classes), expected, cosine, **code), "vector-groups")
     pairs = stored(verified(groups.join(classes.select("node", "copies", "vec"), "node"), cosine), "vector-pairs")
     labels = components(pairs.where("node <> other").select(F.col("node").alias("a"), F.col("other").alias("b")), "vectors")
     counts = pairs.groupBy("node").agg(F.sum("links").alias("links"))
