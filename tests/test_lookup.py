@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from wirelark.functions.citations import DATE_SENDERS, STOP_STATIONS, Stations
+from wirelark.functions.citations import DATE_SENDERS, STOP_STATIONS, Stations, clean
 from wirelark.functions.lookup import Lookup
 
 LIST = {"STATE": [], "MOSCOW": ["MOSCOW EMB"], "JAKART": [], "JAKARTA": [], "ABU DHABI": ["ABUDH"], "USUN 2": [], "FSI12": ["FSI"], "SECSTATE": [], "BONN": ["BONN-A"], "X-A": ["DATED"], "4TH FLEET": []}
@@ -57,3 +57,9 @@ def test_a_lookup_finds_its_keys_alone(spark):
     with pytest.raises(ValueError, match="too many"):
         Lookup({str(i): "x" for i in range(70_000)})
     assert spark.range(1).select(Lookup({})[F.lit("a")].alias("v")).first().v is None
+
+
+def test_any_century_in_front_of_a_year_goes(spark):
+    raw = ["1975 PARIS 5", "1975PARIS 5", "2075PARIS5", "REF A. 1876STATE 12", "12345PARIS 6", "75PARIS 1975A"]
+    got = spark.createDataFrame([(r,) for r in raw], "r string").select(clean(F.col("r")).alias("c")).collect()
+    assert [x.c for x in got] == ["1975 PARIS 5", "75PARIS 5", "75PARIS5", "REF A. 76STATE 12", "12345PARIS 6", "75PARIS 75A"]
