@@ -398,7 +398,8 @@ def digests(docs: DataFrame, **how) -> DataFrame:
 
 ORACLE = """
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, 9223372036854775807) AS k, hex(encode(coalesce(text, ''))) AS h FROM documents),
-p AS MATERIALIZED (SELECT r, k, i, substr(h, 2 * i - 1, 100) AS w FROM (SELECT r, k, h, unnest(range(1, greatest(length(h) // 2 - 48, 1))) AS i FROM d)),
+c AS (SELECT r, k, b, substr(h, b + 1, 4098) AS g FROM (SELECT r, k, h, unnest(range(0, greatest(length(h) - 98, 1), 4000)) AS b FROM d)),
+p AS MATERIALIZED (SELECT r, k, b // 2 + i AS i, substr(g, 2 * i - 1, 100) AS w FROM (SELECT r, k, b, g, unnest(range(1, least(2000, (length(g) - 98) // 2) + 1)) AS i FROM c)),
 f AS (SELECT w, min(k) AS m FROM p GROUP BY w),
 hit AS (SELECT r, i FROM p JOIN f USING (w) WHERE m < k),
 s AS (SELECT r, i, sum(CASE WHEN i <= was + 50 THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY i) AS g FROM (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS was FROM hit)),
