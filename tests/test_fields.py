@@ -8,6 +8,7 @@ import time
 from wirelark.plans import lines
 from wirelark.plans import telegram as T
 from wirelark.plans.extract import extracted
+from wirelark.plans.queries import p3_report
 from wirelark.plans.rules import Rule
 
 TEXT = "\n".join([
@@ -66,3 +67,8 @@ def test_many_marks_of_an_artifact_before_a_word_take_no_time():
     began = time.time()
     assert T._artifacts("¿" * 26 + "x") == []
     assert time.time() - began < 1
+
+
+def test_the_report_on_dates_reads_stored_records(spark):
+    plan = p3_report(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    assert "cells-" in plan and "MapInArrow" not in plan

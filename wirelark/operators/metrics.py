@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import FIRST_YEAR, LAST_YEAR
 from ..functions.text import is_na, strip
+from ..shared import stored
 from .ranges import before, ranged
 
 # Attributes and the body fields that repeat them, and a locator that says the text is there.
@@ -78,9 +79,15 @@ def field_counts(rows: DataFrame, fields: dict[str, Column]) -> DataFrame:
 
 
 def parse_rates(rows: DataFrame, fields: dict[str, tuple[Column, Column]], order: str, n: int = 10) -> DataFrame:
-    """A4: of each field (raw, parsed): documents with a raw value, parsed ones, their rate, and the first n failures."""
-    cells = F.array(*[F.struct(F.lit(k).alias("field"), F.when(strip(raw) != "", raw).alias("raw"), parsed.isNotNull().alias("ok")) for k, (raw, parsed) in fields.items()])
-    flat = rows.select(F.col(order).alias("_o"), F.explode(cells).alias("c")).select("_o", "c.*")
+    """A4: of each field (raw, parsed): documents with a raw value, parsed ones, their rate, and the first n failures.
+
+    Values and whether they parse are stored: counts and failures both read them, and ``rows`` are made once.
+    """
+    cell = lambda raw, parsed: [F.when(strip(raw) != "", raw), parsed.isNotNull()]
+    wide = rows.select(F.col(order).alias("_o"), *[c.alias(f"{kind}_{i}") for i, f in enumerate(fields.values()) for kind, c in zip(("raw", "ok"), cell(*f), strict=True)])
+    wide = stored(wide, "cells")
+    cells = F.array(*[F.struct(F.lit(k).alias("field"), F.col(f"raw_{i}").alias("raw"), F.col(f"ok_{i}").alias("ok")) for i, k in enumerate(fields)])
+    flat = wide.select("_o", F.explode(cells).alias("c")).select("_o", "c.*")
     sums = flat.groupBy("field").agg(F.count("raw").alias("present"), F.count_if(F.col("raw").isNotNull() & F.col("ok")).alias("parsed"))
     failed = first_n(flat.where("raw IS NOT NULL AND NOT ok"), ["field"], ["_o"], n).groupBy("field").agg(F.sort_array(F.collect_list(F.struct("_o", "raw"))).alias("f"))
     return sums.join(failed, "field", "left").select("field", "present", "parsed", rate(F.col("parsed"), F.col("present")).alias("parse_rate"), F.coalesce(F.transform("f", lambda x: x["raw"]), F.array().cast("array<string>")).alias("failures"))
