@@ -1,11 +1,13 @@
 """Places, percentiles and reports without a task that holds all rows; the estimate job's last rows."""
 
+import datetime
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from wirelark.operators import metrics
+from wirelark.operators.estimate import refined
 from wirelark.operators.ranges import numbered
 from wirelark.plans import jobs
 
@@ -84,3 +86,26 @@ def test_the_estimate_job_takes_the_last_row_of_a_number(spark, tmp_path):
     (tmp_path / "stations.csv").write_text("BONN\n")
     got = jobs.estimate_missing(spark, at("cited"), at("records"), at("stations.csv"), at("out")).first()
     assert (got.mrn, got.estimated_date, got.estimate_type, got.accuracy_days) == ("75BONN15", "1975-01-14", "interpolated_refined", 4)
+
+
+def test_counters_of_brackets_are_found_without_pairs(spark):
+    """J9 against brute force: brackets of one day to years, aims outside them, ranges of three counters."""
+    rnd = random.Random(9)
+    day = lambda n: str(datetime.date(1973, 12, 20) + datetime.timedelta(n))
+    counters = [(day(rnd.randrange(900)), rnd.randrange(300)) for _ in range(600)]
+    brackets = []
+    for i in range(300):
+        first, low = rnd.randrange(900), rnd.randrange(300)
+        last, high = first + rnd.choice([0, 1, 5, 31, 64, 700]), low + rnd.choice([1, 3, 40, 200])
+        brackets.append((f"B{i}", day(first), day(last), low, high, rnd.choice([low + rnd.random() * (high - low), low - 2.5, high + 2.5, float(high), float(low)])))
+    want = {}
+    for mrn, p, n, a, b, aim in brackets:
+        inside = [(c, d) for d, c in counters if p <= d <= n and a <= c <= b]
+        low, high = max((x for x in inside if x[0] < aim), default=None), min((x for x in inside if x[0] >= aim), default=None)
+        if low and high:
+            want[mrn] = low, high
+    frame = spark.createDataFrame(brackets, "mrn string, p_date string, n_date string, p_counter long, n_counter long, aim double")
+    got = refined(frame, spark.createDataFrame(counters, "date string, counter long"), width=3)
+    assert {r.mrn: (tuple(r.low), tuple(r.high)) for r in got.collect()} == want
+    joined = [x for x in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in x]
+    assert joined and not any("p_counter" in x or "p_date" in x for x in joined)

@@ -2,13 +2,11 @@
 
 A numbering (station, year, airgram) is cut in ranges of numbers; one window over a range's documents and targets finds
 both neighbours there, and a second one over the ranges' ends carries them past borders, so no task holds a numbering.
-A range join, bucketed by month and by blocks of counters as wide as the bracket, finds the nearest counters.
+The nearest counters of a bracket are found in the same way, in blocks of days that make up the bracket's.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -35,23 +33,30 @@ def neighbours(targets: DataFrame, documents: DataFrame, width: int = 4096) -> D
     ``width``: numbers in a range. A range's task holds as many documents, and the targets among them.
     """
     shape = F.struct("document_number", "document_number_raw", "sequence", "date")
-    part = F.floor(F.col("sequence") / width).alias("_part")
-    docs = documents.select(*GROUP, "sequence", part, F.lit(None).cast("string").alias("mrn"), shape.alias("doc"))
-    kind = docs.schema["doc"].dataType
-    asked = targets.select(*GROUP, "sequence", part, "mrn", F.lit(None).cast(kind).alias("doc"))
-    both, ranges = docs.unionByName(asked), [*GROUP, "_part"]
+    return nearest(targets.select(*GROUP, "sequence", "mrn"), documents.select(*GROUP, "sequence", shape.alias("doc")), GROUP, "sequence", width)
+
+
+def nearest(asked: DataFrame, documents: DataFrame, group: list[str], place: str, width: int = 4096) -> DataFrame:
+    """Rows of ``asked`` (group, place, others that are not all null) with ``prev`` and ``next``, the ``doc`` of their group
+    at the greatest smaller place and at the least one not smaller.
+    """
+    part, kind = F.floor(F.col(place) / width).alias("_part"), documents.schema["doc"].dataType
+    own = [c for c in asked.columns if c not in (*group, place)]
+    docs = documents.select(*group, place, part, *[F.lit(None).cast(asked.schema[c].dataType).alias(c) for c in own], "doc", F.lit(False).alias("_asked"))
+    both = docs.unionByName(asked.select("*", part, F.lit(None).cast(kind).alias("doc"), F.lit(True).alias("_asked")))
+    ranges = [*group, "_part"]
     # the ends of each range, and of the nearest ranges on either side that have documents
-    ends = both.groupBy(*ranges).agg(F.max_by("doc", F.when(F.col("doc").isNotNull(), F.col("sequence"))).alias("_high"), F.min_by("doc", F.when(F.col("doc").isNotNull(), F.col("sequence"))).alias("_low"))
-    parts = W.partitionBy(*GROUP)
+    ends = both.groupBy(*ranges).agg(F.max_by("doc", F.when(F.col("doc").isNotNull(), F.col(place))).alias("_high"), F.min_by("doc", F.when(F.col("doc").isNotNull(), F.col(place))).alias("_low"))
+    parts = W.partitionBy(*group)
     ends = ends.withColumns({
         "_before": F.last("_high", ignorenulls=True).over(parts.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)),
         "_behind": F.last("_low", ignorenulls=True).over(parts.orderBy(F.desc("_part")).rowsBetween(W.unboundedPreceding, -1)),
     }).select(*ranges, "_before", "_behind")
-    below = W.partitionBy(*ranges).orderBy("sequence").rangeBetween(W.unboundedPreceding, -1)
+    below = W.partitionBy(*ranges).orderBy(place).rangeBetween(W.unboundedPreceding, -1)
     # from the top down: a frame that grows is kept up to date, one that shrinks is computed anew for each row
-    above = W.partitionBy(*ranges).orderBy(F.desc("sequence")).rangeBetween(W.unboundedPreceding, W.currentRow)
+    above = W.partitionBy(*ranges).orderBy(F.desc(place)).rangeBetween(W.unboundedPreceding, W.currentRow)
     found = both.withColumns({"prev": F.last("doc", ignorenulls=True).over(below), "next": F.last("doc", ignorenulls=True).over(above)})
-    found = found.where("mrn IS NOT NULL").drop("doc").join(ends, ranges)
+    found = found.where("_asked").drop("doc", "_asked").join(ends, ranges)
     return found.withColumns({"prev": F.coalesce("prev", "_before"), "next": F.coalesce("next", "_behind")}).drop("_part", "_before", "_behind")
 
 
@@ -64,28 +69,42 @@ def _between(a: Column, b: Column, fraction: Column) -> Column:
     return F.date_format(F.date_add(F.to_date(a), F.bround(_days(a, b) * fraction).cast("int")), "yyyy-MM-dd")
 
 
-def refined(brackets: DataFrame, counters: DataFrame, narrowest: int = 16) -> DataFrame:
+def _binary_blocks(first: Column, last: Column, levels: int) -> Column:
+    """(level, block) of the fewest blocks of days, 2 ** level each, that make up the days from ``first`` to ``last``."""
+    blocks = []
+    for level in range(levels):
+        low, high = F.shiftright(first + ((1 << level) - 1), level), F.shiftright(last + 1, level)
+        odd = F.pmod(low, F.lit(2))
+        one = lambda block, level=level: F.struct(F.lit(level).alias("level"), block.alias("block"))
+        blocks += [F.when((odd == 1) & (low < high), one(low)), F.when((F.pmod(high, F.lit(2)) == 1) & (low + odd < high), one(high - 1))]
+    return F.filter(F.array(*blocks), lambda x: x.isNotNull())
+
+
+def refined(brackets: DataFrame, counters: DataFrame, width: int = 4096) -> DataFrame:
     """For brackets (mrn, p_date, n_date, p_counter, n_counter, aim) the nearest counters on either side of ``aim``.
 
     ``counters`` (date, counter): dated documents. Both lie in the bracket's dates and counters. Adds ``low`` and
-    ``high`` (counter, date); a bracket without both gives no row. Buckets are a month and a block of counters; a block
-    is the power of two that holds the bracket's width, so a bracket meets two blocks a month, and a document stands once
-    for each width that some bracket has (about twenty at most).
+    ``high`` (counter, date); a bracket without both gives no row. A bracket's days are cut in blocks of powers of two, two
+    a level at most, and a document stands in one block a level; in a block the nearest counters are the neighbours of the
+    aim, so work grows with brackets and documents and not with the pairs of them. Of documents with one counter in a block
+    the first and the last date are kept. ``width``: counters in a range of a block.
     """
-    month = lambda c: F.trunc(F.to_date(c), "month")
-    block = lambda c, level: F.floor(c / F.pow(F.lit(2.0), level)).cast("long")
-    usable = brackets.where("p_counter IS NOT NULL AND n_counter > p_counter AND p_date <= n_date")
-    level = F.greatest(F.lit(math.ceil(math.log2(narrowest))), F.ceil(F.log2(F.col("n_counter") - F.col("p_counter") + F.lit(1.0)))).cast("int")
-    usable = usable.withColumn("_level", level)
-    levels = [r[0] for r in usable.select("_level").distinct().collect()]  # one row a width, some twenty at most
-    spread = usable.withColumn("_m", F.explode(F.sequence(month(F.col("p_date")), month(F.col("n_date")), F.expr("interval 1 month"))))
-    spread = spread.withColumn("_block", F.explode(F.sequence(block(F.col("p_counter"), F.col("_level")), block(F.col("n_counter"), F.col("_level")))))
-    dated = counters.select("date", "counter", month(F.col("date")).alias("_m"), F.explode(F.lit(levels or [0])).alias("_level"))
-    dated = dated.withColumn("_block", block(F.col("counter"), F.col("_level")))
-    inside = spread.join(dated, ["_level", "_m", "_block"]).where("date BETWEEN p_date AND n_date AND counter BETWEEN p_counter AND n_counter")
-    pair = F.struct(F.col("counter"), F.col("date"))
-    near = inside.groupBy("mrn").agg(
-        F.max(F.when(F.col("counter") < F.col("aim"), pair)).alias("low"), F.min(F.when(F.col("counter") >= F.col("aim"), pair)).alias("high")
+    day = lambda c: F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date"))
+    usable = brackets.where("p_counter IS NOT NULL AND n_counter > p_counter AND p_date <= n_date AND aim IS NOT NULL")
+    usable = usable.withColumns({"_first": day(F.col("p_date")), "_last": day(F.col("n_date"))})
+    longest = usable.agg(F.max(F.col("_last") - F.col("_first"))).first()[0] or 0  # one number
+    levels = (longest + 1).bit_length()
+    place = F.least(F.greatest(F.ceil("aim"), F.col("p_counter")), F.col("n_counter") + 1).cast("long").alias("_place")
+    asked = usable.select("mrn", "p_counter", "n_counter", place, F.explode(_binary_blocks(F.col("_first"), F.col("_last"), levels)).alias("b"))
+    asked = asked.select(F.col("b")["level"].alias("_level"), F.col("b")["block"].alias("_block"), "_place", "mrn", "p_counter", "n_counter")
+    dated = counters.where("date IS NOT NULL AND counter IS NOT NULL").select("date", "counter", F.posexplode(F.array(*[F.shiftright(day(F.col("date")), n) for n in range(levels)])).alias("_level", "_block"))
+    dated = dated.groupBy("_level", "_block", "counter").agg(F.min("date").alias("first"), F.max("date").alias("last"))
+    dated = dated.select("_level", "_block", F.col("counter").cast("long").alias("_place"), F.struct("counter", "first", "last").alias("doc"))
+    found = nearest(asked, dated, ["_level", "_block"], "_place", width)
+    pair = lambda side, date: F.struct(F.col(side)["counter"].alias("counter"), F.col(side)[date].alias("date"))
+    near = found.groupBy("mrn").agg(
+        F.max(F.when(F.col("prev")["counter"] >= F.col("p_counter"), pair("prev", "last"))).alias("low"),
+        F.min(F.when(F.col("next")["counter"] <= F.col("n_counter"), pair("next", "first"))).alias("high"),
     )
     return near.where("low IS NOT NULL AND high IS NOT NULL")
 
