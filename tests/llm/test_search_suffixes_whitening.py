@@ -129,6 +129,20 @@ def test_strings_that_repeat_agree_with_brute_force(spark, hot):
     assert sum(r[2] for r in got) > 1000
 
 
+def test_contexts_of_usual_anchors_are_shuffled_once(spark):
+    texts = suffixes._texts(spark.createDataFrame(edited(3), "doc_id long, text string")).where("octet_length(raw) >= 50")
+    some = suffixes.stored(suffixes.contexts(texts, suffixes.repeated_anchors(texts, 50, 20), 50, 20), "contexts")
+    whole, cut = (suffixes.judged_rows(some, 50, cell) for cell in (1 << 20, 1))
+    assert whole._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert sorted(cut.collect()) == sorted(whole.collect()) == sorted(suffixes._settled(some, 50, 10).collect()) != []
+
+
+def test_few_and_many_contexts_an_anchor_agree_with_brute_force(spark):
+    rows = edited(4)
+    got = collected(suffixes.digests(odd(rows, spark).repartition(3), hot=25, shares=2))
+    assert sorted(map(tuple, got), key=str) == brute_strings(rows)
+
+
 def test_other_lengths_and_one_partition(spark):
     rows = edited(2)[:40]
     got = collected(suffixes.digests(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), length=24, gram=8))

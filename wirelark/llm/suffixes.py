@@ -6,15 +6,16 @@ suffixes of a corpus would move a row for each byte several times, so what canno
 1. *Anchors.* The anchor of a string of ``length`` bytes is the least hash of its ``GRAM``-byte grams, so equal strings
    have equal anchors. Neighbouring strings mostly share theirs: one in sixteen has a new one. Strings whose anchor stands
    in one document alone are dropped.
-2. *Contexts.* Neighbouring strings with one anchor are a run of bytes, their context. Equal contexts of an anchor are one
-   class with its smallest doc_id (combined before the shuffle): copies are all removed but for that document's.
-3. *Suffix sorting.* The classes of an anchor go to one task, which sorts the suffixes of many anchors' contexts together
-   by the difference-cover algorithm: triples at two of three places are sorted and named, names are sorted by recursion
-   until they span ``length`` bytes, the remaining suffixes are merged in, and the prefixes of neighbours are compared.
-   Neighbours with equal prefixes of ``length`` bytes are one string; its smallest doc_id decides for every class.
+2. *Contexts.* Neighbouring strings with one anchor are a run of bytes, their context. Equal contexts (their anchors are
+   equal, too) are one class with its smallest doc_id: copies are all removed but for that document's.
+3. *Suffix sorting.* The contexts of an anchor go to one task, once, which sorts the suffixes of many anchors' classes
+   together by the difference-cover algorithm: triples at two of three places are sorted and named, names are sorted by
+   recursion until they span ``length`` bytes, the remaining suffixes are merged in, and the prefixes of neighbours are
+   compared. Neighbours with equal prefixes of ``length`` bytes are one string; its smallest doc_id decides for every class.
 
-An anchor with more than ``hot`` classes (the edge of a passage that very many documents share) is cut into its single
-strings, which are grouped by themselves: combined before the shuffle, so no task holds them all.
+An anchor with more than ``hot`` contexts (a passage that very many documents share) has its equal contexts combined before
+the shuffle; with more than ``hot`` classes even then (the edge of such a passage) it is cut into its single strings, which
+are grouped by themselves, combined before the shuffle too. So no task holds them all.
 
 Texts are UTF-8 bytes; null is the empty text; texts shorter than ``length`` lose nothing. Rows that repeat a doc_id are
 one document: they do not remove from one another. Null ids count as one document after all others. Equal rows get equal
@@ -24,7 +25,7 @@ rows. A text of any length takes memory for itself alone. An empty table gives n
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -36,8 +37,8 @@ from ..shared import tidy
 from .common import stored
 
 LENGTH, GRAM = 50, 20
-#: Classes of an anchor that one task sorts together, and bytes of contexts sorted at once.
-HOT, CELL = 10_000, 1 << 20
+#: Contexts or classes of an anchor that one task sorts together, and bytes of classes, or of contexts, sorted at once.
+HOT, CELL, WIDE_CELL = 10_000, 1 << 20, 4 << 20
 #: Shares of the anchors that are settled one after another.
 SHARES = 4
 #: Texts hashed at once, in bytes: what the passes over them hold stays in a core's cache.
@@ -235,13 +236,15 @@ def suffix_ranks(s: np.ndarray, spans: int, depth: int) -> np.ndarray:
     # the remaining suffixes are ordered by one symbol, or by two, and a sampled suffix
     by_one = lambda i: s[i] << 21 | rank[i + 1]
     by_two = lambda i: s[i] << 42 | s[i + 1] << 21 | rank[i + 2]
-    zero_one, one_one, zero_two, two_two = by_one(zero), by_one(one), by_two(zero), by_two(two)
-    sorted_zero, sorted_sampled = np.sort(zero_one), np.sort(names)
+    orders, keys = zip(*((order, key[order]) for key in (by_one(zero), by_one(one), by_two(zero), by_two(two)) for order in [np.argsort(key)]), strict=True)
+    zero_one, one_one, zero_two, two_two = keys  # what is looked up in order is found without jumping about
+    size = np.bincount(names)
     out = np.empty(n, np.int64)
-    out[zero] = np.searchsorted(sorted_zero, zero_one) + np.searchsorted(np.sort(one_one), zero_one) + np.searchsorted(np.sort(two_two), zero_two)
-    out[sampled] = np.searchsorted(sorted_sampled, names)
-    out[one] += np.searchsorted(sorted_zero, one_one)
-    out[two] += np.searchsorted(np.sort(zero_two), two_two)
+    out[sampled] = (np.cumsum(size) - size)[names]
+    out[zero[orders[0]]] = np.searchsorted(zero_one, zero_one) + np.searchsorted(one_one, zero_one)
+    out[one[orders[1]]] += np.searchsorted(zero_one, one_one)
+    out[zero[orders[2]]] += np.searchsorted(two_two, zero_two)
+    out[two[orders[3]]] += np.searchsorted(zero_two, two_two)
     return out
 
 
@@ -280,36 +283,70 @@ def _eight(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.lib.stride_tricks.sliding_window_view(data, 8)[at].copy().view(np.uint64)[:, 0]
 
 
-def judged(classes: DataFrame, length: int, cell: int = CELL) -> DataFrame:
-    """(anchor, key, first, bits) of classes (anchor, context, first): the strings that a smaller document has too."""
+def _by_anchor(batches: Iterable[pa.RecordBatch], cell: int, sort: Callable[[pa.Table], pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``sort`` of rows in order of their first column, the anchor, of about ``cell`` bytes at once; no anchor is cut in two."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size < cell:
+            continue
+        table = pa.Table.from_batches(held)
+        anchor = table.column(0).to_numpy()
+        last = int(np.argmax(anchor == anchor[-1]))  # where the last anchor's rows, perhaps not all there, begin
+        if last:
+            yield sort(table.slice(0, last))
+        held = table.slice(last).combine_chunks().to_batches()
+        size = sum(b.nbytes for b in held)
+    if held and (table := pa.Table.from_batches(held)).num_rows:
+        yield sort(table)
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
 
-        def sort(table: pa.Table) -> pa.RecordBatch:
-            anchor, first = table.column(0).to_numpy(), table.column(3).to_numpy()
-            bits = np.zeros(len(anchor), np.int64)
-            alike = anchor[1:] == anchor[:-1]
-            several = np.flatnonzero(np.concatenate([[False], alike]) | np.concatenate([alike, [False]]))
-            if len(several):
-                bits[several] = repeats(table.column(1).take(pa.array(several)).to_pylist(), first[several], length)
-            return pa.RecordBatch.from_arrays([pa.array(anchor), table.column(2).combine_chunks(), pa.array(first), pa.array(bits)], names=["anchor", "key", "first", "bits"])
+def judged(classes: DataFrame, length: int, cell: int = CELL) -> DataFrame:
+    """(anchor, key, first, bits) of classes (anchor, context, first): the strings that a smaller document has too."""
 
-        for batch in batches:
-            held.append(batch)
-            if sum(b.nbytes for b in held) < cell:
-                continue
-            table = pa.Table.from_batches(held)
-            anchor = table.column(0).to_numpy()
-            last = int(np.argmax(anchor == anchor[-1]))  # where the last anchor's classes, perhaps not all there, begin
-            if last:
-                yield sort(table.slice(0, last))
-            held = table.slice(last).combine_chunks().to_batches()
-        if held and (table := pa.Table.from_batches(held)).num_rows:
-            yield sort(table)
+    def sort(table: pa.Table) -> pa.RecordBatch:
+        anchor, first = table.column(0).to_numpy(), table.column(3).to_numpy()
+        bits = np.zeros(len(anchor), np.int64)
+        alike = anchor[1:] == anchor[:-1]
+        several = np.flatnonzero(np.concatenate([[False], alike]) | np.concatenate([alike, [False]]))
+        if len(several):
+            bits[several] = repeats(table.column(1).take(pa.array(several)).to_pylist(), first[several], length)
+        return pa.RecordBatch.from_arrays([pa.array(anchor), table.column(2).combine_chunks(), pa.array(first), pa.array(bits)], names=["anchor", "key", "first", "bits"])
 
     dealt = classes.select("anchor", "context", "key", "first").repartition("anchor").sortWithinPartitions("anchor")
-    return dealt.mapInArrow(run, "anchor long, key long, first long, bits long")
+    return dealt.mapInArrow(lambda batches: _by_anchor(batches, cell, sort), "anchor long, key long, first long, bits long")
+
+
+def judged_rows(some: DataFrame, length: int, cell: int = WIDE_CELL) -> DataFrame:
+    """(doc, text_key, at, bits) of contexts: the strings that go, where some do. Contexts are shuffled once."""
+
+    def sort(table: pa.Table) -> pa.RecordBatch:
+        anchor, doc = table.column(0).to_numpy(), table.column(2).to_numpy()
+        encoded = table.column(1).combine_chunks().dictionary_encode()
+        encoded = encoded.combine_chunks() if isinstance(encoded, pa.ChunkedArray) else encoded
+        of, classes = encoded.indices.to_numpy(), encoded.dictionary  # a class is its context, which tells its anchor
+        first = np.full(len(classes), _NO_ID)
+        np.minimum.at(first, of, doc)
+        whose = np.empty(len(classes), np.int64)
+        whose[of] = anchor
+        order = np.argsort(whose, kind="stable")
+        start = np.flatnonzero(np.concatenate([[True], whose[order][1:] != whose[order][:-1]]))
+        low, high = (f.reduceat(first[order], start) for f in (np.minimum, np.maximum))
+        # classes that one document leads have no string of a smaller one
+        several = np.sort(order[np.repeat(low < high, np.diff(np.append(start, len(order))))])
+        bits = np.zeros(len(classes), np.int64)
+        if len(several):
+            bits[several] = repeats(classes.take(pa.array(several)).to_pylist(), first[several], length)
+        strings = np.diff(np.frombuffer(classes.buffers()[1], np.int32)[classes.offset : classes.offset + len(classes) + 1]) - length + 1
+        every = (np.int64(1) << strings.astype(np.int64)) - 1
+        row = np.where(doc > first[of], every[of], bits[of])
+        gone = np.flatnonzero(row)
+        return pa.RecordBatch.from_arrays([pa.array(doc[gone]), *(table.column(i).combine_chunks().take(pa.array(gone)) for i in (3, 4)), pa.array(row[gone])], names=["doc", "text_key", "at", "bits"])
+
+    dealt = some.select("anchor", "context", "doc", "text_key", "at").repartition("anchor").sortWithinPartitions("anchor")
+    return dealt.mapInArrow(lambda batches: _by_anchor(batches, cell, sort), "doc long, text_key long, at long, bits long")
 
 
 def judged_apart(classes: DataFrame, length: int) -> DataFrame:
@@ -339,11 +376,19 @@ def removed_strings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot
     long_ = texts.where(F.octet_length("raw") >= length).select("doc", "text_key", "raw")
     share = F.pmod(F.xxhash64(F.lit("share"), F.col("anchor")), F.lit(shares))
     some = stored(contexts(long_, repeated_anchors(long_, length, gram), length, gram), "suffix-contexts")
-    return reduce(DataFrame.unionByName, [stored(_settled(some.where(share == k), length, hot), "suffix-found") for k in range(shares)])
+    crowded = stored(some.groupBy("anchor").count().where(F.col("count") > hot), "suffix-crowded")
+    rows = crowded.agg(F.sum("count")).first()[0] or 0
+    usual = some.join(crowded, "anchor", "left_anti") if rows else some
+    found = [stored(judged_rows(usual.where(share == k), length), "suffix-found") for k in range(shares)]
+    if rows:  # in as many turns as its part of the rows is of the shares
+        turns = math.ceil(shares * rows / some.count())
+        turn, apart = F.pmod(F.xxhash64(F.lit("turn"), F.col("anchor")), F.lit(turns)), some.join(crowded, "anchor", "left_semi")
+        found += [stored(_settled(apart.where(turn == k), length, hot), "suffix-found") for k in range(turns)]
+    return reduce(DataFrame.unionByName, found)
 
 
 def _settled(some: DataFrame, length: int, hot: int) -> DataFrame:
-    """(doc, text_key, at, bits) of the contexts of some anchors."""
+    """(doc, text_key, at, bits) of the contexts of anchors that have very many: equal contexts combine before the shuffle."""
     some = some.withColumn("key", F.xxhash64("context"))
     classes = some.groupBy("anchor", "context").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("n"))
     classes = stored(classes.withColumn("key", F.xxhash64("context")), "suffix-classes")
