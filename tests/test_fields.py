@@ -8,7 +8,7 @@ import time
 from wirelark.plans import lines
 from wirelark.plans import telegram as T
 from wirelark.plans.extract import extracted
-from wirelark.plans.queries import p3_report
+from wirelark.plans.queries import PHONES, p3_report
 from wirelark.plans.rules import Rule
 
 TEXT = "\n".join([
@@ -72,3 +72,22 @@ def test_many_marks_of_an_artifact_before_a_word_take_no_time():
 def test_the_report_on_dates_reads_stored_records(spark):
     plan = p3_report(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert "cells-" in plan and "MapInArrow" not in plan
+
+
+def test_an_added_rule_that_says_what_it_gives_leaves_others_out():
+    run = {r.name for r in PHONES.giving({"phone", "subject"}).rules}
+    assert {"phone", "drafting", "subject"} <= run and not run & {"tags", "handling", "removal"}
+
+
+def test_readings_of_short_lines_are_kept_and_long_ones_are_not():
+    for read, line in ((lines.order_line, "E.O. 11652: GDS"), (lines.tags_line, "TAGS: PFOR"), (lines.handling_line, "LIMDIS, NOFORN"), (lines._first_label, "SUBJCT: VISIT")):
+        assert read(line) is not None and read(line) == read.__wrapped__(line)
+        assert read(line + " " * 200) == read.__wrapped__(line + " " * 200)
+        assert read.__wrapped__ is not read
+
+
+def test_of_the_dashes_the_first_alone_are_read():
+    text = "\n".join(["    ---------- 123456 /1", "", "    ----------- 222222 ---------- 3", "     ---------- 123457Z"])
+    caps = lines.capitals(text)
+    assert [m.span() for m in T._scan("dash", text, caps)] == [m.span() for m in T.SCANS["dash"].finditer(text)]
+    assert len(T._scan("dash", text, caps, 1)) == 1 == len(T._scan("dash", text, None, 1))
