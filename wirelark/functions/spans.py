@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from .text import let
 
 SHAPE = "array<struct<start:int,end:int,value:string>>"
+#: Set around matches, to split a text by; a text that holds it is split by the pattern itself.
+EDGE = "\x01"
 
 
 def java(pattern: re.Pattern) -> str:
@@ -19,24 +21,36 @@ def java(pattern: re.Pattern) -> str:
     return f"(?{flags}d){pattern.pattern}"
 
 
-def spans(text: Column, pattern: str | re.Pattern) -> Column:
+def _parts(body: Column, own: Column, edged: Column) -> Column:
+    """What stands before the first match, the match, what stands up to the next one, and so on, to the text's end.
+
+    Splitting by a pattern compiles it for every text, which costs more than the search. Replacing keeps it compiled, and a
+    single character needs no pattern.
+    """
+    gaps = F.split(body, own, -1)
+    pairs = F.flatten(F.zip_with(gaps, F.regexp_extract_all(body, own, F.lit(0)), lambda gap, m: F.array(gap, m)))
+    marked = F.regexp_replace(body, own, F.lit(f"{EDGE}$0{EDGE}"))
+    return F.when(edged, F.slice(pairs, 1, 2 * F.size(gaps) - 1)).otherwise(F.split(marked, EDGE, -1))
+
+
+def spans(text: Column, pattern: str | re.Pattern, edged: Column | None = None) -> Column:
     """(start, end, value) of all matches, none over another, in code points from 0; null texts have none.
 
-    What stands between matches is what splitting gives, so a place is a running sum of lengths of gaps and matches.
+    A place is the sum of the lengths of all parts before it. ``edged``: whether the text may hold an ``EDGE``; who takes
+    spans of many patterns, or of parts of a text, looks for it once.
     """
     own = F.lit(java(pattern) if isinstance(pattern, re.Pattern) else pattern)
     body = F.coalesce(text, F.lit(""))
 
-    def placed(found: Column) -> Column:
-        lengths = F.zip_with(F.slice(F.split(body, own, -1), 1, F.size(found)), found, lambda gap, m: F.length(gap) + F.length(m))
-
-        def one(sizes: Column) -> Column:
-            upto = lambda i: F.aggregate(F.slice(sizes, 1, i + 1), F.lit(0), lambda a, n: a + n)
-            return F.transform(found, lambda m, i: let(upto(i), lambda end: F.struct((end - F.length(m)).alias("start"), end.alias("end"), m.alias("value"))))
+    def one(parts: Column, m: Column, i: Column) -> Column:
+        before = F.aggregate(F.slice(parts, 1, 2 * i + 1), F.lit(0), lambda a, part: a + F.length(part))
+        return let(before, lambda start: F.struct(start.alias("start"), (start + F.length(m)).alias("end"), m.alias("value")))
 
-        return let(lengths, one)
+    def placed(parts: Column) -> Column:
+        found = F.filter(parts, lambda part, i: i % 2 == 1)
+        return F.when(F.size(parts) > 1, F.transform(found, lambda m, i: one(parts, m, i))).otherwise(F.array().cast(SHAPE))
 
-    return let(F.regexp_extract_all(body, own, F.lit(0)), placed)
+    return let(_parts(body, own, body.contains(EDGE) if edged is None else edged), placed)
 
 
 def longest(found: Mapping[str, Column]) -> Column:

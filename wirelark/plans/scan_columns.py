@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.spans import java, longest, of_name, ranges, spans
+from ..functions.spans import EDGE, java, longest, of_name, ranges, spans
 from ..functions.text import let, merge_ranges, na_null, strip, strip_ranges
 from . import telegram as T
 from .lines import DESIGNATORS
@@ -24,7 +24,22 @@ HEADER = {**{name: java(T.SCANS[name]) for name in ("section", "dtg", "from", "d
 
 
 def _markings(markings: tuple[str, ...]) -> str:
-    return "(?d)" + "|".join(rf"\Q{m}\E" for m in markings) if markings else "(?!)"
+    """Any of them; only places with a first letter of one are tried."""
+    if not markings:
+        return "(?!)"
+    first = "".join(rf"\x{{{ord(m[0]):x}}}" for m in markings if m)
+    return f"(?d){f'(?=[{first}])' if all(markings) else ''}(?:" + "|".join(rf"\Q{m}\E" for m in markings) + ")"
+
+
+def _by_letter(words: list[str]) -> str:
+    """Any of some words, told apart by their first letters; none may be the beginning of another one and a colon."""
+    rest: dict[str, list[str]] = {}
+    for word in sorted(words, key=len, reverse=True):
+        rest.setdefault(word[0], []).append(rf"\Q{word[1:]}\E")
+    return "|".join(f"{letter}(?:{'|'.join(more)})" for letter, more in rest.items())
+
+
+KEY_LINE = rf"({_by_letter(T.KEYS)}):"
 
 
 def scanned(texts: DataFrame, key: str, text: str = "text", markings: tuple[str, ...] = T.MARKINGS) -> DataFrame:
@@ -33,20 +48,21 @@ def scanned(texts: DataFrame, key: str, text: str = "text", markings: tuple[str,
     """
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
     first, second = (java(h) for h in T._HEADS)
-    found = texts.select(F.col(key).alias("key"), whole.alias("whole")).select(
-        "key", "whole", spans(F.col("whole"), T._ARTIFACT).alias("artifacts"), spans(F.col("whole"), first).alias("text_head"), spans(F.col("whole"), second).alias("attribute_head"),
-        spans(F.col("whole"), _markings(markings)).alias("markings"),
+    at = lambda part, pattern: spans(part, pattern, F.col("edged"))
+    found = texts.select(F.col(key).alias("key"), whole.alias("whole"), whole.contains(EDGE).alias("edged")).select(
+        "key", "whole", "edged", at(F.col("whole"), T._ARTIFACT).alias("artifacts"), at(F.col("whole"), first).alias("text_head"), at(F.col("whole"), second).alias("attribute_head"),
+        at(F.col("whole"), _markings(markings)).alias("markings"),
     )
     start, end = F.get("text_head", 0)["end"], F.get("attribute_head", 0)["start"]
     one = (F.size("text_head") == 1) & (F.size("attribute_head") == 1) & (start < end)
     behind = F.coalesce(F.get("attribute_head", 0)["end"], F.lit(0))
     found = found.withColumn("region_start", F.when(one, start)).withColumn("region_end", F.when(one, end)).withColumn("raw", F.when(one, _part(F.col("whole"), start, end)))
-    keys = F.transform(spans(F.substring(F.col("whole"), behind + 1, F.length("whole")), "(?md)^" + T._KEY_LINE.pattern), lambda s: F.struct((s["start"] + behind).alias("start"), (s["end"] + behind).alias("end"), s["value"].alias("value")))
-    found = found.withColumn("attribute_keys", keys).withColumn("inside", F.when(one, longest({name: spans(F.col("raw"), T.SCANS[name]) for name in RAW})))
+    keys = F.transform(at(F.substring(F.col("whole"), behind + 1, F.length("whole")), "(?md)^" + KEY_LINE), lambda s: F.struct((s["start"] + behind).alias("start"), (s["end"] + behind).alias("end"), s["value"].alias("value")))
+    found = found.withColumn("attribute_keys", keys).withColumn("inside", F.when(one, longest({name: at(F.col("raw"), T.SCANS[name]) for name in RAW})))
     found = found.withColumn("valid", _valid(F.col("raw"), F.col("inside")))
     found = found.withColumn("header", F.when(F.col("raw").isNotNull(), strip_ranges(F.col("raw"), merge_ranges(_cuts()))))
     inside = [of_name(F.col("inside"), name).alias(f"body_{name}") for name in RAW]
-    header = [F.when(F.col("header").isNotNull(), spans(F.col("header"), pattern)).alias(f"header_{name}") for name, pattern in HEADER.items()]
+    header = [F.when(F.col("header").isNotNull(), at(F.col("header"), pattern)).alias(f"header_{name}") for name, pattern in HEADER.items()]
     covered = F.concat(ranges(F.col("artifacts")), ranges(F.col("text_head")), ranges(F.col("attribute_head")), ranges(F.col("markings")), F.when(one, F.array(F.struct(F.col("region_start").alias("s"), F.col("region_end").alias("e")))).otherwise(F.array().cast("array<struct<s:int,e:int>>")))
     found = found.withColumn("noise", merge_ranges(covered)).withColumn("attrs", attributes(F.col("whole"), behind, F.col("noise")))
     found = found.withColumn("routed", routing(F.col("header")))
@@ -84,7 +100,7 @@ def attributes(text: Column, start: Column, noise: Column) -> Column:
 
     def step(s: Column, line: Column) -> Column:
         at, end = s["at"], s["at"] + F.length(line)
-        key = F.when(line.contains(":"), F.regexp_extract(line, "^" + T._KEY_LINE.pattern, 1)).otherwise("")
+        key = F.when(line.contains(":"), F.regexp_extract(line, "^" + KEY_LINE, 1)).otherwise("")
         indented = line.startswith(" ") | line.startswith("\t")
         blank = strip(line) == ""
         seen = F.size(s["below"]) > 0
@@ -107,7 +123,7 @@ def attributes(text: Column, start: Column, noise: Column) -> Column:
     every = let(folded, lambda s: F.when(s["name"].isNull(), s["done"]).otherwise(F.concat(s["done"], F.array(F.struct(s["name"].alias("name"), s["own"].alias("own"), none.alias("below"))))))
 
     def pairs(all_: Column) -> Column:
-        value = lambda x: na_null(F.substring(F.array_join(F.concat(x["own"], x["below"]), "\n"), F.length(x["name"]) + 2, F.length(text)))
+        value = lambda x: let(F.substring(F.array_join(F.concat(x["own"], x["below"]), "\n"), F.length(x["name"]) + 2, F.length(text)), na_null)
         final = F.filter(all_, lambda x, i: ~F.exists(F.slice(all_, i + 2, F.size(all_)), lambda y: y["name"] == x["name"]))
         return F.map_from_entries(F.transform(final, lambda x: F.struct(x["name"].alias("key"), value(x).alias("value"))))
 
@@ -121,7 +137,8 @@ def routing(header: Column) -> Column:
 
     def step(s: Column, line: Column) -> Column:
         bare = strip(line)
-        label = F.when(F.upper(bare).startswith("TO "), "to").when(F.upper(bare).startswith("INFO "), "info")
+        first = F.upper(F.substring(bare, 1, 5))
+        label = F.when(first.startswith("TO "), "to").when(first.startswith("INFO "), "info")
         now = F.coalesce(label, s["now"])
         value = F.when(label.isNotNull(), strip(F.substring(bare, F.length(label) + 2, F.length(bare)))).otherwise(bare)
         held = lambda name: F.when((now == name) & (bare != ""), F.concat(s[name], F.array(value))).otherwise(s[name])
@@ -136,15 +153,15 @@ def _valid(raw: Column, inside: Column) -> Column:
     """Whether a classification line is next to a page break, before an end mark, or near the end of the body."""
     blank = lambda a, b: F.trim(F.translate(_part(raw, a, b), "\n\r\t\x0b\x0c", "     ")) == ""
     near = lambda a, b: (b - a >= 0) & (b - a < 500) & blank(a, b)
-    pages, ends = of_name(inside, "page_break"), of_name(inside, "end")
 
-    def one(m: Column) -> Column:
+    def one(m: Column, pages: Column, ends: Column) -> Column:
         left = F.length(raw) - m["end"]
         lines = F.size(F.filter(F.split(F.substring(raw, m["end"] + 1, left), "\n"), lambda x: F.trim(F.translate(x, "\r\t\x0b\x0c", "    ")) != ""))
         page = F.exists(pages, lambda p: near(m["end"], p["start"]) | near(p["end"], m["start"]))
         return page | F.exists(ends, lambda e: near(m["end"], e["start"])) | ((left > 0) & (left < 1500) & (lines <= 4))
 
-    return F.filter(of_name(inside, "classification"), one)
+    found = of_name(inside, "classification")
+    return let(F.struct(of_name(inside, "page_break").alias("pages"), of_name(inside, "end").alias("ends")), lambda of: F.filter(found, lambda m: one(m, of["pages"], of["ends"])))
 
 
 def _cuts() -> Column:
@@ -152,7 +169,7 @@ def _cuts() -> Column:
     raw, inside = F.col("raw"), F.col("inside")
     plain = F.filter(inside, lambda s: s["name"].isin("page_break", "end") | ((s["name"] == "classification") & (F.size("valid") > 0)))
     wide = F.concat(ranges(of_name(inside, "footer")), F.transform(F.filter("markings", lambda m: (m["start"] >= F.col("region_start")) & (m["start"] < F.col("region_end"))), _line_of))
-    return F.concat(ranges(plain), F.transform(wide, lambda r: _with_line_ends(raw, r)), ranges(spans(raw, T._ARTIFACT)))
+    return F.concat(ranges(plain), F.transform(wide, lambda r: _with_line_ends(raw, r)), ranges(spans(raw, T._ARTIFACT, F.col("edged"))))
 
 
 def _line_of(m: Column) -> Column:
