@@ -91,3 +91,9 @@ def test_of_the_dashes_the_first_alone_are_read():
     caps = lines.capitals(text)
     assert [m.span() for m in T._scan("dash", text, caps)] == [m.span() for m in T.SCANS["dash"].finditer(text)]
     assert len(T._scan("dash", text, caps, 1)) == 1 == len(T._scan("dash", text, None, 1))
+
+
+def test_lines_that_begin_like_a_class_by_two_letters_alone_are_not_tried():
+    words = ["SECSTATE", "TO X", "LIST", "COPY", "UNESCO", "SECRET", "T O P  S E C R E T", "UNCLAS", "LIMITED OFFICIAL USE", "  CONFIDENTIAL", "C O N F I D E N T I A L"]
+    caps = lines.capitals("\n".join(["X", *words]))
+    assert [caps[at + 1 :].strip().split("\n")[0].strip() for at in T._class_places(caps)] == [w.strip() for w in words[5:]]
