@@ -97,3 +97,12 @@ def test_lines_that_begin_like_a_class_by_two_letters_alone_are_not_tried():
     words = ["SECSTATE", "TO X", "LIST", "COPY", "UNESCO", "SECRET", "T O P  S E C R E T", "UNCLAS", "LIMITED OFFICIAL USE", "  CONFIDENTIAL", "C O N F I D E N T I A L"]
     caps = lines.capitals("\n".join(["X", *words]))
     assert [caps[at + 1 :].strip().split("\n")[0].strip() for at in T._class_places(caps)] == [w.strip() for w in words[5:]]
+
+
+def test_scans_whose_words_begin_no_line_are_not_run(monkeypatch):
+    ran = []
+    scan = T._scan
+    monkeypatch.setattr(T, "_scan", lambda name, *more: ran.append(name) or scan(name, *more))
+    assert T.parse("Message Text\n1. TEXT.\nFM PARIS\nMessage Attributes\nTo: X\n\nY\n", fields=frozenset({"from", "attrs"}))["from"] == "PARIS"
+    assert ran == ["from"]
+    assert T._common(T.MARKINGS) in T.MARKINGS[0] and len(T._common(T.MARKINGS)) > 60 and T._common(("AB", "CD")) == T._common(()) == ""
