@@ -106,3 +106,18 @@ def test_scans_whose_words_begin_no_line_are_not_run(monkeypatch):
     assert T.parse("Message Text\n1. TEXT.\nFM PARIS\nMessage Attributes\nTo: X\n\nY\n", fields=frozenset({"from", "attrs"}))["from"] == "PARIS"
     assert ran == ["from"]
     assert T._common(T.MARKINGS) in T.MARKINGS[0] and len(T._common(T.MARKINGS)) > 60 and T._common(("AB", "CD")) == T._common(()) == ""
+
+
+def test_handling_asks_for_the_header_only_where_its_end_matters(monkeypatch):
+    read, asked = lines.order_line, []
+    monkeypatch.setattr(lines, "order_line", lambda line: asked.append(line) or read(line))
+    fields = frozenset({"handling_restrictions"})
+    assert T.parse(TEXT, fields=fields)["handling_restrictions"] == ["LIMDIS"] and not asked
+    apart = TEXT.replace("LIMDIS\n", "LIMDIS\n\nWORDS\nEXDIS\n")
+    assert T.parse(apart, fields=fields)["handling_restrictions"] == ["LIMDIS", "EXDIS"] and asked
+
+
+def test_rules_that_are_asked_for_are_held_back_unless_a_field_needs_them():
+    assert {"subject", "tags", "executive_order"} <= T.DEFAULT.giving(["handling_restrictions"]).held
+    assert not T.DEFAULT.giving(["handling_restrictions", "subject", "tags", "executive_order"]).held & {"subject", "tags", "executive_order"}
+    assert not T.DEFAULT.held
