@@ -121,3 +121,22 @@ def test_rules_that_are_asked_for_are_held_back_unless_a_field_needs_them():
     assert {"subject", "tags", "executive_order"} <= T.DEFAULT.giving(["handling_restrictions"]).held
     assert not T.DEFAULT.giving(["handling_restrictions", "subject", "tags", "executive_order"]).held & {"subject", "tags", "executive_order"}
     assert not T.DEFAULT.held
+
+
+def test_behind_a_plain_subject_no_other_label_is_read(monkeypatch):
+    read, lines_read = lines._first_label, []
+    monkeypatch.setattr(lines, "_first_label", lambda line: lines_read.append(line) or read(line))
+    text = TEXT.replace("SUBJCT: VISIT", "SUBJECT: VISIT")
+    assert T.parse(text, fields=frozenset({"subject"}))["subject"] == "VISIT OF DELEGATION"
+    assert lines_read == ["SUBJECT: VISIT OF DELEGATION"]
+    assert T.parse(TEXT, fields=frozenset({"subject"}))["subject"] == "VISIT OF DELEGATION" and len(lines_read) > 2
+
+
+def test_drafting_lines_in_ascii_read_as_others_do():
+    rnd = random.Random(5)
+    for _ in range(3000):
+        line = "".join(rnd.choice(["DRAFTED", "APPROVED", "epproved", "DISTRIBUTION", "DESIRED DISTB", " ", "\t", "Y", "BY", "B", "7", ":", "=", "-", "_"]) for _ in range(rnd.randrange(1, 6)))
+        other = line + "\ré"  # one line's text beyond ASCII is read word by word
+        assert lines.ends_drafting(line) == lines.ends_drafting(other), line
+        for kind in lines.DRAFTING:
+            assert lines.drafting_value(line, kind) == lines.drafting_value(other, kind), line
