@@ -6,10 +6,11 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from wirelark.functions.spans import EDGE, spans
+from wirelark.functions.spans import EDGE, heads, spans
 from wirelark.plans import lines, queries, telegram
 from wirelark.plans.rules import CONTENT, RAW, Rule
-from wirelark.plans.scan_columns import HEADER, KEY_LINE, scanned
+from wirelark.functions.text import merge_ranges, strip_ranges
+from wirelark.plans.scan_columns import HEADER, KEY_LINE, routing, scanned
 from wirelark.plans.scan_columns import RAW as BODY_SCANS
 
 from .test_telegram import ATTRS, BODY
@@ -113,3 +114,35 @@ def test_keys_by_their_first_letters():
     plain = KEY_LINE.replace(r"\Q", "").replace(r"\E", "")
     for word in words:
         assert bool(re.fullmatch(plain, word + ":")) == bool(re.fullmatch(telegram._KEY_LINE, word + ":"))
+
+
+def test_attributes_are_folded_over_lines_only_where_values_cross_blank_lines(spark):
+    """A text without such a key is read by one search; all shapes agree with the reader in Python."""
+    pieces = ["Type: TE", "Subject: a", "  b", "", "  ", "c", "\x0b", "TAGS: x", "To: z", "Type: ", "n/a", "\tq", "\u2003", "Status:", "¿"]
+    r = random.Random(11)
+    rows = [(k, whole("FM A\nTO B\n", "\n".join(r.choice([p for p in pieces if k % 3 or p != "To: z"]) for _ in range(r.randint(0, 9))) + r.choice(["", "\n"]))) for k in range(200)]
+    agree(spark.createDataFrame(rows, "k int, text string"))
+
+
+def test_heads_by_their_words(spark):
+    words, pattern = "Message Text", telegram._HEADS[0]
+    texts = ["", "Message Text", " \tMessage Text \nx", "é\n Message Text\n", "x Message Text\n", "Message Text x", "Message Text\nMessage Text\n", "Message Texts\n Message Text", "😀\nMessage Text\r\n", f"{EDGE}\nMessage Text"]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    for text, row in zip(texts, frame.select(heads(F.col("text"), words, pattern).alias("s")).collect()):
+        assert [(s.start, s.end, s.value) for s in row.s] == [(*m.span(), m[0]) for m in pattern.finditer(text)], text
+
+
+def test_ranges_that_touch_are_cut_alike(spark):
+    frame = spark.createDataFrame([([(0, 2), (2, 4)],), ([(3, 5), (0, 1)],), ([(0, 4), (1, 2), (4, 4)],), ([],)], "r array<struct<s:int,e:int>>")
+    got = [(list(map(tuple, a)), list(map(tuple, b)), c, d) for a, b, c, d in frame.select(merge_ranges(F.col("r")), merge_ranges(F.col("r"), touching=False), strip_ranges(F.lit("abcdef"), merge_ranges(F.col("r"))), strip_ranges(F.lit("abcdef"), merge_ranges(F.col("r"), touching=False))).collect()]
+    assert [x[0] for x in got] == [[(0, 4)], [(0, 1), (3, 5)], [(0, 4)], []]
+    assert [x[1] for x in got] == [[(0, 2), (2, 4)], [(0, 1), (3, 5)], [(0, 4)], []]
+    assert [x[2] for x in got] == [x[3] for x in got] == ["ef", "bcf", "ef", "abcdef"]
+
+
+def test_addressees_are_told_apart_once(spark):
+    """A line's label was worked out anew wherever it was named, a dozen times a line."""
+    lines_ = spark.createDataFrame([("FM A\nTO B\n C\nINFO D\n\nTO E",)], "header string")
+    plan = lines_.select(routing(F.col("header")).alias("r"))
+    assert tuple(plan.collect()[0].r) == ("B C", "D")
+    assert plan._jdf.queryExecution().optimizedPlan().toString().count("INFO ") <= 2

@@ -7,11 +7,14 @@ What carries on from line to line (attributes, addressees) is a fold over a text
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.spans import EDGE, java, longest, of_name, ranges, spans
-from ..functions.text import let, merge_ranges, na_null, strip, strip_ranges
+from ..functions.spans import EDGE, heads, java, longest, of_name, ranges, spans
+from ..functions.text import SPACES, let, marks_null, merge_ranges, na_null, strip, strip_ranges
 from . import telegram as T
 from .lines import DESIGNATORS
 
@@ -19,6 +22,8 @@ _ANY = "|".join(DESIGNATORS)
 #: Lines that ``lines`` reads word by word, as patterns; a letter of a longer label is never given back.
 TAGS_LINE = r"(?imd)^[ \t]*TAG[SA]?+[ \t]*[^\s].*$"
 HANDLING_LINE = rf"(?imd)^[ \t]*(?:{_ANY})(?:[ \t,;/+\-]+(?:{_ANY}))*[ \t]*$"
+#: Any end holds one of them.
+_LEAST_ENDS = [e for e in T.ENDS if not any(o != e and o in e for o in T.ENDS)]
 RAW = ("classification", "page_break", "end", "footer", "section")
 HEADER = {**{name: java(T.SCANS[name]) for name in ("section", "dtg", "from", "dash")}, "tags_line": TAGS_LINE, "handling": HANDLING_LINE}
 
@@ -48,23 +53,29 @@ def scanned(texts: DataFrame, key: str, text: str = "text", markings: tuple[str,
     """
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
     first, second = (java(h) for h in T._HEADS)
-    at = lambda part, pattern: spans(part, pattern, F.col("edged"))
+    at = lambda part, pattern, held=None: spans(part, pattern, F.col("edged"), held)
+    has = lambda part, *words: reduce(or_, [part.contains(w) for w in words])
+    head = lambda words, pattern: heads(F.col("whole"), words, pattern, F.col("edged"))
+    marked = F.col("whole").contains(T._common(markings)) if markings else F.lit(False)
     found = texts.select(F.col(key).alias("key"), whole.alias("whole"), whole.contains(EDGE).alias("edged")).select(
-        "key", "whole", "edged", at(F.col("whole"), T._ARTIFACT).alias("artifacts"), at(F.col("whole"), first).alias("text_head"), at(F.col("whole"), second).alias("attribute_head"),
-        at(F.col("whole"), _markings(markings)).alias("markings"),
+        "key", "whole", "edged", at(F.col("whole"), T._ARTIFACT, has(F.col("whole"), "¿")).alias("artifacts"), head("Message Text", first).alias("text_head"), head("Message Attributes", second).alias("attribute_head"),
+        at(F.col("whole"), _markings(markings), marked).alias("markings"),
     )
     start, end = F.get("text_head", 0)["end"], F.get("attribute_head", 0)["start"]
     one = (F.size("text_head") == 1) & (F.size("attribute_head") == 1) & (start < end)
     behind = F.coalesce(F.get("attribute_head", 0)["end"], F.lit(0))
     found = found.withColumn("region_start", F.when(one, start)).withColumn("region_end", F.when(one, end)).withColumn("raw", F.when(one, _part(F.col("whole"), start, end)))
     keys = F.transform(at(F.substring(F.col("whole"), behind + 1, F.length("whole")), "(?md)^" + KEY_LINE), lambda s: F.struct((s["start"] + behind).alias("start"), (s["end"] + behind).alias("end"), s["value"].alias("value")))
-    found = found.withColumn("attribute_keys", keys).withColumn("inside", F.when(one, longest({name: at(F.col("raw"), T.SCANS[name]) for name in RAW})))
-    found = found.withColumn("valid", _valid(F.col("raw"), F.col("inside")))
-    found = found.withColumn("header", F.when(F.col("raw").isNotNull(), strip_ranges(F.col("raw"), merge_ranges(_cuts()))))
+    raw, caps = F.col("raw"), F.col("caps")
+    holds = {"page_break": has(caps, "PAGE"), "end": has(raw, *_LEAST_ENDS), "footer": has(raw, "*** Current "), "section": has(caps, "SECTION")}
+    found = found.withColumn("caps", F.upper("raw")).withColumn("attribute_keys", keys).withColumn("inside", F.when(one, longest({name: at(raw, T.SCANS[name], holds.get(name)) for name in RAW})))
+    found = found.withColumn("valid", _valid(raw, F.col("inside")))
+    found = found.withColumn("header", F.when(raw.isNotNull(), _cut()))
     inside = [of_name(F.col("inside"), name).alias(f"body_{name}") for name in RAW]
-    header = [F.when(F.col("header").isNotNull(), at(F.col("header"), pattern)).alias(f"header_{name}") for name, pattern in HEADER.items()]
+    holds = {"section": holds["section"], "dash": has(F.col("header"), "-" * 10), "from": has(F.col("header"), "FM"), "tags_line": has(caps, "TAG")}
+    header = [F.when(F.col("header").isNotNull(), at(F.col("header"), pattern, holds.get(name))).alias(f"header_{name}") for name, pattern in HEADER.items()]
     covered = F.concat(ranges(F.col("artifacts")), ranges(F.col("text_head")), ranges(F.col("attribute_head")), ranges(F.col("markings")), F.when(one, F.array(F.struct(F.col("region_start").alias("s"), F.col("region_end").alias("e")))).otherwise(F.array().cast("array<struct<s:int,e:int>>")))
-    found = found.withColumn("noise", merge_ranges(covered)).withColumn("attrs", attributes(F.col("whole"), behind, F.col("noise")))
+    found = found.withColumn("attrs", attributes(F.col("whole"), behind, merge_ranges(covered)))
     found = found.withColumn("routed", routing(F.col("header")))
     return found.select(F.col("key").alias(key), "attrs", F.col("routed")["to"].alias("to"), F.col("routed")["info"].alias("info"), "artifacts", "text_head", "attribute_head", "markings", "attribute_keys", "region_start", "region_end", *inside, "valid", "header", *header)
 
@@ -82,9 +93,55 @@ def _line_fold(text: Column, start: Column, step, begin: Column) -> Column:
     return F.aggregate(lines, begin, step)
 
 
+#: A blank line's characters; a key's own lines, indented ones too; and behind blank lines those up to the next blank one or key.
+_BLANK = "[" + "".join(rf"\x{{{ord(c):x}}}" for c in SPACES if c != "\n") + "]*+"
+_OWN = r"([^\n]*+(?:\n[ \t][^\n]*+)*+)"
+_BELOW = rf"(?:\n{_BLANK}(?=\n|\z))*+((?:\n(?!{_BLANK}(?:\n|\z)|(?:{KEY_LINE[1:-2]}):)[^\n]*+)*+)"
+ATTRIBUTE = rf"(?md)^{KEY_LINE}{_OWN}{_BELOW}"
+_ACROSS_LINE = rf"(?md)^(?:{'|'.join(sorted(T.ACROSS_BLANKS))}):"
+
+
 def attributes(text: Column, start: Column, noise: Column) -> Column:
     """Map of the attributes from a place on, as ``telegram`` reads them; the last of a name counts.
 
+    One pattern finds a key with its lines. Where a value may go on across blank lines, which ranges of ``noise`` do not end,
+    lines are folded instead.
+    """
+    own = lambda told: F.regexp_extract(told, rf"^{_OWN}", 1)
+    below = lambda told: F.regexp_extract(told, rf"^{_OWN}{_BELOW}", 2)
+
+    def pairs(found: Column) -> Column:
+        names = F.transform(found, lambda x: F.substring_index(x, ":", 1))
+        return let(names, lambda names: let(F.zip_with(found, names, value), lambda values: mapped(names, F.concat(_but_last(values), F.transform(F.slice(found, -1, 1), last)))))
+
+    def value(x: Column, name: Column) -> Column:
+        # blank lines in front and behind go, and only where there are several lines can some stand in between
+        told = F.substring(x, F.length(name) + 2, F.length(x))
+        lines = lambda bare: F.when(bare.contains("\n"), let(told, lambda t: strip(F.concat(own(t), below(t))))).otherwise(bare)
+        return let(let(strip(told), lines), lambda v: F.when(~marks_null(v), v))
+
+    def last(x: Column) -> Column:
+        """Lines below count for all keys but the last one."""
+        told = F.substring(x, F.length(F.substring_index(x, ":", 1)) + 2, F.length(x))
+        return let(strip(own(told)), lambda v: F.when(~marks_null(v), v))
+
+    def mapped(names: Column, values: Column) -> Column:
+        every = F.transform(names, lambda n, i: F.struct(n.alias("key"), F.get(values, i).alias("value")))
+        later = F.filter(every, lambda x, i: ~F.array_contains(F.slice(names, i + 2, F.size(names)), x["key"]))
+        return F.when(F.size(F.array_distinct(names)) == F.size(names), F.map_from_arrays(names, values)).otherwise(F.map_from_entries(later))
+
+    tail = F.substring(text, start + 1, F.length(text))
+    plain = let(F.regexp_extract_all(tail, F.lit(ATTRIBUTE), F.lit(0)), lambda found: F.when(F.size(found) > 0, pairs(found)).otherwise(F.create_map().cast("map<string,string>")))
+    return F.when(tail.rlike(_ACROSS_LINE), let(noise, lambda ranges_: _folded(text, start, ranges_))).otherwise(plain)
+
+
+def _but_last(values: Column) -> Column:
+    return F.slice(values, 1, F.greatest(F.size(values) - 1, F.lit(0)))
+
+
+def _folded(text: Column, start: Column, noise: Column) -> Column:
+    """``attributes`` by a fold over lines, for texts with keys whose values go on across blank lines.
+
     The state is the key that is open, its indented lines, the lines below those, and whether more can come. Lines below
     count for all keys but the last one.
     """
@@ -130,46 +187,74 @@ def attributes(text: Column, start: Column, noise: Column) -> Column:
     return let(every, pairs)
 
 
+#: From the first sender's line to the first empty line.
+ROUTING = r"(?md)^FM(?=\s)(?:[^\n]++|\n(?!\s*\n))*+"
+
+
 def routing(header: Column) -> Column:
     """(to, info) of the lines from the first sender to the first empty line; one without a label carries on."""
-    lines = F.split(F.split(F.regexp_extract(header, r"(?md)^FM\s[\s\S]*", 0), r"\n\s*\n", 2)[0], "\n", -1)
     shape = f"struct<now:string,to:{_LINES},info:{_LINES}>"
 
+    def told(bare: Column) -> Column:
+        labelled = lambda first: F.when(first.startswith("TO "), "to").when(first.startswith("INFO "), "info")
+        value = lambda label: F.when(label.isNotNull(), strip(F.substring(bare, F.length(label) + 2, F.length(bare)))).otherwise(bare)
+        return let(let(F.upper(F.substring(bare, 1, 5)), labelled), lambda label: F.struct(label.alias("label"), value(label).alias("value")))
+
     def step(s: Column, line: Column) -> Column:
-        bare = strip(line)
-        first = F.upper(F.substring(bare, 1, 5))
-        label = F.when(first.startswith("TO "), "to").when(first.startswith("INFO "), "info")
-        now = F.coalesce(label, s["now"])
-        value = F.when(label.isNotNull(), strip(F.substring(bare, F.length(label) + 2, F.length(bare)))).otherwise(bare)
-        held = lambda name: F.when((now == name) & (bare != ""), F.concat(s[name], F.array(value))).otherwise(s[name])
+        now = F.coalesce(line["label"], s["now"])
+        held = lambda name: F.when(now == name, F.concat(s[name], F.array(line["value"]))).otherwise(s[name])
         return F.struct(now.alias("now"), held("to").alias("to"), held("info").alias("info")).cast(shape)
 
+    lines = F.filter(F.transform(F.split(F.regexp_extract(header, ROUTING, 0), "\n", -1), strip), lambda bare: bare != "")
     begin = F.struct(F.lit(None).cast("string").alias("now"), F.array().cast(_LINES).alias("to"), F.array().cast(_LINES).alias("info")).cast(shape)
     joined = lambda held: F.when(F.size(held) > 0, F.array_join(held, " "))
-    return let(F.aggregate(lines, begin, step), lambda s: F.struct(joined(s["to"]).alias("to"), joined(s["info"]).alias("info")))
+    return let(F.aggregate(F.transform(lines, told), begin, step), lambda s: F.struct(joined(s["to"]).alias("to"), joined(s["info"]).alias("info")))
 
 
-def _valid(raw: Column, inside: Column) -> Column:
-    """Whether a classification line is next to a page break, before an end mark, or near the end of the body."""
-    blank = lambda a, b: F.trim(F.translate(_part(raw, a, b), "\n\r\t\x0b\x0c", "     ")) == ""
-    near = lambda a, b: (b - a >= 0) & (b - a < 500) & blank(a, b)
+_SPACE = " \n\r\t\x0b\x0c"
+
+
+def _next_to(raw: Column, inside: Column, chosen) -> Column:
+    """``chosen(classification lines, test)``; the test is whether one is next to a page break, before an end mark, or
+    near the end of the body.
+    """
+    blank = lambda x: F.ltrim(x, F.lit(_SPACE)) == ""
+    near = lambda a, b: (b - a >= 0) & (b - a < 500) & blank(_part(raw, a, b))
 
     def one(m: Column, pages: Column, ends: Column) -> Column:
         left = F.length(raw) - m["end"]
-        lines = F.size(F.filter(F.split(F.substring(raw, m["end"] + 1, left), "\n"), lambda x: F.trim(F.translate(x, "\r\t\x0b\x0c", "    ")) != ""))
+        lines = F.size(F.filter(F.split(F.substring(raw, m["end"] + 1, left), "\n"), lambda x: ~blank(x)))
         page = F.exists(pages, lambda p: near(m["end"], p["start"]) | near(p["end"], m["start"]))
-        return page | F.exists(ends, lambda e: near(m["end"], e["start"])) | ((left > 0) & (left < 1500) & (lines <= 4))
+        return F.exists(ends, lambda e: near(m["end"], e["start"])) | page | ((left > 0) & (left < 1500) & (lines <= 4))
+
+    of = F.struct(of_name(inside, "page_break").alias("pages"), of_name(inside, "end").alias("ends"))
+    return let(of, lambda of: chosen(of_name(inside, "classification"), lambda m: one(m, of["pages"], of["ends"])))
+
+
+def _valid(raw: Column, inside: Column) -> Column:
+    return _next_to(raw, inside, F.filter)
 
-    found = of_name(inside, "classification")
-    return let(F.struct(of_name(inside, "page_break").alias("pages"), of_name(inside, "end").alias("ends")), lambda of: F.filter(found, lambda m: one(m, of["pages"], of["ends"])))
 
+def _cut() -> Column:
+    """The body without what is cut out of it; footers and markings go with the line ends around them.
 
-def _cuts() -> Column:
-    """What is cut out of the body; footers and markings go with the line ends around them."""
+    Spans of the body are in order and apart, so where nothing else is cut they are cut as they stand.
+    """
     raw, inside = F.col("raw"), F.col("inside")
-    plain = F.filter(inside, lambda s: s["name"].isin("page_break", "end") | ((s["name"] == "classification") & (F.size("valid") > 0)))
-    wide = F.concat(ranges(of_name(inside, "footer")), F.transform(F.filter("markings", lambda m: (m["start"] >= F.col("region_start")) & (m["start"] < F.col("region_end"))), _line_of))
-    return F.concat(ranges(plain), F.transform(wide, lambda r: _with_line_ends(raw, r)), ranges(spans(raw, T._ARTIFACT, F.col("edged"))))
+    any_valid = _next_to(raw, inside, lambda found, test: F.exists(F.reverse(found), test))  # the last one is the likeliest
+    kinds = lambda classed: F.filter(inside, lambda s: s["name"].isin("page_break", "end", *classed))
+    plain = F.when(any_valid, kinds(["classification"])).otherwise(kinds([]))
+    footers = of_name(inside, "footer")
+    within = F.filter("markings", lambda m: (m["start"] >= F.col("region_start")) & (m["start"] < F.col("region_end")))
+    artifacts = raw.contains("¿")
+
+    def every(plain: Column) -> Column:
+        wide = F.concat(ranges(footers), F.transform(within, _line_of))
+        more = F.concat(plain, F.transform(wide, lambda r: _with_line_ends(raw, r)), ranges(spans(raw, T._ARTIFACT, F.col("edged"), artifacts)))
+        return merge_ranges(more, touching=False)
+
+    alone = ~artifacts & (F.size("markings") == 0) & ~F.exists(inside, lambda s: s["name"] == "footer")
+    return strip_ranges(raw, let(ranges(plain), lambda r: F.when(alone, r).otherwise(every(r))))
 
 
 def _line_of(m: Column) -> Column:
@@ -182,9 +267,19 @@ def _line_of(m: Column) -> Column:
     return F.struct((start - before).alias("s"), F.least(end + behind + 1, F.length(raw)).alias("e"))
 
 
+#: Line ends around a range are looked for among so many characters first.
+_NEAR = 32
+
+
 def _with_line_ends(raw: Column, r: Column) -> Column:
     """A range and the line breaks around it, all but the first one before it."""
-    before, after = F.substring(raw, F.lit(1), r["s"]), F.substring(raw, r["e"] + 1, F.length(raw))
-    above = F.length(before) - F.length(F.rtrim(before, F.lit("\n\r")))
-    below = F.length(after) - F.length(F.ltrim(after, F.lit("\n\r")))
+    ends = F.lit("\n\r")
+
+    def run(near: Column, whole: Column, trim) -> Column:
+        kept = lambda x: F.length(trim(x, ends))
+        return let(near, lambda x: let(kept(x), lambda n: F.when((n > 0) | (F.length(x) == 0), F.length(x) - n).otherwise(let(whole, lambda w: F.length(w) - kept(w)))))
+
+    first = F.greatest(r["s"] - _NEAR, F.lit(0))
+    above = run(F.substring(raw, first + 1, r["s"] - first), F.substring(raw, F.lit(1), r["s"]), F.rtrim)
+    below = run(F.substring(raw, r["e"] + 1, F.lit(_NEAR)), F.substring(raw, r["e"] + 1, F.length(raw)), F.ltrim)
     return F.struct((r["s"] - F.greatest(above - 1, F.lit(0))).alias("s"), (r["e"] + below).alias("e"))
