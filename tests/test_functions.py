@@ -84,3 +84,13 @@ def test_citations_of_a_telegram(spark):
     raw = ["REF: A. STATE 105386, B. MOSCOW 4301; PARIS 0123 AND 74 BONN 55", "BAMAKO A-50", "USCINCRED 311345 Z MAY 73", "73 JAKARTA 1234", "REFS: (A) BONN 5 (NOTAL), (B) UNCLAS PARIS 7 PARA 3, MAY 3, 1974.", "1. STATE 12 DATED; 2) PARIS' S 9"]
     assert values(spark, find, raw) == [["73STATE105386", "73MOSCOW4301", "73PARIS123", "74BONN55"], ["73BAMAKO-A50"], [None], ["73JAKART-A1234"], ["73BONN5", "73PARIS7"], [None, "73PARIS9"]]
     assert values(spark, own.document_number, ["1973AMMAN03057", "1973ABUDH00866", "1973 AMMAN 03057"]) == ["73AMMAN3057", "73ABUDHABI866", None]
+
+
+def test_tags_are_put_in_order_by_compiled_code(spark):
+    """A comparator as a lambda was called for each pair of tags."""
+    dictionary = tags.TagDictionary(permanent={"PFOR": "Foreign"}, temporary={}, organizations={}, geographic=[{"FR": "France"}])
+    rows = spark.createDataFrame([(1, "PFOR., FR.. , UK..", "FR, ABCD.,"), (2, None, None), (3, ".", "n/a")], "k int, a string, b string")
+    got = tags.normalized(rows, dictionary, key="k", attr=F.col("a"), body=F.col("b"))
+    assert "array_sort(" not in got._jdf.queryExecution().optimizedPlan().toString().replace("sort_array(", "")
+    found = {r.k: r.tags and [(t.code, list(t.sources)) for t in r.tags] for r in got.collect()}
+    assert found == {1: [("PFOR", ["attr"]), ("FR", ["attr", "body"]), ("UK", ["attr"]), ("ABCD", ["body"])], 2: None, 3: None}
